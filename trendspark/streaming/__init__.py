@@ -1,0 +1 @@
+"""No streaming operators: all jobs of this library are batch jobs."""
