@@ -10,18 +10,18 @@ import os
 import sys
 from collections.abc import Callable
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from trendspark.functions import numeric_columns, text_columns, zip_text  # noqa: E402
+from trendspark.functions import numeric_columns, text_columns  # noqa: E402
 from trendspark.operators import aggregate, encode, features, forest, joins, neighbours, ranking, scoring, split  # noqa: E402
 from trendspark.plans import oracles, standin  # noqa: E402
 from trendspark.plans.classifier import classifier_job  # noqa: E402
-from trendspark.plans.merchant import merchant_job  # noqa: E402
-from trendspark.settings import COUNT_COLUMNS, SALES_COLUMNS, SCORING_COLUMNS  # noqa: E402
+from trendspark.plans.merchant import merchant_job, merge_job  # noqa: E402
+from trendspark.settings import SCORING_COLUMNS  # noqa: E402
 from trendspark.sources import census, files, warehouse  # noqa: E402
 from trendspark.staging import new_path, stage  # noqa: E402
 
@@ -52,8 +52,8 @@ def _as_doubles(df: DataFrame) -> DataFrame:
     return df.select(*(F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c) for c, t in df.dtypes))
 
 
-def _totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregate.city_totals(_merchants(spark, sf_dir), standin.bank_yearly(spark, sf_dir))
+def _totals(spark: SparkSession, sf_dir: str, merchants: DataFrame | None = None) -> DataFrame:
+    return aggregate.city_totals(merchants or _merchants(spark, sf_dir), standin.bank_yearly(spark, sf_dir))
 
 
 def _landed_census(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,7 +218,10 @@ def census_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def join_city(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _as_doubles(joins.join_city(_features(spark, sf_dir), stage(_totals(spark, sf_dir), "city-totals")))
+    # written once: both sides of the join start from it
+    merchants = stage(_merchants(spark, sf_dir), "merchants")
+    totals = stage(_totals(spark, sf_dir, merchants), "city-totals")
+    return _as_doubles(joins.join_city(stage(features.merchant_features(merchants), "features"), totals))
 
 
 def join_census(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,8 +229,10 @@ def join_census(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merge_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals, by_zip = stage(_totals(spark, sf_dir), "city-totals"), stage(_census(spark, sf_dir), "census")
-    return _as_doubles(joins.merge_all(_features(spark, sf_dir), totals, by_zip))
+    merchants = stage(_merchants(spark, sf_dir), "merchants")
+    totals = stage(_totals(spark, sf_dir, merchants), "city-totals")
+    by_zip = stage(_census(spark, sf_dir), "census")
+    return _as_doubles(joins.merge_all(stage(features.merchant_features(merchants), "features"), totals, by_zip))
 
 
 def salted_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -359,18 +364,17 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- whole jobs -------------------------------------------------------------
 
 
-def _merchant_job(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return merchant_job(
-        stage(_merchants(spark, sf_dir), "merchants"), standin.bank_yearly(spark, sf_dir), _census(spark, sf_dir)
-    )
+def _job_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    merchants = stage(_merchants(spark, sf_dir), "merchants")
+    return merchants, standin.bank_yearly(spark, sf_dir), _census(spark, sf_dir)
 
 
 def merchant_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _merchant_job(spark, sf_dir)["report"]
+    return scoring.scoring_report(merge_job(*_job_inputs(spark, sf_dir))["merged"])
 
 
 def merchant_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _merchant_job(spark, sf_dir)["importance"]
+    return merchant_job(*_job_inputs(spark, sf_dir))["importance"]
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -112,5 +112,9 @@ def join_census(merchants: DataFrame, census: DataFrame, **join_options) -> Data
 
 
 def merge_all(merchants: DataFrame, totals: DataFrame, census: DataFrame, **join_options) -> DataFrame:
-    """Merchants with city totals and census columns; complete rows only."""
+    """Merchants with city totals and census columns; complete rows only.
+
+    Pass written tables: a chain of many computed columns right below two joins costs
+    the optimizer more time than the join takes.
+    """
     return drop_incomplete(join_census(join_city(merchants, totals, **join_options), census, **join_options))

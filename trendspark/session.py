@@ -12,6 +12,8 @@ DEFAULT_SETTINGS: Mapping[str, str] = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.scheduler.mode": "FAIR",
+    # no call-site capture per column expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
