@@ -45,6 +45,8 @@ def global_rank(
         raise TypeError(f"{column} is {kind.simpleString()}; rank a double, float or int column")
     if buckets is None:
         buckets = _default_buckets(df)
+    if buckets < 2:
+        raise ValueError("at least two buckets")
     number = f"_{output}_value"
     value = F.col(column).cast("double")
     # -0.0 equals 0.0 in SQL but not in the binary search of the bucketizer

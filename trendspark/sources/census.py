@@ -22,11 +22,7 @@ from trendspark.settings import CENSUS_VARIABLES, CENSUS_YEARS
 
 def read_responses(spark: SparkSession, root: str) -> DataFrame:
     """One row per landed response: ``value`` (the whole text), ``year``, ``variable``."""
-    return (
-        spark.read.option("wholetext", True)
-        .schema("value string, year int, variable string")
-        .text(root)
-    )
+    return spark.read.schema("value string, year int, variable string").text(root, wholetext=True)
 
 
 def parse_responses(responses: DataFrame) -> DataFrame:

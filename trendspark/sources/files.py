@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-# quotes inside a field are doubled, as most CSV tools write them
+# quotes inside a field are doubled, as most CSV tools write them, and blanks are kept
 _CSV_DIALECT = {
     "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
+# what the parser puts in place of an unquoted empty field, and then takes for null; it
+# has to differ from the empty text, which is written in quotes
+_NULL_FIELD = "\u0001"
+
 
 def read_csv(
     spark: SparkSession,
@@ -28,7 +34,9 @@ def read_csv(
     files and loses the leading zeros of codes. ``multi_line`` allows line breaks
     inside quoted fields, but then a file can no longer be split between tasks.
     """
-    reader = spark.read.options(**_CSV_DIALECT, header=header, sep=sep, multiLine=multi_line)
+    reader = spark.read.options(
+        **_CSV_DIALECT, header=header, sep=sep, multiLine=multi_line, nullValue=_NULL_FIELD
+    )
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)
 
