@@ -120,6 +120,20 @@ def test_limit_by_order(spark):
     assert features.limit_rows(df, 3).count() == 3
 
 
+@pytest.mark.parametrize(
+    "value",
+    ["id", "cast(id % 7 as int)", "if(id % 3 = 0, null, -id)", "if(id % 2 = 0, double('NaN'), id * 0.5D)", "cast(id as decimal(12,2))"],
+)
+@pytest.mark.parametrize("n", [1, 10, 1999, 5000])
+def test_limit_with_a_bound_keeps_the_same_rows(spark, value, n):
+    df = spark.range(2000).repartition(9).selectExpr("id", f"{value} AS v")
+    expected = [r["v"] for r in df.orderBy("v").limit(n).collect()]
+    got = [r["v"] for r in features.limit_rows(df, n, "v", max_candidates=1).collect()]
+    assert list(map(str, got)) == list(map(str, expected))
+    if n == 10:
+        assert features._within_first(df, n, "v").count() < 2000 or value.startswith("cast(id %")
+
+
 def test_yearly_pivot_takes_2018_from_2018_or_from_2019(spark):
     rows = bank(spark, *bank_years(), ("Newark", "NJ", " 5812 ", 2018, 10, 5))
     row = aggregate.yearly_pivot(rows).first()

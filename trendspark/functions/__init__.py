@@ -3,6 +3,7 @@
 from trendspark.functions.columns import (
     columns_of_type,
     half_even,
+    literal_array,
     numeric_columns,
     relative_change,
     row_mean,
@@ -15,6 +16,7 @@ from trendspark.functions.columns import (
 __all__ = [
     "columns_of_type",
     "half_even",
+    "literal_array",
     "numeric_columns",
     "relative_change",
     "row_mean",

@@ -72,3 +72,8 @@ def numeric_columns(df: DataFrame, exclude: Iterable[str] = (), strict_types: bo
     """Numeric columns; ``strict_types`` accepts int and double only."""
     kinds = (T.IntegerType, T.DoubleType) if strict_types else T.NumericType
     return columns_of_type(df, kinds, exclude)
+
+
+def literal_array(values: Sequence[float], kind: str) -> Column:
+    """An array constant of any length from one literal, folded when the query is planned."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")

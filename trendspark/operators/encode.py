@@ -8,6 +8,7 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel,
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from trendspark.functions import literal_array
 from trendspark.operators.joins import lookup_join
 from trendspark.staging import stage
 
@@ -98,7 +99,7 @@ def _numbered(counts: DataFrame, output: str) -> DataFrame:
         before[i] = seen
         seen += sizes[i]
     place = F.row_number().over(Window.partitionBy("_range").orderBy(F.desc("_n"), "_value"))
-    position = place - 1 + F.element_at(F.lit(before), F.col("_range") + 1)
+    position = place - 1 + F.element_at(literal_array(before, "bigint"), F.col("_range") + 1)
     return stage(ranges.select("_value", position.cast("double").alias(output)), "value-index")
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trendspark.functions import relative_change, row_mean, weighted_total, zip_text
 from trendspark.settings import COUNT_COLUMNS, COUNT_TREND_WEIGHTS, SALES_COLUMNS, SALES_TREND_WEIGHTS
@@ -83,6 +84,33 @@ def zip_keys(merchants: DataFrame, column: str = "ZIPCODE") -> DataFrame:
     return merchants.select(zip_text(column).alias("zipcode")).distinct()
 
 
-def limit_rows(df: DataFrame, n: int, order_by: str | Sequence[str] | None = None) -> DataFrame:
-    """The first ``n`` rows by ``order_by`` (repeatable), or any ``n`` rows without it."""
-    return (df.orderBy(order_by) if order_by else df).limit(n)
+def limit_rows(
+    df: DataFrame, n: int, order_by: str | None = None, max_candidates: int = 10_000_000
+) -> DataFrame:
+    """The first ``n`` rows by ``order_by`` (repeatable), or any ``n`` rows without it.
+
+    Spark takes the first ``n`` of every partition and merges those in one task. Where
+    that would be more than ``max_candidates`` rows and the column is a number, rows
+    that cannot be among the first are filtered out beforehand: a quantile that at least
+    ``n`` rows do not exceed is a bound for them, and one that the scan can use.
+    """
+    if order_by is None:
+        return df.limit(n)
+    if isinstance(df.schema[order_by].dataType, T.NumericType) and df.rdd.getNumPartitions() * n > max_candidates:
+        df = _within_first(df, n, order_by)
+    return df.orderBy(order_by).limit(n)
+
+
+def _within_first(df: DataFrame, n: int, column: str, error: float = 1e-4) -> DataFrame:
+    """``df`` without most rows that are not among the first ``n``; keeps all that are.
+
+    Quantiles leave out null and NaN: nulls come first in the order and are kept, and
+    the quantile is one of doubles, so its bound is compared as a double.
+    """
+    value = F.col(column).cast("double")
+    numbers = df.where(value.isNotNull() & ~F.isnan(value)).count()
+    share = n / max(numbers, 1) + 2 * error
+    if share >= 1:
+        return df
+    (bound,) = df.select(value.alias("v")).approxQuantile("v", [share], error)
+    return df.where(value.isNull() | (value <= bound))

@@ -27,8 +27,15 @@ from trendspark.settings import (
 def train_forest(
     training: DataFrame, num_trees: int = CLASSIFIER_TREES, seed: int | None = None
 ) -> RandomForestClassificationModel:
-    """Fit a forest on columns ``features`` and ``label``."""
+    """Fit a forest on columns ``features`` and ``label``.
+
+    Training passes over the rows once per level of the trees, so a table of fewer
+    partitions than there are cores is spread over all of them first.
+    """
     forest = RandomForestClassifier(numTrees=num_trees)
+    cores = training.sparkSession.sparkContext.defaultParallelism
+    if training.rdd.getNumPartitions() < cores:
+        training = training.repartition(cores)
     return (forest.setSeed(seed) if seed is not None else forest).fit(training)
 
 

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trendspark.functions import literal_array
 from trendspark.operators.split import key_hash
 from trendspark.staging import stage
 
@@ -81,7 +82,7 @@ def nearest_neighbour(
     shares = [max(1, -(-demand.get(c, 0) // test_block)) for c in range(len(centres))]
 
     def per_cell(values) -> F.Column:
-        return F.element_at(F.lit([int(v) for v in values]), F.col("cell") + 1).cast("int")
+        return F.element_at(literal_array([int(v) for v in values], "int"), F.col("cell") + 1)
 
     def numbers(count: F.Column) -> F.Column:
         return F.explode(F.sequence(F.lit(0), count - 1))

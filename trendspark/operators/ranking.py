@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trendspark.functions import literal_array
 from trendspark.operators.features import weighted_trends
 from trendspark.settings import COUNT_TREND_WEIGHTS, SALES_TREND_WEIGHTS
 
@@ -76,13 +77,13 @@ def global_rank(
         ranked = grouped.where(~one_value).withColumn(output, in_group).unionByName(
             grouped.where(one_value).withColumn(output, F.lit(1).cast("bigint"))
         )
-    offset = F.element_at(F.lit(before), group + 1).cast("bigint")
+    offset = F.element_at(literal_array(before, "bigint"), group + 1)
     return ranked.withColumn(output, F.col(output) + offset).drop(number, f"_{output}_group")
 
 
 def _default_buckets(df: DataFrame) -> int:
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(max(4 * partitions, 32), 4096)
+    return min(max(4 * partitions, 32), 16384)
 
 
 def _cut_values(df: DataFrame, column: str, buckets: int) -> list[float]:
@@ -101,7 +102,7 @@ def _add_group(df: DataFrame, column: str, splits: list[float], output: str) ->
     bucketizer = Bucketizer(splits=splits, inputCol=column, outputCol=index, handleInvalid="keep")
     value, i = F.col(column), F.col(index).cast("int")
     infinite = 2 * len(splits)
-    lower = F.element_at(F.lit(splits[:-1]), F.least(i, F.lit(len(splits) - 2)) + 1)
+    lower = F.element_at(literal_array(splits[:-1], "double"), F.least(i, F.lit(len(splits) - 2)) + 1)
     group = (
         F.when(value.isNull(), 0)
         .when(F.isnan(value), infinite + 2)
