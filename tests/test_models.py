@@ -151,7 +151,7 @@ def brute_force(train, test):
     return out
 
 
-@pytest.mark.parametrize("pivots,train_block,test_block", [(64, 4096, 4096), (3, 16, 8), (1, 7, 1000)])
+@pytest.mark.parametrize("pivots,train_block,test_block", [(None, 4096, 4096), (None, 16, 8), (40, 4096, 5), (1, 7, 1000)])
 def test_nearest_neighbour_equals_brute_force(spark, pivots, train_block, test_block):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(5, 6)) * 10

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -29,14 +30,22 @@ def train_forest(
 ) -> RandomForestClassificationModel:
     """Fit a forest on columns ``features`` and ``label``.
 
-    Training passes over the rows once per level of the trees, so a table of fewer
-    partitions than there are cores is spread over all of them first.
+    Training reads its input several times before the first tree grows, so the two
+    columns are kept, in memory as far as it goes and on disk beyond, until it is done.
+    A table of fewer partitions than there are cores is spread over all of them.
     """
     forest = RandomForestClassifier(numTrees=num_trees)
+    if seed is not None:
+        forest.setSeed(seed)
     cores = training.sparkSession.sparkContext.defaultParallelism
-    if training.rdd.getNumPartitions() < cores:
-        training = training.repartition(cores)
-    return (forest.setSeed(seed) if seed is not None else forest).fit(training)
+    rows = training.select("features", "label")
+    if rows.rdd.getNumPartitions() < cores:
+        rows = rows.repartition(cores)
+    rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return forest.fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def predict(model: RandomForestClassificationModel, rows: DataFrame) -> DataFrame:

@@ -27,20 +27,22 @@ def nearest_neighbour(
     label: str = "label",
     train_id: str = "vec_id",
     test_id: str = "vec_id",
-    pivots: int = 64,
+    pivots: int | None = None,
     train_block: int = 4096,
     test_block: int = 4096,
 ) -> DataFrame:
     """Nearest training row of every test row: ``test_id, train_id, prediction``.
 
     Squared Euclidean distance; among equally near rows the least training id wins.
-    Vectors are arrays of numbers of one length.
-
-    * ``pivots`` training rows are picked by hash. Every training row belongs to the
-      cell of its nearest pivot, and the radius of a cell is its greatest distance.
-    * A pivot is itself a training row, so the nearest pivot bounds the answer. By the
-      triangle inequality a test row needs a cell only if ``distance to its pivot -
-      radius`` does not exceed that bound. Nothing else is left out: the result is exact.
+    Vectors are arrays of numbers of one length, and test ids are unique.
+
+    * ``pivots`` training rows (by default one per block of training rows, 1024 at
+      most) are picked by hash. A row belongs to the cell of its nearest pivot, and the
+      radius of a cell is the greatest distance of its training rows from the pivot.
+    * Test rows are first compared with the training rows of their own cell. The best of
+      those bounds the answer: by the triangle inequality another cell is needed only
+      if ``distance to its pivot - radius`` does not exceed that bound. Those cells come
+      second, and nothing else is left out: the result is exact.
     * A cell is cut into blocks of about ``train_block`` training rows, and the test rows
       that need it into blocks of about ``test_block``. Each pair of blocks is one group,
       bounded on both sides however large a cell is. A group gives one candidate per
@@ -50,82 +52,89 @@ def nearest_neighbour(
     """
     t = stage(train.select(F.col(train_id).alias("id"), _doubles(vector), F.col(label).alias("label")), "nn-train")
     q = test.select(F.col(test_id).alias("id"), _doubles(vector))
-    label_type = t.schema["label"].dataType.simpleString()
-    id_type = t.schema["id"].dataType.simpleString()
-    test_type = q.schema["id"].dataType.simpleString()
-
-    centres = _pivot_matrix(t, pivots)
-    if centres is None:
-        return q.limit(0).select(
-            F.col("id").alias("test_id"), F.lit(None).cast(id_type).alias("train_id"),
-            F.lit(None).cast(label_type).alias("prediction"),
+    kinds = {name: t.schema[name].dataType.simpleString() for name in ("id", "label")}
+    test_kind = q.schema["id"].dataType.simpleString()
+    found_schema = f"test_id {test_kind}, distance double, train_id {kinds['id']}, label {kinds['label']}"
+
+    rows = t.count()
+    if rows == 0:
+        return t.sparkSession.createDataFrame([], found_schema).select(
+            "test_id", "train_id", F.col("label").alias("prediction")
         )
+    centres = _pivot_matrix(t, pivots or min(max(rows // train_block, 1), 1024))
     placed = stage(
-        t.mapInPandas(
-            _place(centres), f"id {id_type}, v array<double>, label {label_type}, cell int, distance double"
-        ),
+        t.mapInPandas(_place(centres), f"id {kinds['id']}, v array<double>, label {kinds['label']}, cell int, far double"),
         "nn-cells",
     )
-    # one row per pivot
-    cells = placed.groupBy("cell").agg(F.max("distance"), F.count("*")).collect()
     radius = np.full(len(centres), -np.inf)
-    blocks = np.zeros(len(centres), dtype=np.int64)
-    for cell, far, n in cells:
-        radius[cell] = far
-        blocks[cell] = -(-n // train_block)
+    blocks = [1] * len(centres)
+    for cell, far, n in placed.groupBy("cell").agg(F.max("far"), F.count("*")).collect():  # one row per pivot
+        radius[cell], blocks[cell] = far, -(-n // train_block)
+
+    def search(wanted: DataFrame) -> DataFrame:
+        return _search(wanted, placed, blocks, test_block, found_schema)
+
+    home = stage(q.mapInPandas(_place(centres), f"id {test_kind}, v array<double>, cell int, far double"), "nn-test")
+    found = search(_numbered_rows(home))
+    if len(centres) > 1:
+        found = stage(found, "nn-home")
+        bounds = home.join(found.select(F.col("test_id").alias("id"), F.col("distance").alias("bound")), "id")
+        others = stage(
+            bounds.select("id", "v", "cell", "bound").mapInPandas(
+                _other_cells(centres, radius), f"id {test_kind}, v array<double>, cells array<int>"
+            ),
+            "nn-others",
+        )
+        found = _least(found.union(search(_numbered_rows(others).withColumn("cell", F.explode("cells")))))
+    return found.select("test_id", "train_id", F.col("label").alias("prediction"))
 
-    routed = stage(
-        q.mapInPandas(_needed(centres, radius), f"id {test_type}, v array<double>, cells array<int>"), "nn-test"
-    )
-    needed = routed.withColumn("row", F.monotonically_increasing_id()).withColumn("cell", F.explode("cells"))
-    demand = {r[0]: r[1] for r in needed.groupBy("cell").count().collect()}
-    shares = [max(1, -(-demand.get(c, 0) // test_block)) for c in range(len(centres))]
 
-    def per_cell(values) -> F.Column:
-        return F.element_at(literal_array([int(v) for v in values], "int"), F.col("cell") + 1)
+def _numbered_rows(written: DataFrame) -> DataFrame:
+    """Row positions, which are fixed in a written table."""
+    return written.withColumn("row", F.monotonically_increasing_id())
+
 
-    def numbers(count: F.Column) -> F.Column:
-        return F.explode(F.sequence(F.lit(0), count - 1))
+def _search(
+    wanted: DataFrame, placed: DataFrame, blocks: list[int], test_block: int, found_schema: str
+) -> DataFrame:
+    """Best training row of the wanted cells for every test row."""
+    demand = {r[0]: r[1] for r in wanted.groupBy("cell").count().collect()}  # one row per pivot
+    shares = [max(1, -(-demand.get(c, 0) // test_block)) for c in range(len(blocks))]
 
-    def dealt(count: F.Column) -> F.Column:
-        # by row position, which is fixed in a written table
-        return F.pmod(F.xxhash64("row"), F.greatest(count, F.lit(1))).cast("int")
+    def per_cell(values: list[int]) -> F.Column:
+        return F.element_at(literal_array(values, "int"), F.col("cell") + 1)
+
+    def dealt(values: list[int]) -> F.Column:
+        return F.pmod(F.xxhash64("row"), per_cell(values)).cast("int")
+
+    def copied(values: list[int]) -> F.Column:
+        return F.explode(F.sequence(F.lit(0), per_cell(values) - 1))
 
-    right = (
-        placed.withColumn("row", F.monotonically_increasing_id())
-        .withColumn("block", dealt(per_cell(blocks)))
-        .withColumn("share", numbers(per_cell(shares)))
-        .select("cell", "block", "share", "id", "v", "label")
-    )
-    left = (
-        needed.withColumn("share", dealt(per_cell(shares)))
-        .withColumn("block", numbers(per_cell(blocks)))
-        .select("cell", "block", "share", "id", "v")
-    )
     keys = ["cell", "block", "share"]
+    left = wanted.withColumn("share", dealt(shares)).withColumn("block", copied(blocks))
+    right = _numbered_rows(placed).withColumn("block", dealt(blocks)).withColumn("share", copied(shares))
     found = (
-        left.groupBy(*keys)
-        .cogroup(right.groupBy(*keys))
-        .applyInPandas(
-            _nearest_in_block, f"test_id {test_type}, distance double, train_id {id_type}, label {label_type}"
-        )
-    )
-    best = F.min(F.struct("distance", "train_id", "label"))
-    return (
-        found.groupBy("test_id")
-        .agg(best.alias("best"))
-        .select("test_id", F.col("best.train_id").alias("train_id"), F.col("best.label").alias("prediction"))
+        left.select(*keys, "id", "v")
+        .groupBy(*keys)
+        .cogroup(right.select(*keys, "id", "v", "label").groupBy(*keys))
+        .applyInPandas(_nearest_in_block, found_schema)
     )
+    return _least(found)
+
+
+def _least(found: DataFrame) -> DataFrame:
+    best = F.min(F.struct("distance", "train_id", "label")).alias("best")
+    return found.groupBy("test_id").agg(best).select("test_id", "best.*")
 
 
 def _doubles(vector: str) -> F.Column:
     return F.col(vector).cast("array<double>").alias("v")
 
 
-def _pivot_matrix(t: DataFrame, pivots: int) -> np.ndarray | None:
+def _pivot_matrix(t: DataFrame, pivots: int) -> np.ndarray:
     """The vectors of the ``pivots`` training rows with the least hash: a fixed number."""
     rows = t.select("v", key_hash(["id"]).alias("hash"), "id").orderBy("hash", "id").limit(pivots).collect()
-    return np.array([r["v"] for r in rows], dtype=float) if rows else None
+    return np.array([r["v"] for r in rows], dtype=float)
 
 
 def _squared(points: np.ndarray, others: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
@@ -163,32 +172,37 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
 
 
 def _place(centres: np.ndarray):
+    """Add the nearest pivot as ``cell`` and the distance from it as ``far``."""
+
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             if len(rows):
                 cell = np.empty(len(rows), dtype=np.int32)
-                distance = np.empty(len(rows))
+                far = np.empty(len(rows))
                 for part, squared in _squared(_matrix(rows["v"]), centres):
                     cell[part] = squared.argmin(axis=1)
-                    distance[part] = np.sqrt(squared.min(axis=1))
-                yield rows.assign(cell=cell, distance=distance)
+                    far[part] = np.sqrt(squared.min(axis=1))
+                yield rows.assign(cell=cell, far=far)
 
     return place
 
 
-def _needed(centres: np.ndarray, radius: np.ndarray):
-    def needed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _other_cells(centres: np.ndarray, radius: np.ndarray):
+    """The cells but the own one that may hold a row as near as ``bound``."""
+
+    def other_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             if len(rows):
+                bound, own = np.sqrt(rows["bound"].to_numpy())[:, None], rows["cell"].to_numpy()
                 cells = []
-                for _, squared in _squared(_matrix(rows["v"]), centres):
+                for part, squared in _squared(_matrix(rows["v"]), centres):
                     distance = np.sqrt(squared)
-                    bound = distance.min(axis=1, keepdims=True)
-                    near = distance - radius <= bound + _SLACK * (1.0 + distance)
-                    cells += [np.flatnonzero(row) for row in near]
-                yield rows.assign(cells=cells)
+                    near = distance - radius <= bound[part] + _SLACK * (1.0 + distance)
+                    near[np.arange(len(near)), own[part]] = False
+                    cells += [np.flatnonzero(row).astype(np.int32) for row in near]
+                yield rows[["id", "v"]].assign(cells=cells)
 
-    return needed
+    return other_cells
 
 
 def _nearest_in_block(test: pd.DataFrame, train: pd.DataFrame) -> pd.DataFrame:
