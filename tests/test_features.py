@@ -202,6 +202,30 @@ def test_lookup_join_paths_agree_on_hot_keys(spark, how):
         assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
 
 
+def test_sizes_are_measured(spark):
+    df = spark.createDataFrame([("abc", 1), (None, 22)], "s string, n int")
+    assert joins.fits(df, 39) and not joins.fits(df, 38)  # 5 and 2 characters, 16 bytes of words each
+    assert joins.fits(df.limit(0), 0)
+    assert not joins.fits(spark.range(100), 799)
+
+
+def test_join_without_hot_keys_is_plain(spark):
+    fact, lookup = spark.range(1000).withColumn("k", F.col("id") % 100), spark.range(100).withColumnRenamed("id", "k")
+    for rows in (5, 2000):
+        joined = joins.salted_join(fact, lookup, ["k"], min_hot_rows=rows * 10)
+        assert "_salt" not in joined._jdf.queryExecution().toString()
+        assert joined.count() == 1000
+
+
+def test_many_null_keys_are_kept_and_spread(spark):
+    fact = spark.range(900).withColumn("k", F.when(F.col("id") % 3 > 0, F.col("id")))
+    lookup = spark.range(500).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    got = joins.salted_join(fact, lookup, ["k"], "left", min_hot_rows=50)
+    expected = fact.join(lookup, ["k"], "left")
+    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+    assert "_salt" in got._jdf.queryExecution().toString()
+
+
 def test_salted_join_spreads_a_hot_key(spark):
     fact = spark.range(5000).withColumn("k", F.when(F.col("id") < 4000, 1).otherwise(F.col("id")).cast("int"))
     lookup = spark.range(6000).select(F.col("id").cast("int").alias("k"), F.lit("x").alias("v"))

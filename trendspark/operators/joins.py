@@ -14,14 +14,23 @@ from trendspark.operators.features import drop_columns, drop_incomplete, zip_key
 from trendspark.staging import stage
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+HOT_SHARE = 1e-4
+MIN_HOT_ROWS = 1_000_000
 CITY_KEYS = ("BILLING_STATE", "CITY")
 
 
-def size_in_bytes(df: DataFrame) -> int:
-    """Size of a table of plain columns, measured as text plus one word per cell."""
+def fits(df: DataFrame, limit: int) -> bool:
+    """Whether a table of plain columns is at most ``limit`` bytes.
+
+    Measured as text plus one word per cell; the row count alone settles it for tables
+    far too large.
+    """
+    words = 8 * len(df.columns)
+    if df.count() * words > limit:
+        return False
     cells = F.concat_ws(",", *(F.col(f"`{c}`").cast("string") for c in df.columns))
-    row = F.octet_length(cells) + F.lit(8 * len(df.columns))
-    return df.agg(F.coalesce(F.sum(row.cast("bigint")), F.lit(0))).first()[0]
+    size = df.agg(F.sum(F.octet_length(cells).cast("bigint") + words)).first()[0]
+    return (size or 0) <= limit
 
 
 def lookup_join(
@@ -31,19 +40,19 @@ def lookup_join(
     how: str = "inner",
     *,
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_share: float = 1e-4,
-    min_hot_rows: int = 1_000_000,
+    hot_share: float = HOT_SHARE,
+    min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """Equi-join (USING ``keys``) that holds when ``fact`` is skewed on the keys.
 
     ``lookup`` is measured: up to ``broadcast_bytes`` it is broadcast and ``fact`` is
-    not shuffled. Beyond that both are shuffled, after the hot keys are salted (see
-    :func:`salted_join`). ``lookup`` is read twice, so pass a written table if it is
-    expensive. ``how`` is ``inner`` or ``left``.
+    not shuffled. Beyond that both are shuffled, hot keys in salted form (see
+    :func:`salted_join`). ``lookup`` is read more than once, so pass a written table if
+    it is expensive. ``how`` is ``inner`` or ``left``.
     """
     if how not in ("inner", "left"):
         raise ValueError("how is 'inner' or 'left'")
-    if size_in_bytes(lookup) <= broadcast_bytes:
+    if fits(lookup, broadcast_bytes):
         return fact.join(F.broadcast(lookup), list(keys), how)
     return salted_join(fact, lookup, keys, how, hot_share=hot_share, min_hot_rows=min_hot_rows)
 
@@ -54,34 +63,37 @@ def salted_join(
     keys: Sequence[str],
     how: str = "inner",
     *,
-    hot_share: float = 1e-4,
-    min_hot_rows: int = 1_000_000,
+    hot_share: float = HOT_SHARE,
+    min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """Shuffle join in which no key keeps more than a chunk of ``fact`` in one task.
 
     A key with more rows than ``max(min_hot_rows, hot_share * all rows)`` is hot. At
-    most ``1 / hot_share`` keys can be, which bounds the broadcast list of hot keys. Its
-    rows are dealt in turn to as many salts as it has chunks of that size, and its
-    lookup rows are copied once per salt. ``fact`` is written first: the dealing goes
-    by row position, which only a written table keeps when a task is run again.
+    most ``1 / hot_share`` keys can be, which bounds the broadcast list of hot keys.
+    Without hot keys this is a plain join. With them, the rows of a hot key are dealt in
+    turn to as many salts as it has chunks of that size, and its lookup rows are copied
+    once per salt. ``fact`` is written for that: the dealing goes by row position, which
+    only a written table keeps when a task is run again.
     """
     keys = list(keys)
-    fact = stage(fact, "join-input")
+    complete = reduce(and_, (F.col(k).isNotNull() for k in keys))
     total = fact.count()
     chunk = max(float(min_hot_rows), hot_share * total)
-    complete = reduce(and_, (F.col(k).isNotNull() for k in keys))
+    if total <= chunk:
+        return fact.join(lookup, keys, how)
+    counts = fact.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > chunk)
     hot = stage(
-        fact.where(complete)
-        .groupBy(*keys)
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > chunk)
-        .select(*keys, F.ceil(F.col("n") / chunk).cast("int").alias("_salts")),
+        counts.select(*keys, F.when(complete, F.ceil(F.col("_n") / chunk)).otherwise(1).cast("int").alias("_salts")),
         "hot-keys",
     )
+    if hot.isEmpty():
+        return fact.join(lookup, keys, how)
+
     salts = F.coalesce("_salts", F.lit(1))
     # a null key matches nothing, so its rows may lie anywhere
     dealt = (
-        fact.withColumn("_row", F.monotonically_increasing_id())
+        stage(fact, "join-input")
+        .withColumn("_row", F.monotonically_increasing_id())
         .join(F.broadcast(hot), keys, "left")
         .withColumn("_salt", F.pmod("_row", F.when(complete, salts).otherwise(4096)).cast("int"))
         .drop("_row", "_salts")

@@ -67,7 +67,7 @@ def global_rank(
         before[g] = seen
         seen += counts[g]
 
-    order = F.col(number).asc() if ascending else F.col(number).desc()
+    order = F.col(column).asc() if ascending else F.col(column).desc()
     in_group = F.rank().over(Window.partitionBy(group).orderBy(order)).cast("bigint")
     one_value = group % 2 == 0
     if max((n for g, n in counts.items() if g % 2 == 0), default=0) <= 2 * seen / buckets:
