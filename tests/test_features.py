@@ -217,6 +217,15 @@ def test_join_without_hot_keys_is_plain(spark):
         assert joined.count() == 1000
 
 
+def test_hot_keys_found_in_a_sample_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(joins, "SAMPLE_ROWS", 500)
+    fact = spark.range(5000).withColumn("k", F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 900))
+    lookup = spark.range(800).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    got, expected = joins.salted_join(fact, lookup, ["k"], min_hot_rows=300), fact.join(lookup, ["k"])
+    assert "_salt" in got._jdf.queryExecution().toString()
+    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+
+
 def test_many_null_keys_are_kept_and_spread(spark):
     fact = spark.range(900).withColumn("k", F.when(F.col("id") % 3 > 0, F.col("id")))
     lookup = spark.range(500).select(F.col("id").alias("k"), F.lit("x").alias("v"))

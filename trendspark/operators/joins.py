@@ -16,6 +16,7 @@ from trendspark.staging import stage
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 1e-4
 MIN_HOT_ROWS = 1_000_000
+SAMPLE_ROWS = 1_000_000
 CITY_KEYS = ("BILLING_STATE", "CITY")
 
 
@@ -69,11 +70,12 @@ def salted_join(
     """Shuffle join in which no key keeps more than a chunk of ``fact`` in one task.
 
     A key with more rows than ``max(min_hot_rows, hot_share * all rows)`` is hot. At
-    most ``1 / hot_share`` keys can be, which bounds the broadcast list of hot keys.
-    Without hot keys this is a plain join. With them, the rows of a hot key are dealt in
-    turn to as many salts as it has chunks of that size, and its lookup rows are copied
-    once per salt. ``fact`` is written for that: the dealing goes by row position, which
-    only a written table keeps when a task is run again.
+    most about ``1 / hot_share`` keys can be, which bounds the broadcast list of hot
+    keys. Their counts are estimated from a sample: they decide how the work is spread,
+    not what comes out. Without hot keys this is a plain join. With them, the rows of a
+    hot key are dealt in turn to as many salts as it has chunks of that size, and its
+    lookup rows are copied once per salt. ``fact`` is written for that: the dealing goes
+    by row position, which only a written table keeps when a task is run again.
     """
     keys = list(keys)
     complete = reduce(and_, (F.col(k).isNotNull() for k in keys))
@@ -81,7 +83,9 @@ def salted_join(
     chunk = max(float(min_hot_rows), hot_share * total)
     if total <= chunk:
         return fact.join(lookup, keys, how)
-    counts = fact.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > chunk)
+    share = min(1.0, SAMPLE_ROWS / total)
+    seen = fact.select(*keys).sample(share, seed=1) if share < 1 else fact
+    counts = seen.groupBy(*keys).agg((F.count("*") / share).alias("_n")).where(F.col("_n") > chunk)
     hot = stage(
         counts.select(*keys, F.when(complete, F.ceil(F.col("_n") / chunk)).otherwise(1).cast("int").alias("_salts")),
         "hot-keys",
