@@ -121,6 +121,39 @@ def test_staged_table_is_below_the_shared_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_shared_folder_has_to_be_named_on_a_cluster():
+    class Conf:
+        def __init__(self, value):
+            self.value = value
+
+        def get(self, key, default=None):
+            return self.value if key == "spark.checkpoint.dir" else default
+
+    class Context:
+        master = "spark://somewhere"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        def __init__(self, value):
+            self.conf = Conf(value)
+
+    assert shared_dir(Session("hdfs://shared/dir/")) == "hdfs://shared/dir"
+    with pytest.raises(ValueError):
+        shared_dir(Session(None))
+
+
+def test_small_tables_go_to_pandas_and_back(spark):
+    df = spark.createDataFrame([(1, "a", 0.5), (2, None, None)], "id bigint, s string, x double")
+    back = spark.createDataFrame(files.to_pandas(df), df.schema)
+    assert back.where("id = 1").first() == df.where("id = 1").first()
+    assert back.count() == 2
+
+
 def test_session_settings(spark):
     assert get_session("tests").conf.get("spark.sql.session.timeZone") == "UTC"
     assert DEFAULT_SETTINGS["spark.sql.adaptive.enabled"] == "true"
