@@ -23,7 +23,7 @@ from trendspark.plans.classifier import classifier_job  # noqa: E402
 from trendspark.plans.merchant import merchant_job, merge_job  # noqa: E402
 from trendspark.settings import SCORING_COLUMNS  # noqa: E402
 from trendspark.sources import census, files, warehouse  # noqa: E402
-from trendspark.staging import new_path, stage  # noqa: E402
+from trendspark.staging import new_path, stage, stage_all  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
@@ -220,8 +220,10 @@ def census_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 def join_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     # written once: both sides of the join start from it
     merchants = stage(_merchants(spark, sf_dir), "merchants")
-    totals = stage(_totals(spark, sf_dir, merchants), "city-totals")
-    return _as_doubles(joins.join_city(stage(features.merchant_features(merchants), "features"), totals))
+    by_merchant, totals = stage_all(
+        features=features.merchant_features(merchants), city_totals=_totals(spark, sf_dir, merchants)
+    )
+    return _as_doubles(joins.join_city(by_merchant, totals))
 
 
 def join_census(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,9 +232,12 @@ def join_census(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def merge_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     merchants = stage(_merchants(spark, sf_dir), "merchants")
-    totals = stage(_totals(spark, sf_dir, merchants), "city-totals")
-    by_zip = stage(_census(spark, sf_dir), "census")
-    return _as_doubles(joins.merge_all(stage(features.merchant_features(merchants), "features"), totals, by_zip))
+    by_merchant, totals, by_zip = stage_all(
+        features=features.merchant_features(merchants),
+        city_totals=_totals(spark, sf_dir, merchants),
+        census=_census(spark, sf_dir),
+    )
+    return _as_doubles(joins.merge_all(by_merchant, totals, by_zip))
 
 
 def salted_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -365,8 +370,7 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _job_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    merchants = stage(_merchants(spark, sf_dir), "merchants")
-    return merchants, standin.bank_yearly(spark, sf_dir), _census(spark, sf_dir)
+    return _merchants(spark, sf_dir), standin.bank_yearly(spark, sf_dir), _census(spark, sf_dir)
 
 
 def merchant_report(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from trendspark.settings import (
     SUM_WEIGHTS,
 )
 from trendspark.sources.warehouse import merchant_extract
-from trendspark.staging import stage
+from trendspark.staging import stage, stage_all
 
 
 def merge_job(
@@ -37,13 +37,15 @@ def merge_job(
 ) -> dict[str, DataFrame]:
     """Every table up to the merged one.
 
-    Tables with several consumers are written once: the features (quantiles, counts and
-    ranks), the lookups (measured, then joined) and the merged table (importance, and
-    both passes of the score).
+    Tables with several consumers are written once: the extract (features and totals),
+    the features (quantiles, counts and ranks), the lookups (measured, then joined) and
+    the merged table (importance, and both passes of the score).
     """
-    features = stage(merchant_features(merchant_extract(merchants, code), first_base), "features")
+    extract = stage(merchant_extract(merchants, code), "merchants")
+    features, totals = stage_all(
+        features=merchant_features(extract, first_base), city_totals=city_totals(extract, bank, code, legacy_2018)
+    )
     ranking = trend_ranking(features, sales_weights, count_weights)
-    totals = stage(city_totals(merchants, bank, code, legacy_2018), "city-totals")
     enriched = stage(census_enrich(features, census), "census")
     merged = stage(merge_all(ranking, totals, enriched), "merged")
     return {

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dir: tempfile.TemporaryDirectory | None = None
@@ -39,3 +41,15 @@ def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     path = path or new_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_all(**tables: DataFrame) -> list[DataFrame]:
+    """Write tables that do not depend on each other, all at the same time.
+
+    A small table then does not wait for the stragglers of a large one; with the fair
+    scheduler their jobs share the cores.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    write = inheritable_thread_target(spark)(lambda item: stage(item[1], item[0].replace("_", "-")))
+    with ThreadPoolExecutor(len(tables)) as pool:
+        return list(pool.map(write, tables.items()))
