@@ -92,9 +92,10 @@ def test_weighted_trends(spark):
 
 
 def test_half_even(spark):
-    values = [0.125, 0.375, 1.005, 2.675, -0.125]
+    values = [0.125, 0.375, 1.005, 2.675, -0.125, -0.001]
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    assert [r[0] for r in df.select(half_even("x", 2)).collect()] == [0.12, 0.38, 1.0, 2.68, -0.12]
+    rounded = [r[0] for r in df.select(half_even("x", 2)).collect()]
+    assert list(map(str, rounded)) == ["0.12", "0.38", "1.0", "2.68", "-0.12", "0.0"]
 
 
 def test_zip_text(spark):

@@ -1,7 +1,11 @@
 """Encoding, splits, forests, neighbours and the classifier job."""
 
+import subprocess
+import sys
+
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -173,3 +177,21 @@ def test_nearest_neighbour_without_rows(spark):
     some = spark.createDataFrame([(1, [1.0, 2.0], "a")], "vec_id bigint, embedding array<double>, label string")
     assert neighbours.nearest_neighbour(empty, some).collect() == []
     assert neighbours.nearest_neighbour(some, empty).collect() == []
+
+
+def test_task_functions_need_no_package_on_the_executors(tmp_path):
+    functions = (
+        neighbours._place(np.zeros((1, 2))), neighbours._other_cells(np.zeros((1, 2)), np.zeros(1)),
+        neighbours._nearest_in_block,
+    )
+    (tmp_path / "functions").write_bytes(cloudpickle.dumps(functions))
+    code = """
+import pickle, sys
+import pandas as pd
+place, _, nearest = pickle.load(open("functions", "rb"))
+rows = pd.DataFrame({"id": [1, 2], "v": [[1.0, 2.0], [3.0, 4.0]], "label": ["a", "b"]})
+assert list(next(place(iter([rows]))).cell) == [0, 0]
+assert list(nearest(rows, rows).train_id) == [1, 2]
+assert not any(name.startswith("trendspark") for name in sys.modules)
+"""
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=120)

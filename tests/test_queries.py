@@ -28,9 +28,8 @@ def _rows(columns, rows):
     for row in rows:
         for value in row:
             assert not isinstance(value, decimal.Decimal), "decimals differ in scale between engines"
-    # 1 and 1.0 are equal in Python but not as results
-    picked = [tuple((type(row[i]).__name__, row[i]) for i in order) for row in rows]
-    return sorted(picked, key=lambda r: tuple((v is None, v if v is not None else 0) for _, v in r))
+    # as text: 1, 1.0 and -0.0, 0.0 are equal in Python but not as results
+    return sorted(tuple(repr(row[i]) for i in order) for row in rows)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

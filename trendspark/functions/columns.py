@@ -37,9 +37,13 @@ def weighted_total(columns: Sequence[ColumnOrName], weights: Sequence[float]) ->
 
 
 def half_even(column: ColumnOrName, places: int = 0) -> Column:
-    """Round to ``places`` decimals, halves to the even digit (``F.round`` goes half up)."""
+    """Round to ``places`` decimals, halves to the even digit (``F.round`` goes half up).
+
+    A small negative number gives 0.0, not -0.0, so that equal results also print alike.
+    """
     factor = F.lit(float(10**places))
-    return F.rint(_col(column) * factor) / factor
+    rounded = F.rint(_col(column) * factor) / factor
+    return F.when(rounded == 0, F.lit(0.0)).otherwise(rounded)
 
 
 def zip_text(column: ColumnOrName) -> Column:

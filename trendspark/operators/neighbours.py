@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,10 @@ from trendspark.functions import literal_array
 from trendspark.operators.split import key_hash
 from trendspark.staging import stage
 
+# functions of this module travel to the executors whole: only numpy and pandas, not this
+# package, have to be installed there
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # relative slack of the pruning bound, far above the rounding of a double
 _SLACK = 1e-6
 # cells of a difference array that one numpy step may hold

@@ -120,7 +120,8 @@ def _scaled(column: str, direction: int) -> str:
 
 
 _SCORE = " + ".join(_scaled(c, 1) for c in SCORING_COLUMNS)
-_WEIGHTED_SUM = f"round_even(({_weighted(SCORING_COLUMNS, SUM_WEIGHTS)}) * 100, 0) / 100"
+_ROUNDED = f"round_even(({_weighted(SCORING_COLUMNS, SUM_WEIGHTS)}) * 100, 0) / 100"
+_WEIGHTED_SUM = f"CASE WHEN {_ROUNDED} = 0 THEN 0e0 ELSE {_ROUNDED} END"
 _LINE_MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
@@ -304,7 +305,7 @@ def oracle_sql() -> dict[str, str]:
             _index("lineitem", "l_returnflag", "label"),
             "labelled AS (SELECT * FROM lineitem JOIN label_values ON value = l_returnflag)",
         )
-        + measures.format(keys=f"{lines}, label", source="labelled").replace("value FROM", "value FROM"),
+        + measures.format(keys=f"{lines}, label", source="labelled"),
         "hash_split": f"""SELECT o_orderkey, CASE WHEN {_in_test("o_orderkey")} THEN 'test' ELSE 'train' END AS part
                           FROM orders""",
         "split_target": f"""SELECT o_orderkey, o_totalprice, o_orderstatus,
