@@ -43,6 +43,47 @@ def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(*tables: DataFrame | str, spark: SparkSession | None = None) -> None:
+    """Delete staged tables (as returned by ``stage``) or paths below the shared folder.
+
+    Call it when nothing that is still to be evaluated reads them. Only what lies below
+    the shared folder is touched; a path that is already gone is no error.
+    """
+    for table in tables:
+        session = spark if isinstance(table, str) else table.sparkSession
+        jvm, conf = session._jvm, session._jsparkSession.sessionState().newHadoopConf()
+        roots = [table] if isinstance(table, str) else {f.rpartition("/")[0] for f in table.inputFiles()}
+        base = jvm.org.apache.hadoop.fs.Path(shared_dir(session))
+        base = base.getFileSystem(conf).makeQualified(base).toUri().getPath()
+        for root in roots:
+            path = jvm.org.apache.hadoop.fs.Path(root)
+            if path.toUri().getPath().startswith(base.rstrip("/") + "/"):
+                path.getFileSystem(conf).delete(path, True)
+
+
+class Scratch:
+    """Staged tables of one job, below one folder that goes when the block ends.
+
+    ::
+
+        with Scratch(spark, "job") as scratch:
+            halfway = scratch.stage(df, "halfway")
+            return stage(halfway.where(...), "result")
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.root = spark, new_path(spark, name)
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        return stage(df, name, f"{self.root}/{name}-{uuid.uuid4().hex[:8]}")
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_exc) -> None:
+        release(self.root, spark=self.spark)
+
+
 def stage_all(**tables: DataFrame) -> list[DataFrame]:
     """Write tables that do not depend on each other, all at the same time.
 
