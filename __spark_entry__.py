@@ -25,6 +25,15 @@ from trendspark.settings import SCORING_COLUMNS  # noqa: E402
 from trendspark.sources import census, files, warehouse  # noqa: E402
 from trendspark.staging import new_path, stage, stage_all  # noqa: E402
 
+try:  # the one guard for a library without these operators
+    import corpus_pipeline
+    from trendspark.llm import oracles as llm_oracles
+    from trendspark.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("trendspark.llm", "corpus_pipeline")):
+        raise
+    llm_queries = llm_oracles = corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
 LINE_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -399,9 +408,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         hash_split, split_target, nearest_neighbour, accuracy, rf_predict, rf_accuracy, rf_lines, feature_importance,
         merchant_report, merchant_importance,
     )
-    return {query.__name__: query for query in registered}
+    found = {query.__name__: query for query in registered}
+    if llm_queries:
+        found |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL for every query but the forests, whose results SQL cannot say."""
-    return oracles.oracle_sql()
+    found = oracles.oracle_sql()
+    if llm_oracles:
+        found |= llm_oracles.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
