@@ -9,8 +9,8 @@
    threshold falls below the chosen miss probability. Survivors are verified exactly, on
    full shingle sets.
 4. Components of the verified links. Where a bucket still holds more than one component,
-   its members across components are compared in blocks inside tasks, and the survivors
-   verified in the same way. No cap applies to buckets, partners or candidates.
+   its members across components are compared in blocks inside tasks, by signatures and
+   then exactly, until components meet. No cap applies to buckets, partners or candidates.
 
 A member meets its pivot in a group of bounded size: the pivot's row is sent once to each
 chunk of about 256 partners, so neither a hub nor a group of a third of all rows lands in
@@ -183,18 +183,23 @@ def _verify(pairs: DataFrame, texts: DataFrame, threshold: tuple[int, int], size
     return map_arrow(_star(pairs, texts), verify, "a long, b long")
 
 
-def _across(entries: DataFrame, components: DataFrame, signatures: DataFrame, bounds: tuple[int, ...], scratch: Scratch) -> DataFrame:
-    """Pairs in question between components that share a bucket, ``pivot, id``.
+def _across(
+    entries: DataFrame, components: DataFrame, own: DataFrame, texts: DataFrame, bounds: tuple[int, ...],
+    threshold: tuple[int, int], size: int, scratch: Scratch,
+) -> DataFrame:
+    """Links ``a, b`` between components that share a bucket.
 
     In each bucket the members of its largest component and the rest are cut into chunks;
     blocks are rest against rest and rest against largest, so a bucket that is one
-    component but for a few members costs a few copies of it.
+    component but for a few members costs a few copies of it. A block judges signatures,
+    then full sets, and stops comparing two components once they are linked, so it gives
+    fewer links than it has members. A pair is compared in the first band that it shares.
     """
     labelled = entries.join(components, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     members = scratch.stage(labelled.join(mixed.select("key"), "key"), "mixed")
     if members.isEmpty():
-        return members.select(F.col("id").alias("pivot"), "id").limit(0)
+        return members.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
     sizes = members.groupBy("key", "component").count()
     shape = sizes.groupBy("key").agg(
         F.max(F.struct("count", "component")).alias("largest"), F.sum("count").alias("total")
@@ -213,35 +218,56 @@ def _across(entries: DataFrame, components: DataFrame, signatures: DataFrame, bo
     blocks = dealt.select("key", "id", "component", "own", F.explode(others).alias("other")).select(
         "key", "id", "component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
     )
-    rows = blocks.join(signatures, "id").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "id")
-    out = pa.schema([("pivot", pa.int64()), ("id", pa.int64())])
+    marks = own.select("id", "bands", "signature")
+    rows = (
+        blocks.join(marks.join(texts, "id"), "id")
+        .repartition("key", "low", "high")
+        .sortWithinPartitions("key", "low", "high", "id")
+        .select("key", "low", "high", "id", "component", "bands", "signature", "value")
+    )
+    most, whole = threshold
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(block: list) -> pa.RecordBatch:
-            ids, parts = np.array([r[0] for r in block]), np.array([r[1] for r in block])
-            marks = np.frombuffer(b"".join(r[2] for r in block), np.uint16).reshape(-1, HASHES)
-            left, right = [], []
+        def linked(key: int, block: list) -> pa.RecordBatch:
+            ids, parts, bands, signatures, held = zip(*block, strict=True)
+            parts, bands = np.array(parts), np.array(bands, np.int64)
+            signatures = np.frombuffer(b"".join(signatures), np.uint16).reshape(-1, HASHES)
+            band = int(np.flatnonzero(bands[0] == key)[0])
+            sets: dict[int, np.ndarray] = {}
+
+            def of(i: int) -> np.ndarray:
+                if i not in sets:
+                    sets[i] = shingle_set(held[i], size)
+                return sets[i]
+
+            a, b = [], []
             for i in range(len(ids) - 1):
                 near = np.flatnonzero(parts[i + 1 :] != parts[i]) + i + 1
-                for j in near[survivors(marks[i], marks[near], bounds)]:
-                    left.append(int(ids[i]))
-                    right.append(int(ids[j]))
-            return batch_of(out, [left, right])
+                near = near[~(bands[near, :band] == bands[i, :band]).any(axis=1)]
+                for j in near[survivors(signatures[i], signatures[near], bounds)].tolist():
+                    if parts[i] == parts[j]:
+                        continue
+                    shared = len(np.intersect1d(of(i), of(j), assume_unique=True))
+                    if whole * shared >= most * (len(of(i)) + len(of(j)) - shared):
+                        a.append(ids[i])
+                        b.append(ids[j])
+                        parts[parts == parts[j]] = parts[i]
+            return batch_of(out, [a, b])
 
         block, at = [], None
-        for batch in slices(batches, 2048):
-            columns = (batch[c].to_pylist() for c in ("key", "low", "high", "id", "component", "value"))
-            for key, low, high, doc, part, value in zip(*columns, strict=True):
+        for batch in slices(batches):
+            columns = (batch[c].to_pylist() for c in ("key", "low", "high", "id", "component", "bands", "signature", "value"))
+            for key, low, high, *member in zip(*columns, strict=True):
                 if (key, low, high) != at:
                     if len(block) > 1:
-                        yield pairs(block)
+                        yield linked(at[0], block)
                     block, at = [], (key, low, high)
-                block.append((doc, part, value))
+                block.append(member)
         if len(block) > 1:
-            yield pairs(block)
+            yield linked(at[0], block)
 
-    found = map_arrow(rows.select("key", "low", "high", "id", "component", "value"), compare, "pivot long, id long")
-    return found.select(F.greatest("pivot", "id").alias("pivot"), F.least("pivot", "id").alias("id")).distinct()
+    return map_arrow(rows, compare, "a long, b long")
 
 
 def near_duplicates(
@@ -289,21 +315,18 @@ def near_duplicates(
             entries.join(pivots, "key").where("id <> pivot").select("pivot", "id").distinct(), "pairs"
         )
         signatures = own.select("id", F.col("signature").alias("value"))
-        node_texts = texts.join(nodes, "id", "left_semi").select("id", F.col("text").alias("value"))
-
-        def verified(candidates: DataFrame) -> DataFrame:
-            ends = candidates.select("pivot").union(candidates.select("id")).distinct().withColumnRenamed("pivot", "id")
-            needed = scratch.stage(node_texts.join(ends, "id", "left_semi"), "texts")
-            return scratch.stage(_verify(candidates, needed, threshold, shingle), "links")
-
+        sharing = entries.select("id").distinct()
+        node_texts = scratch.stage(
+            texts.join(sharing, "id", "left_semi").select("id", F.col("text").alias("value")), "texts"
+        )
         judged = scratch.stage(_judge_signatures(pairs, signatures, bounds), "judged")
-        links = verified(judged).union(same)
+        links = scratch.stage(_verify(judged, node_texts, threshold, shingle).union(same), "links")
         components = connected_components(links, scratch)
-        left = _across(entries.select("key", "id").distinct(), components, signatures, bounds, scratch)
-        tested = pairs.select(F.greatest("pivot", "id").alias("pivot"), F.least("pivot", "id").alias("id"))
-        left = scratch.stage(left.join(tested, ["pivot", "id"], "left_anti"), "left")
-        if not left.isEmpty():
-            components = connected_components(links.union(verified(left)), scratch)
+        across = scratch.stage(
+            _across(entries.select("key", "id"), components, own, node_texts, bounds, threshold, shingle, scratch), "across"
+        )
+        if not across.isEmpty():
+            components = connected_components(links.union(across), scratch)
         found = sketches.select("id", "n_shingles").join(components, "id", "left")
         component = F.coalesce("component", "id")
         return stage(
