@@ -4,9 +4,9 @@ A file's own license comes from its header lines or, if it is a license file, fr
 whole text: the cosine of TF-IDF vectors to templates decides. A file without one takes that of
 the license file in the nearest directory above it. DataFrame functions only.
 
-Only lines that hold an anchor term are compared. The anchors of a template are its
-heaviest terms, as many as leave a rest whose norm is below the threshold: a line without
-any of them cannot reach the threshold, so nothing is lost.
+Only lines that hold an anchor term are compared. The anchors of a template are the terms
+left when common words, then light ones, are taken out while their norm stays below the
+threshold: a line without any anchor cannot reach the threshold, so nothing is lost.
 """
 
 from __future__ import annotations
@@ -37,9 +37,11 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3"),
     ("MIT", "Released under the MIT License"),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
+    ("MIT", "Permission is hereby granted, free of charge"),
     ("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0"),
 )
+# fixed values: words that do not tell a notice from prose
+COMMON_WORDS = frozenset("a an any and are by copy for from in is it of on or person that the this to under with work".split())
 _TERM = re.compile(r"[a-z0-9]+")
 
 
@@ -56,11 +58,15 @@ def term_weights(templates: tuple[tuple[str, str], ...]) -> tuple[dict[str, floa
 
 
 def anchor_terms(vectors: list[dict[str, float]], threshold: float) -> list[str]:
-    """Terms of which a text needs at least one to reach the threshold with any template."""
+    """Terms of which a text needs at least one to reach the threshold with any template.
+
+    Any terms whose joint norm stays below the threshold may be left out; common words go
+    first, as they would select most lines.
+    """
     anchors: set[str] = set()
     for vector in vectors:
         left = 0.0
-        for term, weight in sorted(vector.items(), key=lambda x: (x[1], x[0])):
+        for term, weight in sorted(vector.items(), key=lambda x: (x[0] not in COMMON_WORDS, x[1], x[0])):
             left += weight * weight
             if left >= threshold * threshold * (1 - 1e-9):
                 anchors.add(term)

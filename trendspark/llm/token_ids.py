@@ -19,8 +19,8 @@ from itertools import chain
 import numpy as np
 import regex
 
-MAX_PIECES = 400_000
-MAX_UNITS = 600_000
+MAX_PIECES = 1_000_000
+MAX_UNITS = 1_200_000
 # a piece longer than this is encoded but not remembered
 MAX_REMEMBERED = 64
 
@@ -37,7 +37,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.line_feed = int(self.encode_whole("\n")[0])
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.units: dict[str, list[int]] = {}
+        self.units: dict[str, bytes] = {}
         self._forget()
 
     def _forget(self) -> None:
@@ -59,15 +59,15 @@ class Encoder:
         blocks = [joined[i : i + 128] for i in range(0, len(joined), 128)]
         texts = ["\n".join(b) for b in blocks]
         for block, done in zip(blocks, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            flat = done.ids
-            cuts = np.flatnonzero(np.array(flat) == self.line_feed).tolist()
+            ids = np.array(done.ids, np.uint32)
+            cuts = np.flatnonzero(ids == self.line_feed)
             if len(cuts) != len(block) - 1:
                 raise ValueError("the tokenizer does not keep line feeds apart")
-            spans = map(slice, [0, *(c + 1 for c in cuts)], [*cuts, len(flat)])
-            self.units.update(zip(block, map(flat.__getitem__, spans), strict=True))
+            spans = map(slice, [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)])
+            self.units.update(zip(block, map(ids.tobytes().__getitem__, spans), strict=True))
         for unit in units:
             if unit not in self.units:
-                self.units[unit] = self.encode_whole(unit).tolist()
+                self.units[unit] = self.encode_whole(unit).tobytes()
 
     def _learn(self, pieces: list[str]) -> None:
         # a special token's text is one id: such a piece is not split
@@ -78,15 +78,15 @@ class Encoder:
         missing = [u for u in dict.fromkeys(chain.from_iterable(split)) if u not in self.units]
         self._learn_units(missing)
         units = self.units
-        encoded = [units[s[0]] if len(s) == 1 else [i for u in s for i in units[u]] for s in split]
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        encoded = [b"".join(map(units.__getitem__, s)) for s in split]
+        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
         begin = int(self.ends[self.n_pieces - 1]) if self.n_pieces else 0
         ends = begin + np.cumsum(lengths)
         while len(self.ids) < ends[-1]:
             self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
         while len(self.ends) < self.n_pieces + len(pieces):
             self.ends = np.concatenate((self.ends, np.zeros_like(self.ends)))
-        self.ids[begin : ends[-1]] = np.fromiter(chain.from_iterable(encoded), np.uint32, int(lengths.sum()))
+        self.ids[begin : ends[-1]] = np.frombuffer(b"".join(encoded), np.uint32)
         self.ends[self.n_pieces : self.n_pieces + len(pieces)] = ends
         self.known.update(zip(pieces, range(self.n_pieces, self.n_pieces + len(pieces)), strict=True))
         self.n_pieces += len(pieces)
