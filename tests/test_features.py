@@ -105,7 +105,7 @@ def test_zip_text(spark):
 
 def test_codes_compare_as_text(spark):
     df = spark.createDataFrame([("58A",), ("5812 ",), ("5812",), (None,)], "mcc string")
-    assert df.where(same_code("mcc", "5812")).count() == 2
+    assert df.where(same_code(df, "mcc", "5812")).count() == 2
 
 
 def test_columns_by_type(spark):
@@ -254,3 +254,51 @@ def test_salted_join_spreads_a_hot_key(spark):
 def test_lookup_join_rejects_other_kinds(spark):
     with pytest.raises(ValueError):
         joins.lookup_join(spark.range(1), spark.range(1), ["id"], "outer")
+
+
+def test_two_paddings_of_a_city_are_one_total(spark):
+    ms = [merchant(1, city="Newark"), merchant(2, city="Newark ")]
+    paid = bank_years(city="Newark ") + bank_years(city=" Newark")
+    totals = aggregate.city_totals(merchants(spark, *ms), bank(spark, *paid))
+    assert totals.count() == 1
+    joined = joins.join_city(features.merchant_features(merchants(spark, *ms)), totals)
+    assert sorted(r["MERCHANT_ID"] for r in joined.collect()) == [1, 2]
+
+
+@pytest.mark.parametrize("kind", ["string", "int", "double", "decimal(10,2)"])
+def test_code_filter_is_typed_and_pushed(spark, tmp_path, kind):
+    spark.sql(f"SELECT CAST(c AS {kind}) AS mcc FROM VALUES ('5812'), ('5811'), (NULL) AS t(c)").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    found = df.where(same_code(df, "mcc", "5812"))
+    assert found.count() == 1
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "5812" in plan.split("PushedFilters: [")[1].split("]")[0]
+
+
+def test_zip_text_of_numbers(spark):
+    df = spark.sql("SELECT 7001.0D AS d, CAST(7001 AS DECIMAL(10,2)) AS m, '7001' AS s")
+    row = df.select(zip_text("d").alias("d"), zip_text("m").alias("m"), zip_text("s").alias("s")).first()
+    assert tuple(row) == ("07001", "07001", "07001")
+
+
+def test_malformed_csv_raises(spark, tmp_path):
+    from trendspark.sources import files
+
+    (tmp_path / "a.csv").write_text("k,v\n1,2\n2,abc\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_csv(spark, str(tmp_path), "k int, v int").collect()
+    assert files.read_csv(spark, str(tmp_path), "k int, v int", mode="PERMISSIVE").count() == 2
+
+
+def test_forest_does_not_depend_on_partitions(spark):
+    from pyspark.ml.feature import VectorAssembler
+
+    from trendspark.operators import forest
+
+    rows = spark.range(400).selectExpr("id", "cast(id % 7 as double) a", "cast(id * 37 % 11 as double) b", "cast(id * 13 % 3 as double) label")
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows)
+    found = [
+        forest.predict(forest.train_forest(rows.repartition(n), seed=5), rows).orderBy("id").select("prediction").collect()
+        for n in (1, 7)
+    ]
+    assert found[0] == found[1]

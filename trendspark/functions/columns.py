@@ -47,14 +47,25 @@ def half_even(column: ColumnOrName, places: int = 0) -> Column:
 
 
 def zip_text(column: ColumnOrName) -> Column:
-    """ZIP code as text of at least five characters, with the leading zeros back."""
-    text = F.trim(_col(column).cast("string"))
+    """ZIP code as text of at least five characters, with the leading zeros back.
+
+    A number read as double or decimal loses its empty fraction: 7001.0 is ``07001``.
+    """
+    text = F.regexp_replace(F.trim(_col(column).cast("string")), r"^([0-9]+)\.0+$", "$1")
     return F.when(F.length(text) < 5, F.lpad(text, 5, "0")).otherwise(text)
 
 
-def same_code(column: ColumnOrName, code: str) -> Column:
-    """Compare a category code as trimmed text, so that ``'58A'`` is no error."""
-    return F.trim(_col(column).cast("string")) == F.lit(code.strip())
+def same_code(df: DataFrame, column: str, code: str) -> Column:
+    """Rows of a category code, as a filter that a scan can use.
+
+    A number equals the code as a number, so 5812.0 and a decimal match as well. Text
+    matches without surrounding blanks; that it contains the code is what the scan checks.
+    """
+    code = code.strip()
+    if isinstance(df.schema[column].dataType, T.NumericType):
+        return F.col(column) == F.lit(int(code)) if code.isdigit() else F.lit(False)
+    text = F.col(column).cast("string")
+    return text.contains(code) & (F.trim(text) == F.lit(code))
 
 
 def columns_of_type(

@@ -85,18 +85,19 @@ def zip_keys(merchants: DataFrame, column: str = "ZIPCODE") -> DataFrame:
 
 
 def limit_rows(
-    df: DataFrame, n: int, order_by: str | None = None, max_candidates: int = 10_000_000
+    df: DataFrame, n: int, order_by: str | None = None, max_candidates: int = 100_000
 ) -> DataFrame:
     """The first ``n`` rows by ``order_by`` (repeatable), or any ``n`` rows without it.
 
     Spark takes the first ``n`` of every partition and merges those in one task. Where
-    that would be more than ``max_candidates`` rows and the column is a number, rows
-    that cannot be among the first are filtered out beforehand: a quantile that at least
-    ``n`` rows do not exceed is a bound for them, and one that the scan can use.
+    ``n`` is above ``max_candidates`` and the column is a number, rows that cannot be among
+    the first are filtered out beforehand: a quantile that at least ``n`` rows do not exceed
+    is a bound for them, and one that the scan can use. Only then does building the result
+    run jobs (a count and the quantile); the rows are the same either way.
     """
     if order_by is None:
         return df.limit(n)
-    if isinstance(df.schema[order_by].dataType, T.NumericType) and df.rdd.getNumPartitions() * n > max_candidates:
+    if n > max_candidates and isinstance(df.schema[order_by].dataType, T.NumericType):
         df = _within_first(df, n, order_by)
     return df.orderBy(order_by).limit(n)
 

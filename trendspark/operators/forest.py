@@ -7,14 +7,15 @@ from collections.abc import Iterable
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendspark.functions import numeric_columns, text_columns
 from trendspark.operators.encode import encoding_stages
-from trendspark.operators.features import limit_rows
+from trendspark.operators.split import key_hash
 from trendspark.settings import (
     CLASSIFIER_TREES,
     IMPORTANCE_ROWS,
@@ -25,22 +26,39 @@ from trendspark.settings import (
 )
 
 
+PARTITIONS = 16
+MAX_SLOTS = 20_000
+
+
+def _spread(rows: DataFrame, key: Column, partitions: int) -> DataFrame:
+    """``rows`` in an order and in parts that follow from their values alone.
+
+    Bagging draws by partition and row, so a forest repeats only if these do: whatever
+    the cores, the input's partitions and their order are.
+    """
+    named = rows.withColumn("_key", key)
+    return named.repartition(partitions, "_key").sortWithinPartitions("_key").drop("_key")
+
+
 def train_forest(
-    training: DataFrame, num_trees: int = CLASSIFIER_TREES, seed: int | None = None
+    training: DataFrame,
+    num_trees: int = CLASSIFIER_TREES,
+    seed: int | None = None,
+    partitions: int = PARTITIONS,
 ) -> RandomForestClassificationModel:
     """Fit a forest on columns ``features`` and ``label``.
 
     Training reads its input several times before the first tree grows, so the two
     columns are kept, in memory as far as it goes and on disk beyond, until it is done.
-    A table of fewer partitions than there are cores is spread over all of them.
+    They are dealt by a hash of their values into ``partitions`` parts: with one seed
+    and one number of parts the same rows give the same forest on any cluster. Give more
+    parts for more rows.
     """
     forest = RandomForestClassifier(numTrees=num_trees)
     if seed is not None:
         forest.setSeed(seed)
-    cores = training.sparkSession.sparkContext.defaultParallelism
-    rows = training.select("features", "label")
-    if rows.rdd.getNumPartitions() < cores:
-        rows = rows.repartition(cores)
+    key = F.xxhash64(vector_to_array("features"), "label")
+    rows = _spread(training.select("features", "label"), key, partitions)
     rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return forest.fit(rows)
@@ -67,6 +85,15 @@ def accuracy(predictions: DataFrame, label: str = "label", prediction: str = "pr
     return predictions.agg(F.avg(right).alias("accuracy"))
 
 
+def _check_slots(rows: DataFrame, texts: list[str], max_slots: int) -> None:
+    if not texts:
+        return
+    counts = rows.agg(*(F.approx_count_distinct(c, 0.02).alias(c) for c in texts)).first().asDict()
+    if sum(counts.values()) > max_slots:
+        wide = ", ".join(sorted(texts, key=counts.get, reverse=True)[:5])
+        raise ValueError(f"text columns with too many values for one slot each; exclude some of: {wide}")
+
+
 def feature_importance(
     merged: DataFrame,
     *,
@@ -76,23 +103,32 @@ def feature_importance(
     mode: str = "classify",
     exclude: Iterable[str] = (),
     strict_types: bool = False,
+    partitions: int = PARTITIONS,
+    max_slots: int = MAX_SLOTS,
 ) -> DataFrame:
     """Importance of every feature slot for ``target``: ``idx``, ``name``, ``score``.
 
-    A report over the first ``rows`` rows by ``order_by``. Text columns are indexed and
-    one-hot encoded, so a slot stands for one value; numeric columns are slots as they
-    are. ``mode="classify"`` takes every value of the target for a class of its own;
-    ``"regress"`` fits the amount itself. The row limit bounds the labels of every
-    index, the number of slots, and the result.
+    Text columns are indexed and one-hot encoded, so a slot stands for one value; numeric
+    columns are slots as they are. ``mode="regress"`` fits the amount itself, on all rows,
+    spread by the hash of ``order_by``. ``mode="classify"`` takes every value of the target
+    for a class of its own and is fitted on a bounded sample of labelled rows: the ``rows``
+    rows of the least hash of ``order_by``, in one partition. Text columns that would make
+    more than ``max_slots`` slots raise an error that names them for ``exclude``.
     """
     if mode not in ("classify", "regress"):
         raise ValueError("mode is 'classify' or 'regress'")
-    # used by several fits; the limit leaves one partition, so that bagging repeats
-    sample = limit_rows(merged, rows, order_by).cache()
+    keys = [order_by] if order_by else sorted(merged.columns)
+    if mode == "classify":
+        # the limit leaves one partition, so that bagging repeats
+        sample = merged.orderBy(key_hash(keys), *keys).limit(rows)
+    else:
+        sample = _spread(merged, key_hash(keys), partitions)
+    sample = sample.cache()  # used by several fits
     try:
         left_out = {*exclude, target}
         texts = text_columns(sample, left_out)
         numbers = numeric_columns(sample, left_out, strict_types)
+        _check_slots(sample, texts, max_slots)
         stages = encoding_stages(texts) if texts else []
         stages.append(VectorAssembler(inputCols=numbers + ["OHE_" + c for c in texts], outputCol="features"))
         options = {

@@ -27,35 +27,35 @@ _CENSUS_COLUMNS = [(y, code, f"{name}_{y}") for y in CENSUS_YEARS for code, name
 _MERCHANTS = f"""
 merchants AS (
   SELECT s_suppkey AS MERCHANT_ID, s_name AS MERCHANT_NAME, CAST(5811 + s_suppkey % 3 AS VARCHAR) AS MCC,
-         r_name AS BILLING_STATE, n_name AS CITY,
+         r_name AS BILLING_STATE, CASE WHEN s_suppkey % 5 = 0 THEN concat(n_name, ' ') ELSE n_name END AS CITY,
          lpad(CAST(1000 + (s_suppkey % 37) * 101 AS VARCHAR), 5, '0') AS ZIPCODE,
          CAST(1000 * (s_nationkey + 1) AS BIGINT) AS POPULATION,
          {", ".join(
-             f"CAST(sum(CASE WHEN year(l_shipdate) = {y - 20} THEN CAST(l_extendedprice AS DECIMAL(18,2)) END) "
+             f"CAST(sum(CASE WHEN (year(l_shipdate) - 1990) % 4 = {y - 2018} THEN CAST(l_extendedprice AS DECIMAL(18,2)) END) "
              f"AS DOUBLE) AS {c}" for y, c in zip(YEARS, SALES_COLUMNS))},
-         {", ".join(f"count(CASE WHEN year(l_shipdate) = {y - 20} THEN 1 END) AS {c}"
+         {", ".join(f"count(CASE WHEN (year(l_shipdate) - 1990) % 4 = {y - 2018} THEN 1 END) AS {c}"
                     for y, c in zip(YEARS, COUNT_COLUMNS))}
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
   JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-  WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND l_shipdate < TIMESTAMP '2002-01-01'
   GROUP BY s_suppkey, s_name, s_nationkey, r_name, n_name)"""
 
 _BANK = """
 bank AS (
-  SELECT n_name AS MERCHANT_CITY_NAME, r_name AS MERCHANT_STATE_XCD,
+  SELECT concat(CASE WHEN n_nationkey % 7 = 0 THEN 'Old ' ELSE '' END, n_name, CASE WHEN c_custkey % 5 = 0 THEN '  ' ELSE '' END)
+           AS MERCHANT_CITY_NAME, r_name AS MERCHANT_STATE_XCD,
          concat(' ', CAST(5811 + c_custkey % 3 AS VARCHAR), ' ') AS MERCHANT_CATEGORY_XCD,
          CAST(year(o_orderdate) + 20 AS INTEGER) AS YEAR_run,
          sum(CAST(o_totalprice AS DECIMAL(18,2))) AS TOT_SUM, count(*) AS TOT_CNT
   FROM orders JOIN customer ON o_custkey = c_custkey
   JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-  WHERE n_nationkey % 7 <> 0
   GROUP BY ALL)"""
 
 _CENSUS = f"""
 by_zip AS (
-  SELECT lpad(CAST(1000 + (c_custkey % 37) * 101 AS VARCHAR), 5, '0') AS zipcode,
+  SELECT CASE WHEN c_custkey % 37 % 11 = 0 THEN '9' ELSE '0' END
+           || right(lpad(CAST(1000 + (c_custkey % 37) * 101 AS VARCHAR), 5, '0'), 4) AS zipcode,
          count(CASE WHEN c_custkey % 2 = 0 THEN 1 END) AS even, count(CASE WHEN c_custkey % 2 = 1 THEN 1 END) AS odd
-  FROM customer WHERE c_custkey % 37 % 11 <> 0 GROUP BY 1),
+  FROM customer GROUP BY 1),
 census AS (
   SELECT zipcode, {", ".join(
       f"{'even' if c.startswith('population_male') else 'odd'} + {y - 2018} AS {c}" for y, _, c in _CENSUS_COLUMNS)}
@@ -137,7 +137,8 @@ def _pivot(legacy: bool) -> str:
         for y in _LATEST_FIRST
     )
     counts = ", ".join(f"sum(CASE WHEN YEAR_run = {y} THEN TOT_CNT END) AS \"{y}CNT\"" for y in _LATEST_FIRST)
-    return f"""SELECT MERCHANT_CITY_NAME, MERCHANT_STATE_XCD, MERCHANT_CATEGORY_XCD, {amounts}, {counts}
+    return f"""SELECT trim(MERCHANT_CITY_NAME) AS MERCHANT_CITY_NAME, trim(MERCHANT_STATE_XCD) AS MERCHANT_STATE_XCD,
+        trim(MERCHANT_CATEGORY_XCD) AS MERCHANT_CATEGORY_XCD, {amounts}, {counts}
         FROM bank GROUP BY 1, 2, 3"""
 
 
@@ -149,19 +150,19 @@ def _sums() -> str:
     # the merchant totals are doubles of exact cents, so cents add up exactly
     money = ", ".join(f"sum(CAST({_MONEY[f'{y}Tot']} AS DECIMAL(18,2))) AS \"{y}Tot\"" for y in _LATEST_FIRST)
     number = ", ".join(f"sum({_NUMBER[f'{y}CNt']}) AS \"{y}CNt\"" for y in _LATEST_FIRST)
-    return f"""SELECT MCC, BILLING_STATE, CITY, sum(POPULATION) AS population, {money}, {number}
+    return f"""SELECT trim(MCC) AS MCC, trim(BILLING_STATE) AS BILLING_STATE, trim(CITY) AS CITY, sum(POPULATION) AS population, {money}, {number}
         FROM merchants GROUP BY 1, 2, 3"""
 
 
 _TOTALS = f"""
 m AS ({_sums()}), b AS ({_pivot(False)}),
 totals AS (
-  SELECT DISTINCT trim(m.MCC) AS MCC, trim(m.BILLING_STATE) AS BILLING_STATE, trim(m.CITY) AS CITY,
+  SELECT m.MCC, m.BILLING_STATE, m.CITY,
     {", ".join(f'CAST(m."{y}Tot" + b."{y}Tot" AS DOUBLE) AS Total{y}' for y in _LATEST_FIRST)},
     {", ".join(f'CAST(m."{y}CNt" + b."{y}CNT" AS BIGINT) AS CNT{y}' for y in _LATEST_FIRST)}
-  FROM m LEFT JOIN b ON trim(m.MCC) = trim(b.MERCHANT_CATEGORY_XCD) AND trim(m.CITY) = trim(b.MERCHANT_CITY_NAME)
-    AND trim(m.BILLING_STATE) = trim(b.MERCHANT_STATE_XCD)
-  WHERE trim(m.MCC) = '5812')"""
+  FROM m LEFT JOIN b ON m.MCC = b.MERCHANT_CATEGORY_XCD AND m.CITY = b.MERCHANT_CITY_NAME
+    AND m.BILLING_STATE = b.MERCHANT_STATE_XCD
+  WHERE m.MCC = '5812')"""
 _TOTAL_COLUMNS = [f"Total{y}" for y in _LATEST_FIRST] + [f"CNT{y}" for y in _LATEST_FIRST]
 _COMPLETE_TOTALS = " AND ".join(f"{c} IS NOT NULL" for c in _TOTAL_COLUMNS)
 
@@ -177,7 +178,7 @@ def _typed(select: str, quoted: str) -> str:
 _MERGE = """
 merged AS (
   SELECT s.*, t.* EXCLUDE (MCC, BILLING_STATE, CITY), c.* EXCLUDE (zipcode)
-  FROM {source} s JOIN totals t USING (BILLING_STATE, CITY) JOIN census c ON s.ZIPCODE = c.zipcode
+  FROM (SELECT * REPLACE (trim(CITY) AS CITY) FROM {source}) s JOIN totals t USING (BILLING_STATE, CITY) JOIN census c ON s.ZIPCODE = c.zipcode
   WHERE {complete})"""
 
 
@@ -278,7 +279,8 @@ def oracle_sql() -> dict[str, str]:
         "census_enrich": _with(_MERCHANTS, _CENSUS)
         + "SELECT * FROM (SELECT DISTINCT ZIPCODE AS zipcode FROM merchants) LEFT JOIN census USING (zipcode)",
         "join_city": _with(_MERCHANTS, _FEATURES, _BANK, _TOTALS)
-        + "SELECT f.*, t.* EXCLUDE (MCC, BILLING_STATE, CITY) FROM features f JOIN totals t USING (BILLING_STATE, CITY)",
+        + "SELECT f.*, t.* EXCLUDE (MCC, BILLING_STATE, CITY)"
+        + " FROM (SELECT * REPLACE (trim(CITY) AS CITY) FROM features) f JOIN totals t USING (BILLING_STATE, CITY)",
         "join_census": _with(_MERCHANTS, _CENSUS)
         + "SELECT m.*, c.* EXCLUDE (zipcode) FROM merchants m JOIN census c ON m.ZIPCODE = c.zipcode",
         "merge_all": _with(_MERCHANTS, _FEATURES, _BANK, _TOTALS, _CENSUS, _merged("features"))

@@ -1,6 +1,6 @@
 """Merchant, bank and census tables derived from the order tables of the test data.
 
-Years 1998 to 2001 of the test data stand for 2018 to 2021. Large tables are summed by
+Order years are moved by twenty, ship years folded into 2018 to 2021; every row counts. Large tables are summed by
 their join key before they are joined, so that a key holding many rows is combined on
 the map side and never meets the join.
 """
@@ -59,12 +59,10 @@ def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merchant_yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Yearly totals per supplier."""
-    shipped = F.year("l_shipdate") + YEAR_SHIFT
-    lines = table(spark, sf_dir, "lineitem").where(
-        (F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
-        & (F.col("l_shipdate") < F.lit("2002-01-01").cast("timestamp_ntz"))
-    )
+    """Yearly totals per supplier; each fifth city name is padded."""
+    # all years of the test data, folded into four
+    shipped = F.lit(YEARS[0]) + F.pmod(F.year("l_shipdate") - 1990, F.lit(len(YEARS)))
+    lines = table(spark, sf_dir, "lineitem")
     cents = _cents("l_extendedprice")
     sums = [_money(F.sum(F.when(shipped == y, cents))).alias(c) for y, c in zip(YEARS, SALES_COLUMNS)]
     counts = [F.count(F.when(shipped == y, 1)).alias(c) for y, c in zip(YEARS, COUNT_COLUMNS)]
@@ -78,7 +76,7 @@ def merchant_yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("s_name").alias("MERCHANT_NAME"),
             _code("s_suppkey").alias("MCC"),
             F.col("r_name").alias("BILLING_STATE"),
-            F.col("n_name").alias("CITY"),
+            F.when(F.col("s_suppkey") % 5 == 0, F.concat("n_name", F.lit(" "))).otherwise(F.col("n_name")).alias("CITY"),
             _zip("s_suppkey").alias("ZIPCODE"),
             (F.lit(1000) * (F.col("s_nationkey") + 1)).cast("bigint").alias("POPULATION"),
             *SALES_COLUMNS,
@@ -88,18 +86,24 @@ def merchant_yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bank_yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Yearly totals per city, state and category; some cities have none."""
+    """Yearly totals per city, state and category, some padded; some cities match no merchant."""
     yearly = (
         table(spark, sf_dir, "orders")
         .groupBy("o_custkey", (F.year("o_orderdate") + YEAR_SHIFT).alias("YEAR_run"))
         .agg(F.sum(_cents("o_totalprice")).alias("cents"), F.count("*").alias("n"))
     )
-    customers = table(spark, sf_dir, "customer").where(F.col("c_nationkey") % 7 != 0)
+    customers = table(spark, sf_dir, "customer")
+    # another spelling for cities without a match, and two paddings for one in five
+    city = F.concat(
+        F.when(F.col("c_nationkey") % 7 == 0, "Old ").otherwise(""),
+        F.col("n_name"),
+        F.when(F.col("c_custkey") % 5 == 0, "  ").otherwise(""),
+    )
     return (
         yearly.join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .join(_places(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
         .groupBy(
-            F.col("n_name").alias("MERCHANT_CITY_NAME"),
+            city.alias("MERCHANT_CITY_NAME"),
             F.col("r_name").alias("MERCHANT_STATE_XCD"),
             F.concat(F.lit(" "), _code("c_custkey"), F.lit(" ")).alias("MERCHANT_CATEGORY_XCD"),
             "YEAR_run",
@@ -109,11 +113,11 @@ def bank_yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def census_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows ``year, variable, zipcode, value``; some ZIP codes are missing."""
+    """Rows ``year, variable, zipcode, value``; some ZIP codes are of another range."""
+    code = F.when(F.col("c_custkey") % 37 % 11 == 0, F.concat(F.lit("9"), F.substring(_zip("c_custkey"), 2, 4)))
     by_zip = (
         table(spark, sf_dir, "customer")
-        .where(F.col("c_custkey") % 37 % 11 != 0)
-        .groupBy(_zip("c_custkey").alias("zipcode"))
+        .groupBy(code.otherwise(_zip("c_custkey")).alias("zipcode"))
         .agg(
             F.count(F.when(F.col("c_custkey") % 2 == 0, 1)).alias("even"),
             F.count(F.when(F.col("c_custkey") % 2 == 1, 1)).alias("odd"),

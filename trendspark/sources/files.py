@@ -27,16 +27,23 @@ def read_csv(
     header: bool = True,
     sep: str = ",",
     multi_line: bool = False,
+    mode: str | None = None,
 ) -> DataFrame:
     """Scan CSV files.
 
     Give a ``schema`` whenever it is known: inference costs one more pass over the
     files and loses the leading zeros of codes. ``multi_line`` allows line breaks
     inside quoted fields, but then a file can no longer be split between tasks.
+
+    With a schema a malformed value or a row of another length raises (``FAILFAST``).
+    ``mode="PERMISSIVE"`` makes nulls of them; add a ``_corrupt_record string`` column to
+    the schema to keep the text of such rows. A field that is exactly the control
+    character U+0001 is read as null.
     """
     reader = spark.read.options(
         **_CSV_DIALECT, header=header, sep=sep, multiLine=multi_line, nullValue=_NULL_FIELD
     )
+    reader = reader.option("mode", mode or ("FAILFAST" if schema is not None else "PERMISSIVE"))
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)
 

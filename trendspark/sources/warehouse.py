@@ -57,7 +57,7 @@ def read_warehouse(spark: SparkSession, url: str, **kwargs: Any) -> DataFrame:
 
 def merchant_extract(table: DataFrame, code: str = RESTAURANT_CODE, column: str = "MCC") -> DataFrame:
     """Merchants of one category code."""
-    return table.where(same_code(column, code))
+    return table.where(same_code(table, column, code))
 
 
 def bank_extract(table: DataFrame) -> DataFrame:
