@@ -122,7 +122,8 @@ def shared_encoder(path: str) -> Encoder:
     return held[path]
 
 
-_SEAM = re.compile(r" (?=\s)|(?<=\s) |^ | $")
+# white space other than the space and the line feed
+_RARE = re.compile(r"[^\S \n]")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -132,7 +133,8 @@ def split_pieces(text: str) -> list[str]:
     The space itself is left out: every piece but the first has one in front. A first
     piece is marked by a second space instead, which no other piece can start with.
     """
-    words = _CUT.split(text) if _SEAM.search(text) else text.split(" ")
+    seams = "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " "
+    words = _CUT.split(text) if seams or _RARE.search(text) else text.split(" ")
     if words[0]:
         words[0] = "  " + words[0]
         return words

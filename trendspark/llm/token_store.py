@@ -121,11 +121,12 @@ def write_token_ids(
     empty table gives a table without rows. Other columns are not read.
     """
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
-    buckets = buckets or bucket_count(docs)
-    bounds = bucket_bounds(texts.select("id"), "id", buckets)
+    parts = bucket_count(docs)
+    # several ranges a task even out what a hash of so few numbers deals unevenly
+    bounds = bucket_bounds(texts.select("id"), "id", buckets or 3 * parts)
     ordered = (
         texts.withColumn("bucket", bucket_of("id", bounds).cast("int"))
-        .repartitionByRange(max(1, len(bounds) + 1), "bucket")
+        .repartition(parts, "bucket")
         .sortWithinPartitions("bucket", "id", "text")
     )
     out = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("data", pa.binary())])
