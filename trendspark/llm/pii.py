@@ -59,9 +59,9 @@ _SPELLED = re.compile(rf"(?<!\w)(?:{_WORDS})(?:[ -](?:{_WORDS}|[0-9])(?!\w)){{3,
 _SPELLED_UNIT = re.compile(rf"{_WORDS}|[0-9]", re.IGNORECASE)
 _BRACKETED_AT = re.compile(r" ?[\[({<] ?(?:at|arroba|arobase|@) ?[\])}>] ?", re.IGNORECASE)
 _BRACKETED_DOT = re.compile(r" ?[\[({<] ?(?:dot|punkt|point|punto|\.) ?[\])}>] ?", re.IGNORECASE)
-# with no brackets both have to be spelled: "name at host dot org"
+# with no brackets both have to be spelled: "name at host dot org", but not "at the dot"
 _BARE = re.compile(
-    r"(?<![\w.%+-])[A-Za-z0-9_%+-]+(?:(?: dot |\.)[A-Za-z0-9_%+-]+)*( at )[A-Za-z0-9-]+(?:(?: dot |\.)[A-Za-z0-9-]+)*( dot )[A-Za-z]{2,}",
+    r"(?<![\w.%+-])[A-Za-z0-9_%+-]+(?:(?: dot |\.)[A-Za-z0-9_%+-]+)*( at )(?!(?:the|a|an|my|our|your|this|that) )[A-Za-z0-9-]+(?:(?: dot |\.)[A-Za-z0-9-]+)*( dot )[A-Za-z]{2,}",
     re.IGNORECASE,
 )
 _BARE_DOT = re.compile(r" dot ", re.IGNORECASE)
