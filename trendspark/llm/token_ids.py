@@ -19,8 +19,8 @@ from itertools import chain
 import numpy as np
 import regex
 
-MAX_PIECES = 1_000_000
-MAX_UNITS = 1_200_000
+MAX_PIECES = 600_000
+MAX_UNITS = 800_000
 # a piece longer than this is encoded but not remembered
 MAX_REMEMBERED = 64
 
