@@ -213,8 +213,8 @@ def test_sizes_are_measured(spark):
 def test_join_without_hot_keys_is_plain(spark):
     fact, lookup = spark.range(1000).withColumn("k", F.col("id") % 100), spark.range(100).withColumnRenamed("id", "k")
     for rows in (5, 2000):
-        joined = joins.salted_join(fact, lookup, ["k"], min_hot_rows=rows * 10)
-        assert "_salt" not in joined._jdf.queryExecution().toString()
+        joined = joins.split_join(fact, lookup, ["k"], min_hot_rows=rows * 10)
+        assert "_hot" not in joined._jdf.queryExecution().toString()
         assert joined.count() == 1000
 
 
@@ -222,27 +222,27 @@ def test_hot_keys_found_in_a_sample_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(joins, "SAMPLE_ROWS", 500)
     fact = spark.range(5000).withColumn("k", F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 900))
     lookup = spark.range(800).select(F.col("id").alias("k"), F.lit("x").alias("v"))
-    got, expected = joins.salted_join(fact, lookup, ["k"], min_hot_rows=300), fact.join(lookup, ["k"])
-    assert "_salt" in got._jdf.queryExecution().toString()
+    got, expected = joins.split_join(fact, lookup, ["k"], min_hot_rows=300), fact.join(lookup, ["k"])
+    assert "_hot" in got._jdf.queryExecution().toString()
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
 
 
 def test_many_null_keys_are_kept_and_spread(spark):
     fact = spark.range(900).withColumn("k", F.when(F.col("id") % 3 > 0, F.col("id")))
     lookup = spark.range(500).select(F.col("id").alias("k"), F.lit("x").alias("v"))
-    got = joins.salted_join(fact, lookup, ["k"], "left", min_hot_rows=50)
+    got = joins.split_join(fact, lookup, ["k"], "left", min_hot_rows=50)
     expected = fact.join(lookup, ["k"], "left")
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
-    assert "_salt" in got._jdf.queryExecution().toString()
+    assert "_hot" in got._jdf.queryExecution().toString()
 
 
-def test_salted_join_spreads_a_hot_key(spark):
+def test_split_join_does_not_shuffle_a_hot_key(spark):
     fact = spark.range(5000).withColumn("k", F.when(F.col("id") < 4000, 1).otherwise(F.col("id")).cast("int"))
     lookup = spark.range(6000).select(F.col("id").cast("int").alias("k"), F.lit("x").alias("v"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.enabled", False)
     try:
-        joined = joins.salted_join(fact, lookup, ["k"], min_hot_rows=100, hot_share=0.01)
+        joined = joins.split_join(fact, lookup, ["k"], min_hot_rows=100, hot_share=0.01)
         sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -251,6 +251,12 @@ def test_salted_join_spreads_a_hot_key(spark):
     assert max(sizes) < 2000
 
 
+def test_split_join_is_plain_if_hot_lookup_rows_are_too_many(spark):
+    fact, lookup = spark.range(900).selectExpr("id", "1 AS k"), spark.range(5).selectExpr("1 AS k", "id AS v")
+    joined = joins.split_join(fact, lookup, ["k"], min_hot_rows=50, broadcast_bytes=0)
+    assert "_hot" not in joined._jdf.queryExecution().toString() and joined.count() == 4500
+
+
 def test_lookup_join_rejects_other_kinds(spark):
     with pytest.raises(ValueError):
         joins.lookup_join(spark.range(1), spark.range(1), ["id"], "outer")

@@ -71,6 +71,30 @@ def test_index_columns_equals_multi_column_string_indexer(spark):
     assert encode.index_columns(df, columns).exceptAll(expected).count() == 0
 
 
+@pytest.mark.parametrize("max_labels", [1000, 3])
+def test_slot_names_do_not_depend_on_the_number_of_values(spark, max_labels, monkeypatch):
+    df = flowers(spark).select("id", "species", F.concat(F.lit("h"), F.col("id") % 7).alias("other"))
+    columns = ["species", "other"]
+    indexed = encode.index_columns(df, columns, max_labels=max_labels)
+    names = {(r["name"], r["slot"]): r["value"] for r in encode.slot_labels(df, columns).collect()}
+    assert len(names) == 10
+    for row in indexed.collect():
+        assert all(names[c, row["IDX_" + c]] == row[c] for c in columns)
+    kinds = [indexed.schema["IDX_" + c].metadata["ml_attr"] for c in columns]
+    assert kinds == [{"type": "nominal", "num_vals": n, "name": "IDX_" + c} for c, n in zip(columns, (4, 8))]
+    monkeypatch.setattr(encode, "MAX_LABEL_BYTES", 1)
+    again = encode.index_columns(df, columns)
+    assert again.exceptAll(indexed).count() == 0
+
+
+def test_importance_model_can_be_kept(spark):
+    df = spark.range(60).selectExpr("id AS MERCHANT_ID", "id % 4 AS driver", "id % 4 * 100D AS TOT_SALES2021")
+    path = new_path(spark, "importance-model")
+    forest.feature_importance(df, mode="regress", exclude=["MERCHANT_ID"], model_path=path)
+    kept = forest.load_model(spark, path).transform(df)
+    assert kept.where("abs(prediction - TOT_SALES2021) < 50").count() == 60
+
+
 def test_hash_split_parts_are_disjoint_whole_and_stable(spark):
     df = spark.range(5000)
     train, test = split.hash_split(df, "id", 0.2)
@@ -155,7 +179,10 @@ def brute_force(train, test):
     return out
 
 
-@pytest.mark.parametrize("pivots,train_block,test_block", [(None, 4096, 4096), (None, 16, 8), (40, 4096, 5), (1, 7, 1000)])
+BLOCKS = [(None, 4096, 4096), (None, 16, 8), (40, 4096, 5), (1, 7, 1000)]
+
+
+@pytest.mark.parametrize("pivots,train_block,test_block", BLOCKS)
 def test_nearest_neighbour_equals_brute_force(spark, pivots, train_block, test_block):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(5, 6)) * 10
@@ -166,12 +193,47 @@ def test_nearest_neighbour_equals_brute_force(spark, pivots, train_block, test_b
     train = spark.createDataFrame(points, "vec_id bigint, embedding array<double>, label string")
     test = spark.createDataFrame(queries, "vec_id bigint, embedding array<double>")
     found = neighbours.nearest_neighbour(
-        train.repartition(5), test.repartition(3), pivots=pivots, train_block=train_block, test_block=test_block
-    )
+        train.repartition(5), test.repartition(3), pivots=pivots, train_block=train_block, test_block=test_block,
+        broadcast_bytes=1 << 20 if train_block == 4096 else 0,
+    )
     got = {r["test_id"]: (r["train_id"], r["prediction"]) for r in found.collect()}
     assert got == brute_force(points, queries)
 
 
+def test_nearest_neighbour_of_uniform_vectors(spark):
+    rng = np.random.default_rng(5)
+    points = [(i, rng.random(3).tolist(), "x") for i in range(400)]
+    queries = [(i, rng.random(3).tolist()) for i in range(50)]
+    train = spark.createDataFrame(points, "vec_id bigint, embedding array<double>, label string")
+    test = spark.createDataFrame(queries, "vec_id bigint, embedding array<double>")
+    found = neighbours.nearest_neighbour(train, test, train_block=20, test_block=6, broadcast_bytes=0)
+    assert {r[0]: (r[1], r[2]) for r in found.collect()} == brute_force(points, queries)
+
+
+def test_shells_spare_most_copies_of_clustered_rows():
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(20, 8)) * 100
+    points = np.repeat(centres, 200, axis=0) + rng.normal(size=(4000, 8))
+    distance = np.sqrt(((points[:, None] - centres[None]) ** 2).sum(axis=2))
+    own = distance.argmin(axis=1)
+    shells = [(c, s) for c in range(20) for s in np.array_split(np.sort(distance[own == c, c]), 10)]
+    cells, low, high = np.array([c for c, _ in shells]), np.array([s[0] for _, s in shells]), np.array([s[-1] for _, s in shells])
+    needed = neighbours._needed(distance, np.full(4000, 0.5), cells, low, high)
+    home = (cells == own[:, None]) & (low <= distance.min(axis=1)[:, None]) & (high >= distance.min(axis=1)[:, None])
+    assert (needed | ~home).all()
+    assert needed.sum(axis=1).mean() < 10 < len(shells) / 10
+
+
+@pytest.mark.parametrize("bad", [None, [1.0, None], [1.0, float("nan")], [float("inf"), 1.0], [1.0]])
+def test_bad_vectors_are_named(spark, bad):
+    schema = "vec_id bigint, embedding array<double>, label string"
+    good = spark.createDataFrame([(1, [1.0, 2.0], "a"), (2, [1.0, 3.0], "b")], schema)
+    worse = good.union(spark.createDataFrame([(77, bad, "c")], schema))
+    for train, test in ((good, worse), (worse, good)):
+        with pytest.raises(ValueError, match="77"):
+            neighbours.nearest_neighbour(train, test)
+
+
 def test_nearest_neighbour_without_rows(spark):
     empty = spark.createDataFrame([], "vec_id bigint, embedding array<double>, label string")
     some = spark.createDataFrame([(1, [1.0, 2.0], "a")], "vec_id bigint, embedding array<double>, label string")
@@ -181,7 +243,7 @@ def test_nearest_neighbour_without_rows(spark):
 
 def test_task_functions_need_no_package_on_the_executors(tmp_path):
     functions = (
-        neighbours._place(np.zeros((1, 2))), neighbours._other_cells(np.zeros((1, 2)), np.zeros(1)),
+        neighbours._place(np.zeros((1, 2))), neighbours._other_blocks(np.zeros((1, 2)), *np.zeros((4, 1), np.int64)),
         neighbours._nearest_in_block,
     )
     (tmp_path / "functions").write_bytes(cloudpickle.dumps(functions))

@@ -24,6 +24,14 @@ VALUES = {
         when 3 then double('-Infinity') when 4 then -0D when 5 then 0D else id / 10D end""",
     "null": "cast(null as double)",
     "int": "cast(hash(id) % 100 as int)",
+    # neighbours above 2^53 are one double
+    "bigint": "if(id % 3 = 0, 9007199254740993L, 9007199254740992L + id % 50)",
+    "decimal": "cast(if(id % 4 = 0, null, hash(id) % 1000) as decimal(38,2)) / 100",
+    "text": "if(id % 3 = 0, 'a,\"b', if(id % 7 = 0, '', cast(hash(id) as string)))",
+    "date": "date_add(date'2020-01-01', cast(id % 300 as int))",
+    "timestamp": "timestamp'2020-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id % 500)",
+    "boolean": "id % 3 = 0",
+    "long_text": "concat(repeat('x', 2000), cast(id % 9 as string))",
 }
 
 
@@ -49,13 +57,22 @@ def test_rank_of_no_rows(spark):
     assert ranking.global_rank(df, "v", "r").collect() == []
 
 
-def test_rank_refuses_types_that_a_double_cannot_hold(spark):
+def test_rank_refuses_types_without_a_simple_order(spark):
     with pytest.raises(TypeError):
-        ranking.global_rank(spark.range(3), "id", "r")
+        ranking.global_rank(spark.range(3).selectExpr("array(id) AS v"), "v", "r")
     with pytest.raises(ValueError):
         ranking.global_rank(spark.range(3).selectExpr("cast(id as int) AS v"), "v", "r", buckets=1)
 
 
+@pytest.mark.parametrize("kind", ["bigint", "text"])
+def test_hot_values_of_own_order_are_groups_of_their_own(spark, kind):
+    df = spark.range(9000).selectExpr("id", f"{VALUES[kind]} AS v")
+    cuts = ranking._sampled_cuts(df, "v", 32)
+    groups = df.withColumn("g", ranking._own_group(F.col("v"), cuts, df.schema["v"].dataType))
+    assert groups.where("g % 2 = 1").groupBy("g").count().agg(F.max("count")).first()[0] <= 2 * 9000 / 32
+    assert groups.where("g % 2 = 0").groupBy("g").agg(F.count_distinct("v")).agg(F.max("count(DISTINCT v)")).first()[0] == 1
+
+
 def test_hot_values_are_not_sorted_in_a_window_task(spark):
     df = spark.range(9000).selectExpr("id", f"{VALUES['hot']} AS v")
     ranked = ranking.global_rank(df, "v", "r", buckets=32)

@@ -63,8 +63,10 @@ def test_jdbc_options():
         "url": "jdbc:some:db", "dbtable": "t", "partitionColumn": "id", "lowerBound": "0", "upperBound": "100",
         "numPartitions": "8", "fetchsize": "10000", "user": "u",
     }
-    assert warehouse.jdbc_options("u", query="select 1")["query"] == "select 1"
-    for bad in ({}, {"table": "t", "query": "q"}, {"table": "t", "num_partitions": 4},
+    assert warehouse.jdbc_options("u", query="select 1", single_task=True)["query"] == "select 1"
+    for bad in ({}, {"table": "t"}, {"query": "select 1"},
+                {"table": "t", "single_task": True, "partition_column": "id", "lower_bound": 0, "upper_bound": 1,
+                 "num_partitions": 2}, {"table": "t", "query": "q"}, {"table": "t", "num_partitions": 4},
                 {"query": "q", "partition_column": "id", "lower_bound": 0, "upper_bound": 1, "num_partitions": 2}):
         with pytest.raises(ValueError):
             warehouse.jdbc_options("u", **bad)

@@ -8,11 +8,12 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel,
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendspark.functions import literal_array
 from trendspark.operators.joins import lookup_join
-from trendspark.staging import stage
+from trendspark.staging import release, stage
 
+# of a column whose values go through the driver: how many, and how many bytes in all
 MAX_LABELS = 100_000
+MAX_LABEL_BYTES = 16 * 1024 * 1024
 
 
 def assemble_features(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:
@@ -34,10 +35,10 @@ def index_columns(
     """Index several text columns at once; a null gets the index after the last value.
 
     One job counts the values of all columns, with partial counts before the shuffle.
-    A column of up to ``max_labels`` values gets a ``StringIndexerModel``, whose labels
-    also reach the column metadata that models read. The values of any other column
-    are numbered in parallel and joined back, so that neither the driver nor a task
-    ever holds them all.
+    A column of up to ``max_labels`` values of ``MAX_LABEL_BYTES`` gets a
+    ``StringIndexerModel``. The values of any other column are numbered in parallel and
+    joined back, so that neither the driver nor a task ever holds them all. Either way the
+    column metadata holds the number of slots and no values; :func:`slot_labels` names them.
     """
     return _index(df, columns, [prefix + c for c in columns], "keep", max_labels)
 
@@ -45,20 +46,16 @@ def index_columns(
 def _index(
     df: DataFrame, columns: Sequence[str], outputs: Sequence[str], handle_invalid: str, max_labels: int
 ) -> DataFrame:
-    cells = [
-        F.struct(F.lit(i).alias("_column"), F.col(c).cast("string").alias("_value")) for i, c in enumerate(columns)
-    ]
-    counts = stage(
-        df.select(F.inline(F.array(*cells))).groupBy("_column", "_value").agg(F.count("*").alias("_n")),
-        "value-counts",
-    )
+    counts = _value_counts(df, columns)
     known = counts.where("_value IS NOT NULL")
     if handle_invalid == "error":
         for row in counts.where("_value IS NULL").collect():  # one per column at most
             raise ValueError(f"{columns[row[0]]} has null values, which have no index")
-    sizes = {r[0]: r[1] for r in known.groupBy("_column").count().collect()}
+    measured = known.groupBy("_column").agg(F.count("*"), F.sum(F.octet_length("_value").cast("bigint"))).collect()
+    sizes = {r[0]: r[1] for r in measured}  # one per column
+    large = {r[0] for r in measured if r[1] > max_labels or r[2] > MAX_LABEL_BYTES}
 
-    small = [i for i in range(len(columns)) if sizes.get(i, 0) <= max_labels]
+    small = [i for i in range(len(columns)) if i not in large]
     if small:
         labels = {i: [] for i in small}
         listed = known.where(F.col("_column").isin(small)).select("_column", "_value", "_n")
@@ -66,41 +63,61 @@ def _index(
             labels[i].append(value)
         for i in small:
             df = StringIndexerModel.from_labels(labels[i], columns[i], outputs[i], handle_invalid).transform(df)
-    for i in range(len(columns)):
-        if i not in small:
-            numbered = _numbered(known.where(F.col("_column") == i), outputs[i])
-            keyed = df.withColumn("_value", F.col(columns[i]).cast("string"))
-            joined = lookup_join(keyed, numbered, ["_value"], "left")
-            index = F.coalesce(outputs[i], F.lit(float(sizes[i])))
-            slots = sizes[i] + (handle_invalid == "keep")
-            df = joined.select(*df.columns, index.alias(outputs[i])).withMetadata(
-                outputs[i], {"ml_attr": {"type": "nominal", "num_vals": slots, "name": outputs[i]}}
-            )
+    for i in sorted(large):
+        numbered = stage(_numbered(known.where(F.col("_column") == i), outputs[i]).drop("_column"), "value-index")
+        keyed = df.withColumn("_value", F.col(columns[i]).cast("string"))
+        joined = lookup_join(keyed, numbered, ["_value"], "left")
+        df = joined.select(*df.columns, F.coalesce(outputs[i], F.lit(float(sizes[i]))).alias(outputs[i]))
+    release(counts)
+    for i, output in enumerate(outputs):
+        slots = sizes.get(i, 0) + (handle_invalid == "keep")
+        df = df.withMetadata(output, {"ml_attr": {"type": "nominal", "num_vals": slots, "name": output}})
     return df
 
 
+def _value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    cells = [
+        F.struct(F.lit(i).alias("_column"), F.col(c).cast("string").alias("_value")) for i, c in enumerate(columns)
+    ]
+    counted = df.select(F.inline(F.array(*cells))).groupBy("_column", "_value").agg(F.count("*").alias("_n"))
+    return stage(counted, "value-counts")
+
+
+def slot_labels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``name, slot, value``: which value an index of a column stands for, however many there are.
+
+    The slots are those of :func:`index_columns`, :func:`index_labels` and :func:`one_hot`; a
+    null has none here. Nothing passes through the driver but sizes per partition.
+    """
+    counts = _value_counts(df, columns)
+    names = F.element_at(F.array(*(F.lit(c) for c in columns)), F.col("_column") + 1)
+    numbered = _numbered(counts.where("_value IS NOT NULL"), "slot")
+    labels = stage(numbered.select(names.alias("name"), F.col("slot").cast("int"), F.col("_value").alias("value")), "labels")
+    release(counts)
+    return labels
+
+
 def _numbered(counts: DataFrame, output: str) -> DataFrame:
-    """Distinct values with their position in (count descending, value) order, from 0.
+    """Distinct values of each column with their position in (count descending, value) order, from 0.
 
     The values are cut into ordered ranges, and the range number is written with the
     row, so that later steps see the same ranges. The position is then the position
-    in the range plus the sizes of the ranges before it.
+    in the range plus the sizes of the ranges of the same column before it.
     """
     partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = stage(
-        counts.repartitionByRange(partitions, F.desc("_n"), F.asc("_value")).withColumn(
+        counts.repartitionByRange(partitions, "_column", F.desc("_n"), F.asc("_value")).withColumn(
             "_range", F.spark_partition_id()
         ),
         "value-ranges",
     )
-    sizes = {r[0]: r[1] for r in ranges.groupBy("_range").count().collect()}  # one per partition
-    before, seen = [0] * partitions, 0
-    for i in sorted(sizes):
-        before[i] = seen
-        seen += sizes[i]
-    place = F.row_number().over(Window.partitionBy("_range").orderBy(F.desc("_n"), "_value"))
-    position = place - 1 + F.element_at(literal_array(before, "bigint"), F.col("_range") + 1)
-    return stage(ranges.select("_value", position.cast("double").alias(output)), "value-index")
+    # a row per range, and one more per column
+    sizes = stage(ranges.groupBy("_column", "_range").agg(F.count("*").alias("_size")), "value-sizes")
+    earlier = Window.partitionBy("_column").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_column", "_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_column", "_range").orderBy(F.desc("_n"), "_value"))
+    placed = ranges.withColumn("_place", place).join(F.broadcast(before), ["_column", "_range"])
+    return placed.select("_column", "_value", (F.col("_place") - 1 + F.col("_before")).cast("double").alias(output))
 
 
 def encoding_stages(columns: Sequence[str], index_prefix: str = "IDX_", prefix: str = "OHE_") -> list:
@@ -124,7 +141,7 @@ def one_hot(
 ) -> DataFrame:
     """Sparse one-hot vectors ``OHE_<column>`` beside the indexes.
 
-    Every value has a slot; a null encodes to the zero vector.
+    Every value has a slot, named by :func:`slot_labels`; a null encodes to the zero vector.
     """
     indexed = index_columns(df, columns, index_prefix, max_labels)
     encoder = OneHotEncoder(

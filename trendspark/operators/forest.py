@@ -10,7 +10,8 @@ from pyspark.ml.classification import RandomForestClassificationModel, RandomFor
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.util import DefaultParamsReader
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendspark.functions import numeric_columns, text_columns
@@ -45,11 +46,13 @@ def train_forest(
     num_trees: int = CLASSIFIER_TREES,
     seed: int | None = None,
     partitions: int = PARTITIONS,
+    keep: bool = True,
 ) -> RandomForestClassificationModel:
     """Fit a forest on columns ``features`` and ``label``.
 
     Training reads its input several times before the first tree grows, so the two
-    columns are kept, in memory as far as it goes and on disk beyond, until it is done.
+    columns are kept, in memory as far as it goes and on disk beyond, until it is done;
+    ``keep=False`` reads a written table again instead.
     They are dealt by a hash of their values into ``partitions`` parts: with one seed
     and one number of parts the same rows give the same forest on any cluster. Give more
     parts for more rows.
@@ -59,6 +62,8 @@ def train_forest(
         forest.setSeed(seed)
     key = F.xxhash64(vector_to_array("features"), "label")
     rows = _spread(training.select("features", "label"), key, partitions)
+    if not keep:
+        return forest.fit(rows)
     rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return forest.fit(rows)
@@ -75,6 +80,11 @@ def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def load_model(spark: SparkSession, path: str):
+    """A model of any kind that :func:`save_model` wrote, such as the fitted steps of an importance report."""
+    return DefaultParamsReader.loadParamsInstance(path, spark.sparkContext)
+
+
 def load_forest(path: str) -> RandomForestClassificationModel:
     return RandomForestClassificationModel.load(path)
 
@@ -105,6 +115,7 @@ def feature_importance(
     strict_types: bool = False,
     partitions: int = PARTITIONS,
     max_slots: int = MAX_SLOTS,
+    model_path: str | None = None,
 ) -> DataFrame:
     """Importance of every feature slot for ``target``: ``idx``, ``name``, ``score``.
 
@@ -113,7 +124,8 @@ def feature_importance(
     spread by the hash of ``order_by``. ``mode="classify"`` takes every value of the target
     for a class of its own and is fitted on a bounded sample of labelled rows: the ``rows``
     rows of the least hash of ``order_by``, in one partition. Text columns that would make
-    more than ``max_slots`` slots raise an error that names them for ``exclude``.
+    more than ``max_slots`` slots raise an error that names them for ``exclude``. The fitted
+    steps are saved at ``model_path`` if one is given.
     """
     if mode not in ("classify", "regress"):
         raise ValueError("mode is 'classify' or 'regress'")
@@ -148,6 +160,8 @@ def feature_importance(
     finally:
         sample.unpersist()
 
+    if model_path:
+        save_model(model, model_path)
     weights = model.stages[-1].featureImportances
     scored = [
         (slot["idx"], slot["name"], float(weights[slot["idx"]]))

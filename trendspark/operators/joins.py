@@ -23,12 +23,9 @@ CITY_KEYS = ("BILLING_STATE", "CITY")
 def fits(df: DataFrame, limit: int) -> bool:
     """Whether a table of plain columns is at most ``limit`` bytes.
 
-    Measured as text plus one word per cell; the row count alone settles it for tables
-    far too large.
+    Measured in one aggregation, as text plus one word per cell.
     """
     words = 8 * len(df.columns)
-    if df.count() * words > limit:
-        return False
     cells = F.concat_ws(",", *(F.col(f"`{c}`").cast("string") for c in df.columns))
     size = df.agg(F.sum(F.octet_length(cells).cast("bigint") + words)).first()[0]
     return (size or 0) <= limit
@@ -47,67 +44,56 @@ def lookup_join(
     """Equi-join (USING ``keys``) that holds when ``fact`` is skewed on the keys.
 
     ``lookup`` is measured: up to ``broadcast_bytes`` it is broadcast and ``fact`` is
-    not shuffled. Beyond that both are shuffled, hot keys in salted form (see
-    :func:`salted_join`). ``lookup`` is read more than once, so pass a written table if
+    not shuffled. Beyond that both are shuffled but for the rows of hot keys (see
+    :func:`split_join`). ``lookup`` is read more than once, so pass a written table if
     it is expensive. ``how`` is ``inner`` or ``left``.
     """
     if how not in ("inner", "left"):
         raise ValueError("how is 'inner' or 'left'")
     if fits(lookup, broadcast_bytes):
         return fact.join(F.broadcast(lookup), list(keys), how)
-    return salted_join(fact, lookup, keys, how, hot_share=hot_share, min_hot_rows=min_hot_rows)
+    return split_join(fact, lookup, keys, how, hot_share=hot_share, min_hot_rows=min_hot_rows)
 
 
-def salted_join(
+def split_join(
     fact: DataFrame,
     lookup: DataFrame,
     keys: Sequence[str],
     how: str = "inner",
     *,
+    broadcast_bytes: int = BROADCAST_BYTES,
     hot_share: float = HOT_SHARE,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
-    """Shuffle join in which no key keeps more than a chunk of ``fact`` in one task.
+    """Join in which the rows of hot keys are not shuffled.
 
     A key with more rows than ``max(min_hot_rows, hot_share * all rows)`` is hot. At
-    most about ``1 / hot_share`` keys can be, which bounds the broadcast list of hot
-    keys. Their counts are estimated from a sample: they decide how the work is spread,
-    not what comes out. Without hot keys this is a plain join. With them, the rows of a
-    hot key are dealt in turn to as many salts as it has chunks of that size, and its
-    lookup rows are copied once per salt. ``fact`` is written for that: the dealing goes
-    by row position, which only a written table keeps when a task is run again.
+    most about ``1 / hot_share`` keys can be. Their counts are estimated from a sample: they
+    decide how the work is done, not what comes out. Rows of hot keys, and rows with a null
+    key, which match nothing, meet the lookup rows of the hot keys by broadcast; all
+    other rows are joined by a plain shuffle. Nothing is written but the list of hot keys
+    and their lookup rows. Without hot keys, or if those lookup rows take more than
+    ``broadcast_bytes``, this is the plain join, whose skew adaptive execution splits.
     """
     keys = list(keys)
-    complete = reduce(and_, (F.col(k).isNotNull() for k in keys))
     total = fact.count()
     chunk = max(float(min_hot_rows), hot_share * total)
     if total <= chunk:
         return fact.join(lookup, keys, how)
+    complete = reduce(and_, (F.col(k).isNotNull() for k in keys))
     share = min(1.0, SAMPLE_ROWS / total)
     seen = fact.select(*keys).sample(share, seed=1) if share < 1 else fact
     counts = seen.groupBy(*keys).agg((F.count("*") / share).alias("_n")).where(F.col("_n") > chunk)
-    hot = stage(
-        counts.select(*keys, F.when(complete, F.ceil(F.col("_n") / chunk)).otherwise(1).cast("int").alias("_salts")),
-        "hot-keys",
-    )
+    hot = stage(counts.select(*keys, F.lit(True).alias("_hot")), "hot-keys")
     if hot.isEmpty():
         return fact.join(lookup, keys, how)
-
-    salts = F.coalesce("_salts", F.lit(1))
-    # a null key matches nothing, so its rows may lie anywhere
-    dealt = (
-        stage(fact, "join-input")
-        .withColumn("_row", F.monotonically_increasing_id())
-        .join(F.broadcast(hot), keys, "left")
-        .withColumn("_salt", F.pmod("_row", F.when(complete, salts).otherwise(4096)).cast("int"))
-        .drop("_row", "_salts")
-    )
-    copied = (
-        lookup.join(F.broadcast(hot), keys, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-        .drop("_salts")
-    )
-    return dealt.join(copied, [*keys, "_salt"], how).drop("_salt")
+    hot_lookup = stage(lookup.join(F.broadcast(hot.drop("_hot")), keys, "left_semi"), "hot-lookup")
+    if not fits(hot_lookup, broadcast_bytes):
+        return fact.join(lookup, keys, how)
+    marked = fact.join(F.broadcast(hot.where(complete)), keys, "left")
+    kept = F.coalesce("_hot", ~complete)
+    by_broadcast = marked.where(kept).drop("_hot").join(F.broadcast(hot_lookup), keys, how)
+    return by_broadcast.union(marked.where(~kept).drop("_hot").join(lookup, keys, how))
 
 
 def census_enrich(merchants: DataFrame, census: DataFrame, column: str = "ZIPCODE") -> DataFrame:

@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendspark.functions import literal_array
 from trendspark.operators.split import key_hash
-from trendspark.staging import stage
+from trendspark.staging import release, stage
 
 # functions of this module travel to the executors whole: only numpy and pandas, not this
-# package, have to be installed there
+# package, have to be installed there (where the package is shipped, e.g. by addPyFile, this changes nothing)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+BROADCAST_BYTES = 64 * 1024 * 1024
+MAX_PIVOTS = 4096
+MAX_BLOCKS = 250_000
 # relative slack of the pruning bound, far above the rounding of a double
 _SLACK = 1e-6
 # cells of a difference array that one numpy step may hold
@@ -36,100 +39,136 @@ def nearest_neighbour(
     pivots: int | None = None,
     train_block: int = 4096,
     test_block: int = 4096,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Nearest training row of every test row: ``test_id, train_id, prediction``.
 
     Squared Euclidean distance; among equally near rows the least training id wins.
-    Vectors are arrays of numbers of one length, and test ids are unique.
-
-    * ``pivots`` training rows (by default one per block of training rows, 1024 at
-      most) are picked by hash. A row belongs to the cell of its nearest pivot, and the
-      radius of a cell is the greatest distance of its training rows from the pivot.
-    * Test rows are first compared with the training rows of their own cell. The best of
-      those bounds the answer: by the triangle inequality another cell is needed only
-      if ``distance to its pivot - radius`` does not exceed that bound. Those cells come
-      second, and nothing else is left out: the result is exact.
-    * A cell is cut into blocks of about ``train_block`` training rows, and the test rows
-      that need it into blocks of about ``test_block``. Each pair of blocks is one group,
-      bounded on both sides however large a cell is. A group gives one candidate per
-      test row, and the least candidate wins in an aggregation with partial results.
-
-    Pairs of rows are never emitted; they exist only inside a numpy step.
+    Vectors are arrays of finite numbers of one length, and test ids are unique. A vector
+    that is null, has a null, NaN or infinite component or another length is an error that
+    names ids. Without training rows, or without test rows, the result is empty.
+
+    Equal training vectors are one candidate, the one of the least id. If the candidates
+    take up to ``broadcast_bytes`` they are sent to the test rows, which are then not
+    shuffled. Beyond that, or if ``pivots`` is given:
+
+    * ``pivots`` training rows (by default the square root of their number, 4096 at
+      most) are picked by hash. A row belongs to the cell of its nearest pivot. Cells are
+      cut into blocks of about ``train_block`` rows by the distance to the pivot, so a block
+      is a shell: a range of distances around a pivot.
+    * A test row first meets the one block of its cell in whose range it lies. The best
+      row there is a bound: by the triangle inequality another block is needed only if its
+      range meets ``[d - bound, d + bound]``, with ``d`` the distance to the pivot of the block.
+      Those blocks come second, and nothing else is left out: the result is exact.
+    * The test rows that need a block are cut into shares of about ``test_block``, so each
+      group is bounded on both sides however many rows want the same block. A group gives
+      one candidate per test row, and the least candidate wins.
+
+    Pairs of rows are never emitted; they exist only inside a numpy step. The driver holds
+    the pivots and two distances per block, at most ``MAX_BLOCKS`` blocks and as many more
+    as there are pivots: beyond that blocks grow.
     """
-    t = stage(train.select(F.col(train_id).alias("id"), _doubles(vector), F.col(label).alias("label")), "nn-train")
-    q = test.select(F.col(test_id).alias("id"), _doubles(vector))
-    kinds = {name: t.schema[name].dataType.simpleString() for name in ("id", "label")}
-    test_kind = q.schema["id"].dataType.simpleString()
-    found_schema = f"test_id {test_kind}, distance double, train_id {kinds['id']}, label {kinds['label']}"
+    labelled = stage(train.select(F.col(train_id).alias("id"), _doubles(vector), F.col(label).alias("label")), "nn-train")
+    q = stage(test.select(F.col(test_id).alias("id"), _doubles(vector)), "nn-test")
+    id_kind, test_kind = labelled.schema["id"].dataType.simpleString(), q.schema["id"].dataType.simpleString()
+    found_schema = f"test_id {test_kind}, distance double, train_id {id_kind}"
+    labels = labelled.groupBy(F.col("id").alias("train_id")).agg(F.min("label").alias("prediction"))
+    size = _check_vectors(q, _check_vectors(labelled, None, "training"), "test")
+    t = stage(labelled.groupBy("v").agg(F.min("id").alias("id")), "nn-candidates")
 
     rows = t.count()
     if rows == 0:
-        return t.sparkSession.createDataFrame([], found_schema).select(
-            "test_id", "train_id", F.col("label").alias("prediction")
-        )
-    centres = _pivot_matrix(t, pivots or min(max(rows // train_block, 1), 1024))
-    placed = stage(
-        t.mapInPandas(_place(centres), f"id {kinds['id']}, v array<double>, label {kinds['label']}, cell int, far double"),
-        "nn-cells",
-    )
-    radius = np.full(len(centres), -np.inf)
-    blocks = [1] * len(centres)
-    for cell, far, n in placed.groupBy("cell").agg(F.max("far"), F.count("*")).collect():  # one row per pivot
-        radius[cell], blocks[cell] = far, -(-n // train_block)
-
-    def search(wanted: DataFrame) -> DataFrame:
-        return _search(wanted, placed, blocks, test_block, found_schema)
-
-    home = stage(q.mapInPandas(_place(centres), f"id {test_kind}, v array<double>, cell int, far double"), "nn-test")
-    found = search(_numbered_rows(home))
-    if len(centres) > 1:
-        found = stage(found, "nn-home")
-        bounds = home.join(found.select(F.col("test_id").alias("id"), F.col("distance").alias("bound")), "id")
-        others = stage(
-            bounds.select("id", "v", "cell", "bound").mapInPandas(
-                _other_cells(centres, radius), f"id {test_kind}, v array<double>, cells array<int>"
-            ),
-            "nn-others",
-        )
-        found = _least(found.union(search(_numbered_rows(others).withColumn("cell", F.explode("cells")))))
-    return found.select("test_id", "train_id", F.col("label").alias("prediction"))
-
-
-def _numbered_rows(written: DataFrame) -> DataFrame:
-    """Row positions, which are fixed in a written table."""
-    return written.withColumn("row", F.monotonically_increasing_id())
-
-
-def _search(
-    wanted: DataFrame, placed: DataFrame, blocks: list[int], test_block: int, found_schema: str
-) -> DataFrame:
-    """Best training row of the wanted cells for every test row."""
-    demand = {r[0]: r[1] for r in wanted.groupBy("cell").count().collect()}  # one row per pivot
-    shares = [max(1, -(-demand.get(c, 0) // test_block)) for c in range(len(blocks))]
+        found = t.sparkSession.createDataFrame([], found_schema)
+    elif pivots is None and rows * 8 * (size + 8) <= broadcast_bytes:
+        found = _search_all(q, t, found_schema)
+    else:
+        found = _search_blocks(q, t, rows, pivots, max(train_block, rows // MAX_BLOCKS), test_block, found_schema)
+    return found.join(labels, "train_id").select("test_id", "train_id", "prediction")
+
+
+def _check_vectors(rows: DataFrame, size: int | None, name: str) -> int | None:
+    """The common length of the vectors; an error that names the ids of bad ones."""
+    if size is None:
+        size = rows.agg(F.max(F.size("v"))).first()[0]
+    finite = F.forall("v", lambda x: x.isNotNull() & (F.abs(x) < float("inf")))
+    bad = rows.where(~F.coalesce(finite & (F.size("v") == F.lit(size)), F.lit(False))).select("id")
+    ids = [str(r[0]) for r in bad.orderBy("id").limit(10).collect()]
+    if ids and size is not None:
+        raise ValueError(f"{name} vectors that are not {size} finite numbers, the first by id: {', '.join(ids)}")
+    return size
+
+
+def _search_all(q: DataFrame, t: DataFrame, found_schema: str) -> DataFrame:
+    """Best training row of every test row, the training rows being few enough to send."""
+    few = t.orderBy("id").toPandas()
+    shared = t.sparkSession.sparkContext.broadcast((_matrix(few["v"]), few["id"].to_numpy()))
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        matrix, ids = shared.value
+        for rows in batches:
+            if len(rows):
+                nearest, distance = _first_nearest(_matrix(rows["v"]), matrix)
+                yield pd.DataFrame({"test_id": rows["id"].to_numpy(), "distance": distance, "train_id": ids[nearest]})
+
+    return q.mapInPandas(search, found_schema)
 
-    def per_cell(values: list[int]) -> F.Column:
-        return F.element_at(literal_array(values, "int"), F.col("cell") + 1)
 
-    def dealt(values: list[int]) -> F.Column:
-        return F.pmod(F.xxhash64("row"), per_cell(values)).cast("int")
+def _search_blocks(
+    q: DataFrame, t: DataFrame, rows: int, pivots: int | None, train_block: int, test_block: int, found_schema: str
+) -> DataFrame:
+    id_kind, test_kind = t.schema["id"].dataType.simpleString(), q.schema["id"].dataType.simpleString()
+    centres = _pivot_matrix(t, pivots or min(math.isqrt(rows), MAX_PIVOTS))
+    placed = t.mapInPandas(_place(centres), f"id {id_kind}, v array<double>, cell int, far double")
+    parts = max(1, -(-rows // (64 * train_block)))
+    ranged = stage(placed.repartitionByRange(parts, "cell", "far").withColumn("part", F.spark_partition_id()), "nn-cells")
+    place = F.row_number().over(Window.partitionBy("part", "cell").orderBy("far", "id"))
+    piece = F.floor((place - 1) / train_block)
+    block = F.col("part").cast("long") * (1 << 44) + F.col("cell") * (1 << 24) + piece
+    blocked = stage(ranged.select("id", "v", "cell", "far", block.alias("block")), "nn-blocks")
+    shells = (
+        blocked.groupBy("block", "cell").agg(F.min("far"), F.max("far")).orderBy("cell", F.min("far"), "block").collect()
+    )
+    blocks, cells = np.array([r[0] for r in shells], np.int64), np.array([r[1] for r in shells], np.int64)
+    low, high = np.array([r[2] for r in shells]), np.array([r[3] for r in shells])
+    release(ranged)
+
+    home = stage(
+        q.mapInPandas(
+            _home_block(centres, blocks, cells, low), f"id {test_kind}, v array<double>, shell int, block long"
+        ),
+        "nn-home",
+    )
+    found = _search(home, blocked, test_block, found_schema)
+    if len(blocks) == 1:
+        return found
+    found = stage(found, "nn-found")
+    bounds = home.join(found.select(F.col("test_id").alias("id"), F.col("distance").alias("bound")), "id")
+    others = bounds.select("id", "v", "shell", "bound").mapInPandas(
+        _other_blocks(centres, blocks, cells, low, high), f"id {test_kind}, v array<double>, blocks array<bigint>"
+    )
+    wanted = stage(others, "nn-others").select("id", "v", F.explode("blocks").alias("block"))
+    return _least(found.union(_search(wanted, blocked, test_block, found_schema)))
 
-    def copied(values: list[int]) -> F.Column:
-        return F.explode(F.sequence(F.lit(0), per_cell(values) - 1))
 
-    keys = ["cell", "block", "share"]
-    left = wanted.withColumn("share", dealt(shares)).withColumn("block", copied(blocks))
-    right = _numbered_rows(placed).withColumn("block", dealt(blocks)).withColumn("share", copied(shares))
+def _search(wanted: DataFrame, blocked: DataFrame, test_block: int, found_schema: str) -> DataFrame:
+    """Best training row of the wanted blocks for every test row."""
+    # one row per block
+    shares = F.broadcast(stage(wanted.groupBy("block").agg(F.ceil(F.count("*") / test_block).alias("shares")), "nn-shares"))
+    left = wanted.join(shares, "block").withColumn("share", F.pmod(F.xxhash64("id"), "shares"))
+    right = blocked.join(shares, "block").withColumn(
+        "share", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1))
+    )
     found = (
-        left.select(*keys, "id", "v")
-        .groupBy(*keys)
-        .cogroup(right.select(*keys, "id", "v", "label").groupBy(*keys))
+        left.select("block", "share", "id", "v")
+        .groupBy("block", "share")
+        .cogroup(right.select("block", "share", "id", "v").groupBy("block", "share"))
         .applyInPandas(_nearest_in_block, found_schema)
     )
     return _least(found)
 
 
 def _least(found: DataFrame) -> DataFrame:
-    best = F.min(F.struct("distance", "train_id", "label")).alias("best")
+    best = F.min(F.struct("distance", "train_id")).alias("best")
     return found.groupBy("test_id").agg(best).select("test_id", "best.*")
 
 
@@ -165,11 +204,15 @@ def _first_nearest(points: np.ndarray, others: np.ndarray) -> tuple[np.ndarray,
         part = points[start : start + step]
         rough = sizes[start : start + step, None] + norms[None, :] - 2.0 * (part @ others.T)
         slack = 1e-9 * (sizes[start : start + step] + norms.max())
-        for i, row in enumerate(rough <= (rough.min(axis=1) + slack)[:, None]):
-            close = np.flatnonzero(row)
-            exact = ((part[i] - others[close]) ** 2).sum(axis=1)
-            best = exact.argmin()
-            nearest[start + i], distance[start + i] = close[best], exact[best]
+        rows, close = np.nonzero(rough <= (rough.min(axis=1) + slack)[:, None])
+        exact = np.empty(len(rows))
+        pairs = max(1, _STEP_CELLS // others.shape[1])
+        for at in range(0, len(rows), pairs):
+            exact[at : at + pairs] = ((part[rows[at : at + pairs]] - others[close[at : at + pairs]]) ** 2).sum(axis=1)
+        least = np.minimum.reduceat(exact, np.searchsorted(rows, np.arange(len(part))))
+        best = np.flatnonzero(exact == least[rows])
+        first = np.unique(rows[best], return_index=True)[1]
+        nearest[start : start + step], distance[start : start + step] = close[best[first]], least
     return nearest, distance
 
 
@@ -193,26 +236,56 @@ def _place(centres: np.ndarray):
     return place
 
 
-def _other_cells(centres: np.ndarray, radius: np.ndarray):
-    """The cells but the own one that may hold a row as near as ``bound``."""
+def _home_block(centres: np.ndarray, blocks: np.ndarray, cells: np.ndarray, low: np.ndarray):
+    """Add the place of the own block: of the nearest pivot's shells the one that the row lies in."""
+    firsts, lasts = np.searchsorted(cells, np.arange(len(centres))), np.searchsorted(cells, np.arange(len(centres)), "right")
 
-    def other_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             if len(rows):
-                bound, own = np.sqrt(rows["bound"].to_numpy())[:, None], rows["cell"].to_numpy()
-                cells = []
+                shell = np.empty(len(rows), dtype=np.int32)
                 for part, squared in _squared(_matrix(rows["v"]), centres):
-                    distance = np.sqrt(squared)
-                    near = distance - radius <= bound[part] + _SLACK * (1.0 + distance)
+                    squared[:, firsts == lasts] = np.inf
+                    own = squared.argmin(axis=1)
+                    far = np.sqrt(squared[np.arange(len(own)), own])
+                    shell[part] = [
+                        max(firsts[c], firsts[c] + np.searchsorted(low[firsts[c] : lasts[c]], d, "right") - 1)
+                        for c, d in zip(own, far, strict=True)
+                    ]
+                yield rows.assign(shell=shell, block=blocks[shell])
+
+    return home
+
+
+def _needed(distance: np.ndarray, bound: np.ndarray, cells: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Whether a shell may hold a row within ``bound``, by rows and shells; ``distance`` is to each pivot."""
+    to_pivot = distance[:, cells]
+    reach = bound[:, None] + _SLACK * (1.0 + to_pivot + bound[:, None])
+    return (low <= to_pivot + reach) & (high >= to_pivot - reach)
+
+
+def _other_blocks(centres: np.ndarray, blocks: np.ndarray, cells: np.ndarray, low: np.ndarray, high: np.ndarray):
+    """The blocks but the own one that may hold a row as near as ``bound``."""
+
+    def other_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        step = max(1, _STEP_CELLS // len(blocks))
+        for rows in batches:
+            if len(rows):
+                bound, own = np.sqrt(rows["bound"].to_numpy()), rows["shell"].to_numpy()
+                vectors, wanted = _matrix(rows["v"]), []
+                for start in range(0, len(rows), step):
+                    part = slice(start, start + step)
+                    distance = np.concatenate([np.sqrt(d) for _, d in _squared(vectors[part], centres)])
+                    near = _needed(distance, bound[part], cells, low, high)
                     near[np.arange(len(near)), own[part]] = False
-                    cells += [np.flatnonzero(row).astype(np.int32) for row in near]
-                yield rows[["id", "v"]].assign(cells=cells)
+                    wanted += [blocks[row] for row in near]
+                yield rows[["id", "v"]].assign(blocks=wanted)
 
-    return other_cells
+    return other_blocks
 
 
 def _nearest_in_block(test: pd.DataFrame, train: pd.DataFrame) -> pd.DataFrame:
-    columns = ["test_id", "distance", "train_id", "label"]
+    columns = ["test_id", "distance", "train_id"]
     if not len(test) or not len(train):
         return pd.DataFrame(columns=columns)
     # in id order, the first of several equally near rows has the least id
@@ -223,6 +296,5 @@ def _nearest_in_block(test: pd.DataFrame, train: pd.DataFrame) -> pd.DataFrame:
             "test_id": test["id"].to_numpy(),
             "distance": distance,
             "train_id": train["id"].to_numpy()[nearest],
-            "label": train["label"].to_numpy()[nearest],
         }
     )

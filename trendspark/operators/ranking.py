@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +16,12 @@ from trendspark.operators.features import weighted_trends
 from trendspark.settings import COUNT_TREND_WEIGHTS, SALES_TREND_WEIGHTS
 
 _EXACT_AS_DOUBLE = (T.DoubleType, T.FloatType, T.IntegerType, T.ShortType, T.ByteType)
+_OWN_ORDER = (
+    T.LongType, T.DecimalType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType,
+)
+# rows of the sample behind each cut value, and the most characters of a cut value of text
+_SAMPLE_PER_CUT = 64
+_CUT_CHARACTERS = 1024
 
 
 def global_rank(
@@ -40,29 +47,37 @@ def global_rank(
     alone, so running a task again changes nothing. ``df`` is read three times (twice
     for one column): pass a written table if it is expensive. Null sorts as the least
     value and NaN as the greatest, as in Spark's own ordering.
+
+    bigint, decimal, text, dates, times and booleans are compared in their own type. Their
+    cut values come from a sample of the rows, so that a hot value is a cut value with
+    near certainty; what is sampled decides how the rows are spread, not their rank. Of a
+    text longer than 1,024 characters the cut value is a prefix: such a text may be hot in one range.
     """
     kind = df.schema[column].dataType
-    if not isinstance(kind, _EXACT_AS_DOUBLE):
-        raise TypeError(f"{column} is {kind.simpleString()}; rank a double, float or int column")
+    if not isinstance(kind, _EXACT_AS_DOUBLE + _OWN_ORDER):
+        raise TypeError(f"{column} is {kind.simpleString()}, whose values cannot be ranked")
     if buckets is None:
         buckets = _default_buckets(df)
     if buckets < 2:
         raise ValueError("at least two buckets")
     number = f"_{output}_value"
-    value = F.col(column).cast("double")
-    # -0.0 equals 0.0 in SQL but not in the binary search of the bucketizer
-    keyed = df.withColumn(number, F.when(value == 0, F.lit(0.0)).otherwise(value))
-
-    cuts = _cut_values(keyed, number, buckets)
-    splits = [-math.inf, *cuts, math.inf]
-    if len(splits) == 2:
-        splits.insert(1, 0.0)
-    grouped = _add_group(keyed, number, splits, f"_{output}_group")
+    if isinstance(kind, _EXACT_AS_DOUBLE):
+        value = F.col(column).cast("double")
+        # -0.0 equals 0.0 in SQL but not in the binary search of the bucketizer
+        keyed = df.withColumn(number, F.when(value == 0, F.lit(0.0)).otherwise(value))
+        cuts = _cut_values(keyed, number, buckets)
+        splits = [-math.inf, *cuts, math.inf]
+        if len(splits) == 2:
+            splits.insert(1, 0.0)
+        grouped, groups = _add_group(keyed, number, splits, f"_{output}_group"), 2 * len(splits) + 3
+    else:
+        cuts = _sampled_cuts(df, column, buckets)
+        grouped, groups = df.withColumn(f"_{output}_group", _own_group(F.col(column), cuts, kind)), 2 * len(cuts) + 2
     group = F.col(f"_{output}_group")
 
     # at most two groups per cut value
     counts = {row[0]: row[1] for row in grouped.groupBy(group).count().collect()}
-    before, seen = [0] * (2 * len(splits) + 3), 0
+    before, seen = [0] * groups, 0
     for g in sorted(counts, reverse=not ascending):
         before[g] = seen
         seen += counts[g]
@@ -113,6 +128,38 @@ def _add_group(df: DataFrame, column: str, splits: list[float], output: str) ->
     return bucketizer.transform(df).withColumn(output, group).drop(index)
 
 
+def _sampled_cuts(df: DataFrame, column: str, buckets: int) -> list[str]:
+    """At most ``buckets`` values as text, evenly spaced in a sorted sample of bounded size."""
+    value = F.col(column)
+    if isinstance(df.schema[column].dataType, T.StringType):
+        value = F.substring(value, 1, _CUT_CHARACTERS)
+    values = df.select(value.alias("v")).where("v is not null")
+    total, wanted = values.count(), buckets * _SAMPLE_PER_CUT
+    sample = values.sample(min(1.0, wanted / max(total, 1)), seed=1) if total > wanted else values
+    # the window sorts the sample alone
+    placed = sample.select("v", F.row_number().over(Window.orderBy("v")).alias("place"))
+    step = max(1, min(total, wanted) // buckets)
+    return [r[0] for r in placed.where(F.col("place") % step == 0).select(F.col("v").cast("string")).distinct().collect()]
+
+
+def _own_group(value: Column, cuts: Sequence[str], kind: T.DataType) -> Column:
+    """Group numbers in value order: 0 null, ``2i`` equal to cut ``i`` (from 1), ``2i + 1`` above it.
+
+    The cuts are found in two steps, first among every ``wide``-th, then among those that follow.
+    """
+    ordered = F.array_sort(F.from_json(F.lit(json.dumps(list(cuts))), "array<string>").cast(T.ArrayType(kind)))
+    wide = math.isqrt(len(cuts)) + 1
+    coarse = F.filter(ordered, lambda _, i: i % wide == wide - 1)
+
+    def up_to(array: Column) -> Column:
+        return F.size(F.filter(array, lambda cut: cut <= value))
+
+    start = up_to(coarse) * wide
+    index = start + up_to(F.slice(ordered, start + 1, F.lit(wide)))
+    is_cut = F.coalesce(F.get(ordered, index - 1) == value, F.lit(False))
+    return F.when(value.isNull(), 0).when(is_cut, 2 * index).otherwise(2 * index + 1)
+
+
 def trend_ranking(
     features: DataFrame,
     sales_weights: Sequence[float] = SALES_TREND_WEIGHTS,

@@ -33,7 +33,7 @@ def classifier_job(
         training, testing = random_split(transformed, test_ratio, seed)
     else:
         training, testing = hash_split(transformed, key, test_ratio)
-    model = train_forest(training, num_trees, seed)
+    model = train_forest(training, num_trees, seed, keep=False)
     predictions = predict(model, testing)
     return {
         "model": model,

@@ -214,6 +214,19 @@ nearest AS (
   QUALIFY row_number() OVER (PARTITION BY test_id ORDER BY distance, train_id) = 1)"""
 
 
+_CLASSES = _index("vectors", "class_name", "label")
+_VECTORS = "vectors AS (SELECT vec_id, concat('class_', CAST(label AS VARCHAR)) AS class_name FROM embeddings)"
+_LINE_KEY = "concat(CAST(l_orderkey AS VARCHAR), '|', CAST(l_linenumber AS VARCHAR))"
+_LATE = "late AS (SELECT *, CASE WHEN l_linenumber > 3 THEN 'late' ELSE 'early' END AS part FROM lineitem)"
+_TEXTS = ("MERCHANT_NAME", "MCC", "BILLING_STATE", "CITY", "ZIPCODE")
+
+
+def _slots(source: str, numbers: int) -> str:
+    # one slot for each numeric column and for each value of a text column
+    texts = " + ".join(f"count(DISTINCT {c})" for c in _TEXTS)
+    return f"SELECT {numbers} + {texts} AS slots, CAST(0 AS BIGINT) AS negative, true AS adds_to_one FROM {source}"
+
+
 def _with(*tables: str) -> str:
     return "WITH " + ",".join(tables) + "\n"
 
@@ -231,6 +244,9 @@ def oracle_sql() -> dict[str, str]:
     measures = " UNION ALL ".join(
         f"{{keys}}, {i} AS pos, {c} AS value FROM {{source}}" for i, c in enumerate(_LINE_MEASURES)
     )
+    exact = _with(_LATE, _index("late", "part", "label")) + f"""
+        SELECT l_orderkey, l_linenumber, label, label AS prediction FROM late JOIN label_values ON value = part
+        WHERE {_in_test(_LINE_KEY)}"""
     return {
         "csv_round_trip": "SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate) FROM orders",
         "parquet_round_trip": "SELECT * REPLACE (CAST(l_shipdate AS VARCHAR) AS l_shipdate) FROM lineitem",
@@ -285,7 +301,7 @@ def oracle_sql() -> dict[str, str]:
         + "SELECT m.*, c.* EXCLUDE (zipcode) FROM merchants m JOIN census c ON m.ZIPCODE = c.zipcode",
         "merge_all": _with(_MERCHANTS, _FEATURES, _BANK, _TOTALS, _CENSUS, _merged("features"))
         + "SELECT * FROM merged",
-        "salted_join": f"{lines}, s_suppkey, s_name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey",
+        "split_join": f"{lines}, s_suppkey, s_name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey",
         "trend_ranking": _with(_MERCHANTS, _FEATURES, _RANKED)
         + "SELECT MERCHANT_ID, TREND_WEIGHTED, TREND_RANKING FROM ranked",
         "rank_lines": f"{lines}, l_extendedprice, rank() OVER (ORDER BY l_extendedprice) AS price_rank FROM lineitem",
@@ -316,4 +332,27 @@ def oracle_sql() -> dict[str, str]:
         "accuracy": _with(_NEIGHBOURS)
         + "SELECT avg(CASE WHEN prediction = label THEN 1e0 ELSE 0e0 END) AS accuracy FROM nearest",
         "merchant_report": job + _report("merged"),
+        "rank_keys": f"{lines}, l_partkey, rank() OVER (ORDER BY l_partkey) AS part_rank FROM lineitem",
+        "rank_money": """SELECT o_orderkey, rank() OVER (ORDER BY CAST(o_totalprice AS DECIMAL(18,2)) DESC) AS price_rank
+                         FROM orders""",
+        "rank_names": "SELECT p_partkey, p_type, rank() OVER (ORDER BY p_type) AS type_rank FROM part",
+        "slot_labels": _with(_index("part", "p_brand", "brand_slot"), _index("part", "p_type", "type_slot"))
+        + """SELECT 'p_brand' AS name, CAST(brand_slot AS INTEGER) AS slot, value FROM brand_slot_values
+             UNION ALL SELECT 'p_type', CAST(type_slot AS INTEGER), value FROM type_slot_values""",
+        "random_split": """SELECT count(*) AS split_rows, CAST(0 AS BIGINT) AS in_both, CAST(0 AS BIGINT) AS in_neither
+                           FROM orders""",
+        "rf_predict": _with(_VECTORS, _CLASSES)
+        + f"""SELECT vec_id, label, true AS has_class FROM vectors JOIN label_values ON value = class_name
+              WHERE {_in_test("vec_id")}""",
+        "rf_accuracy": f"SELECT count(*) AS test_rows, true AS is_share FROM embeddings WHERE {_in_test('vec_id')}",
+        "rf_lines": f"SELECT count(*) AS test_rows, true AS is_share FROM lineitem WHERE {_in_test(_LINE_KEY)}",
+        "rf_exact_predict": exact,
+        "rf_exact_accuracy": "SELECT 1e0 AS accuracy",
+        "rf_saved_model": exact,
+        "rf_exact_importance": """SELECT * FROM (VALUES (0, 'number', 1e0), (1, 'same', 0e0), (2, 'OHE_text_x', 0e0))
+                                  AS slots(idx, name, score)""",
+        "feature_importance": features + _slots("features", 17),
+        "merchant_importance": job + _slots(
+            f"(SELECT * FROM merged ORDER BY {_HASH.format(key='MERCHANT_ID')}, MERCHANT_ID LIMIT 5000)", 35
+        ),
     }

@@ -158,11 +158,20 @@ def land_responses(long: DataFrame, root: str) -> None:
     )
 
 
-def labelled_vectors(spark: SparkSession, sf_dir: str, size: int = 64) -> DataFrame:
-    """Embeddings with a text label, as an array and as one column per component."""
+def labelled_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings with a text label."""
     return table(spark, sf_dir, "embeddings").select(
-        "vec_id",
-        "embedding",
-        F.concat(F.lit("class_"), F.col("label").cast("string")).alias("class_name"),
-        *(F.get("embedding", F.lit(i)).cast("double").alias(f"v{i}") for i in range(size)),
+        "vec_id", "embedding", F.concat(F.lit("class_"), F.col("label").cast("string")).alias("class_name")
+    )
+
+
+def late_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with a label that either feature alone tells: whether the line number is above 3."""
+    number = F.col("l_linenumber").cast("double")
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        number.alias("number"),
+        (number * number).alias("square"),
+        F.when(number > 3, "late").otherwise("early").alias("part"),
     )

@@ -20,14 +20,15 @@ def jdbc_options(
     lower_bound: Any = None,
     upper_bound: Any = None,
     num_partitions: int | None = None,
+    single_task: bool = False,
     fetch_size: int = 10_000,
     properties: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
     """Options of the JDBC reader for a table or for a query text.
 
     A parallel read needs the partition column, both bounds and the number of
-    partitions; without them one task reads everything, so a table scan of unknown
-    size should always name them. Credentials are the caller's, in ``properties``.
+    partitions. Without them one task reads everything; that has to be asked for with
+    ``single_task``, for a query text as well. Credentials are the caller's, in ``properties``.
     """
     if (table is None) == (query is None):
         raise ValueError("give either a table or a query")
@@ -37,6 +38,10 @@ def jdbc_options(
             raise ValueError("a parallel read needs column, lower bound, upper bound and partitions")
         if query is not None:
             raise ValueError("a parallel read needs a table (or a bracketed sub-query as table)")
+        if single_task:
+            raise ValueError("a read is either parallel or a single task")
+    elif not single_task:
+        raise ValueError("name a partition column, bounds and partitions, or ask for single_task")
     options = {
         "url": url,
         "dbtable": table,
