@@ -109,12 +109,14 @@ def example_texts(segments: DataFrame) -> DataFrame:
     )
 
 
-def read_back(segments: DataFrame) -> DataFrame:
-    """What stored segments hold, by conversation: turns, loss text and formatted size.
+def read_back(segments: DataFrame, examples: DataFrame) -> DataFrame:
+    """What stored segments and examples hold, by conversation: turns, loss text and formatted size.
 
-    ``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars``. The
+    ``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars``. The loss
+    text is that of the examples, in their order. The
     digests run over the turns of a conversation in order; rows stream through, sorted, and
-    nothing of a conversation but two digests is held.
+    nothing of a conversation but two digests is held. An example that does not end with
+    its segment, or a gap between segments, raises.
     """
     out = pa.schema(
         [("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()),
@@ -131,8 +133,8 @@ def read_back(segments: DataFrame) -> DataFrame:
 
         for batch in slices(batches, 1024):
             done = []
-            columns = (batch[c].to_pylist() for c in ("conv_id", "segment", "start", "loss_start", "loss_end"))
-            for conv, segment, start, first, last in zip(*columns, strict=True):
+            columns = (batch[c].to_pylist() for c in ("conv_id", "segment", "start", "example_end", "loss_start", "loss_end"))
+            for conv, segment, start, end, first, last in zip(*columns, strict=True):
                 if not started or conv != at:
                     if started:
                         done.append(row())
@@ -142,7 +144,9 @@ def read_back(segments: DataFrame) -> DataFrame:
                     raise ValueError(f"conversation {conv} has a gap at {size}")
                 role, text = _SEGMENT.fullmatch(segment).groups()
                 turns.update(f"{unescape(role)}\n{unescape(text)}\n".encode("utf-8", "surrogatepass"))
-                if first is not None:
+                if end is not None:
+                    if end != start + len(segment):
+                        raise ValueError(f"an example of conversation {conv} ends at {end}")
                     trained = unescape(segment[first - start : last - start])
                     loss.update(trained.encode("utf-8", "surrogatepass"))
                     chars += len(trained)
@@ -152,8 +156,13 @@ def read_back(segments: DataFrame) -> DataFrame:
         if started:
             yield batch_of(out, list(zip(row(), strict=True)))
 
-    ordered = segments.repartition("conv_id").sortWithinPartitions("conv_id", "start")
+    # an example begins its own turn where its context ends
+    own = examples.select(F.col("conv_id").alias("c"), F.col("context_end").alias("s"), "example_end", "loss_start", "loss_end")
+    marked = segments.select("conv_id", "segment", "start").join(
+        own, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("start") == F.col("s")), "left"
+    )
+    ordered = marked.drop("c", "s").repartition("conv_id").sortWithinPartitions("conv_id", "start")
     return map_arrow(
-        ordered.select("conv_id", "segment", "start", "loss_start", "loss_end"), read,
+        ordered, read,
         "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
     )

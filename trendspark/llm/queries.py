@@ -53,7 +53,8 @@ def op5_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit(CONTROL_TEXT).alias("text"),
     )
-    return chat.read_back(stage(chat.format_conversations(turns.unionByName(control)), "chat"))
+    segments = stage(chat.format_conversations(turns.unionByName(control)), "chat")
+    return chat.read_back(segments, stage(chat.expand_examples(segments), "examples"))
 
 
 def op6_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
