@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 
 from trendspark.llm import chat, decontaminate, fingerprint, language_id, licenses, line_dedup, near_dedup, packing, pii, token_store
 from trendspark.llm.components import connected_components
+from trendspark.llm.ordered import bucket_of
 from trendspark.llm.token_ids import Encoder
 from trendspark.staging import Scratch, new_path
 
@@ -114,7 +115,8 @@ def test_empty_tables(spark):
     path = new_path(spark, "none")
     token_store.write_token_ids(none, path, TOKENIZER)
     assert token_store.read_token_ids(spark, path).count() == 0
-    assert chat.read_back(chat.format_conversations(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))).count() == 0
+    segments = chat.format_conversations(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))
+    assert chat.read_back(segments, chat.expand_examples(segments)).count() == 0
 
 
 def test_fingerprints(spark):
@@ -212,7 +214,7 @@ def test_repeated_lines(spark):
 def test_chat_round_trip(spark):
     rows = [(1, 0, "user", "a<|end|>\\<|b|>"), (1, 1, "assistant", "\\|>x<|\n"), (1, 2, "assistant", None), (2, None, None, "q"), (None, 0, "user", "z"), (3, 600, "assistant", "late"), (3, 0, "user", "early")]
     segments = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
-    found = {r.conv_id: r for r in chat.read_back(segments).collect()}
+    found = {r.conv_id: r for r in chat.read_back(segments, chat.expand_examples(segments)).collect()}
     for conv in (1, 2, 3, None):
         turns = sorted(((t if t is not None else -1, r or "", x or "") for c, t, r, x in rows if c == conv))
         loss = "".join(x for _, r, x in turns if r == "assistant")
@@ -311,6 +313,30 @@ def test_kneser_ney_probabilities_sum_to_one():
         assert 0.9 < total <= 1.0001
 
 
+def test_language_counts_cover_all_rows_whatever_the_model_holds(spark):
+    texts = {"a": [" ".join(words(80, i)) + " über" for i in range(8)], "b": ["the cat sat on the mat", "a " * 9, "zebra", ""]}
+    rows = spark.createDataFrame([(i, x, t) for x in texts for i, t in enumerate(texts[x])], "key long, lang string, text string")
+    whole = []
+    for x in sorted(texts):
+        folded, _, _ = language_id.symbols(texts[x])
+        whole.append(np.unique(language_id.sequences(folded)[folded != 1], return_counts=True))
+    expected, found = language_id.build_model(["a", "b"], whole), language_id.train(rows)
+    for level in range(language_id.ORDER):
+        assert np.array_equal(found.keys[level], expected.keys[level]) and np.array_equal(found.contexts[level], expected.contexts[level])
+        assert np.allclose(found.log_probabilities[level], expected.log_probabilities[level])
+        assert np.allclose(found.log_weights[level], expected.log_weights[level], atol=1e-4)
+    # all counts of "zebra" tie: a smaller model still holds some sequences and adds up to one
+    small = language_id.train(rows, max_sequences=12)
+    assert 0 < len(small.keys[0]) <= 40 and len(small.keys[0]) < len(expected.keys[0])
+    letters = small.keys[-1]
+    for context in ("the", "w12", "bra", "qqq"):
+        packed = np.uint64(0)
+        for c in context:
+            packed = packed << np.uint64(16) | np.uint64(ord(c))
+        total = np.exp(small.score((packed << np.uint64(16)) | letters).astype(np.float64)).sum(axis=0)
+        assert (total > 0.8).all() and (total <= 1.0001).all()
+
+
 def test_language_identification_on_held_out_rows(spark, sf_dir):
     from trendspark.llm.queries import op8_language_id
 
@@ -356,3 +382,10 @@ def test_pipeline_stages_take_effect(spark, sf_dir):
     assert not any(pii.find_spans(r.text)[1] for r in rows)
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in rows}
+
+
+def test_buckets_count_the_bounds_at_or_below(spark):
+    keys = [None, -(1 << 63), -5, 0, 3, 4, 7, 8, 9, (1 << 63) - 1]
+    for bounds in ([], [3], [0, 3], [-5, 0, 4, 7, 8], list(range(-50, 60, 2)), [-(1 << 63) + 1, 9]):
+        rows = spark.createDataFrame([(k,) for k in keys], "id long").select("id", bucket_of("id", bounds).alias("b")).collect()
+        assert [r.b for r in rows] == [0 if r.id is None else sum(b <= r.id for b in bounds) for r in rows]
