@@ -37,6 +37,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.line_feed = int(self.encode_whole("\n")[0])
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.letters_split = any(t.strip().isalpha() for t in self.special)
         self.units: dict[str, bytes] = {}
         self._forget()
 
@@ -70,15 +71,20 @@ class Encoder:
                 self.units[unit] = self.encode_whole(unit).tobytes()
 
     def _learn(self, pieces: list[str]) -> None:
+        # letters alone are one unit with the space before them
+        plain = [] if self.letters_split else [p for p in pieces if p.isalpha()]
+        mixed = [p for p in pieces if not p.isalpha()] if plain else pieces
+        words = [" " + p for p in plain]
         # a special token's text is one id: such a piece is not split
-        full = [p[2:] if p.startswith("  ") else " " + p for p in pieces]
+        full = [p[2:] if p.startswith("  ") else " " + p for p in mixed]
         split = [[p] if any(t in p for t in self.special) else _UNITS.findall(p) for p in full]
         if len(self.units) > MAX_UNITS:
             self.units = {}
-        missing = [u for u in dict.fromkeys(chain.from_iterable(split)) if u not in self.units]
-        self._learn_units(missing)
         units = self.units
-        encoded = [b"".join(map(units.__getitem__, s)) for s in split]
+        self._learn_units(list(set(chain(words, chain.from_iterable(split))).difference(units)))
+        encoded = list(map(units.__getitem__, words))
+        encoded += [b"".join(map(units.__getitem__, s)) for s in split]
+        pieces = plain + mixed
         lengths = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
         begin = int(self.ends[self.n_pieces - 1]) if self.n_pieces else 0
         ends = begin + np.cumsum(lengths)
@@ -99,7 +105,7 @@ class Encoder:
         if self.n_pieces > MAX_PIECES:
             self._forget()
         known = self.known
-        missing = [p for p in dict.fromkeys(pieces) if p not in known]
+        missing = list(set(pieces).difference(known))
         if missing:
             self._learn(missing)
         which = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
