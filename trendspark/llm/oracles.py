@@ -63,6 +63,61 @@ FROM sized GROUP BY conv_id
 """
 
 
+FILTER_AUDIT = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+flags AS (
+  SELECT doc_id, part, len(w) < 100 AS A, 100 * len(list_distinct(w)) < 80 * len(w) AS B,
+         100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) AS C,
+         regexp_matches(text, '[#$%&*|]') AS D, doc_id > min(doc_id) OVER (PARTITION BY text) AS E FROM words),
+known AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+docs AS (SELECT f.*, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic FROM flags f LEFT JOIN known USING (doc_id)),
+failed AS (
+  SELECT part, good, toxic, concat(CASE WHEN A THEN 'A' ELSE '' END, CASE WHEN B THEN 'B' ELSE '' END, CASE WHEN C THEN 'C' ELSE '' END,
+         CASE WHEN D THEN 'D' ELSE '' END, CASE WHEN coalesce(E, false) THEN 'E' ELSE '' END) AS fails, count(*) AS n FROM docs GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM orders),
+placed AS (
+  SELECT part, filter_order, step, filter_order[step] AS f, fails, good, toxic, n, contains(fails, filter_order[step]) AS hit,
+         length(fails) > 0 AND length(translate(fails, filter_order[:step - 1], '')) < length(fails) AS gone,
+         length(translate(fails, filter_order[:step], '')) < length(fails) AS gone_after FROM failed, steps),
+counted AS (
+  SELECT part, filter_order, step, f,
+         coalesce(sum(n) FILTER (NOT gone_after), 0) AS kept, coalesce(sum(n) FILTER (hit AND NOT gone), 0) AS removed,
+         coalesce(sum(n) FILTER (hit AND gone), 0) AS redundant, coalesce(sum(n) FILTER (fails = f), 0) AS unique_fails,
+         coalesce(sum(n) FILTER (hit AND NOT gone AND good), 0) AS good_lost, coalesce(sum(n) FILTER (hit AND NOT gone AND toxic), 0) AS toxic_lost
+  FROM placed GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM counted
+"""
+
+LEXICAL_SEARCH = r"""
+WITH terms AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents WHERE text IS NOT NULL),
+sized AS (SELECT doc_id, w, CAST(len(w) AS BIGINT) AS n FROM terms WHERE len(w) > 0),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM sized),
+tf AS (SELECT doc_id, any_value(n) AS n, t, count(*) AS tf FROM (SELECT doc_id, n, unnest(w) AS t FROM sized) GROUP BY doc_id, t),
+df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+items AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+asked AS (SELECT item_id, t, count(*) AS q FROM items GROUP BY item_id, t),
+scored AS (
+  SELECT item_id, doc_id,
+         CAST(sum(q * CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT)
+                  * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // total)))) AS BIGINT) AS score
+  FROM asked JOIN df USING (t) JOIN tf USING (t), totals GROUP BY item_id, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def _licenses() -> str:
     """The same cosine over all lines, without anchors."""
     idf, other, vectors = term_weights(TEMPLATES)
@@ -107,4 +162,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_line_dedup": LINES,
         "op5_chat_prefix_targets": CHAT,
         "op9_license_scan": _licenses(),
+        "op11_filter_audit": FILTER_AUDIT,
+        "op13_lexical_search": LEXICAL_SEARCH,
     }

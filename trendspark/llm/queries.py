@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendspark.llm import (
+    bpe_transducer,
     chat,
     decontaminate,
+    filter_audit,
     fingerprint,
     language_id,
+    lexical_search,
     licenses,
     line_dedup,
     near_dedup,
@@ -24,6 +27,7 @@ from trendspark.llm.common import table
 from trendspark.staging import new_path, stage
 
 TOKENIZER = "byte_bpe_50k.json"
+RANKS = "byte_bpe_multi_50k.tiktoken"
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
@@ -88,9 +92,29 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), window=1024, end_id=0)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(RANKS)
+    encoded = bpe_transducer.encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return bpe_transducer.decode_documents(encoded, path).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
         op1_minhash_near_dedup, op2_quartile_fingerprint, op3_elias_fano_tokens, op4_line_dedup, op5_chat_prefix_targets,
         op6_cgk_decontamination, op7_pii_deobfuscation, op8_language_id, op9_license_scan, op10_best_fit_packing,
+        op11_filter_audit, op12_bpe_transducer, op13_lexical_search,
     )
     return {query.__name__: query for query in registered}
