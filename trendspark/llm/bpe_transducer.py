@@ -16,9 +16,10 @@ from __future__ import annotations
 
 import base64
 import gc
+import struct
 import sys
 import types
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,8 @@ from pyspark.sql import functions as F
 
 from trendspark.llm.common import batch_of, map_arrow, slices
 
-# bounds of the tables of a worker; a table beyond its bound is begun anew
-MAX_STATES = 100_000
+# bounds of the tables of a worker; a table beyond its bound is begun anew, that of units after two
+MAX_STATES = 200_000
 MAX_PAIRS = 300_000
 MAX_UNITS = 300_000
 MAX_UNIT_LENGTH = 48
@@ -73,16 +74,16 @@ def history(data: bytes, ranks: dict[bytes, int]) -> list[tuple[int, bytes, byte
     return steps
 
 
-class State:
-    """A set of possibilities ``(held tokens, token before, trie node)``, and what is known of its steps."""
+class State(dict):
+    """A set of possibilities ``(held tokens, token before, trie node)``; its items are the steps compiled so far.
 
-    __slots__ = ("possible", "steps", "last")
+    A step leads from a byte to the next state, or to that and what is written on the way.
+    """
+
+    __slots__ = ("possible",)
 
     def __init__(self, possible: tuple[tuple[tuple[int, ...], int, int], ...]):
         self.possible = possible
-        self.steps: dict[int, tuple[State, tuple[int, ...]]] = {}
-        # what is still to be written if the unit ends here
-        self.last = next((held for held, _, node in possible if node == 0), ())
 
 
 class Transducer:
@@ -91,6 +92,7 @@ class Transducer:
     def __init__(self, tokens: list[bytes]):
         self.tokens = tokens
         self.ranks = {t: i for i, t in enumerate(tokens) if t}
+        self.written = [struct.pack("<I", i) for i in range(len(tokens))]
         if any(bytes((b,)) not in self.ranks for b in range(256)):
             raise ValueError("a byte-level vocabulary has a token for every byte")
         self.children: dict[int, int] = {}
@@ -159,41 +161,61 @@ class Transducer:
             else:
                 j += 1
 
-    def _step(self, state: State, byte: int) -> tuple[State, tuple[int, ...]]:
-        possible, ended = [], None
+    def _step(self, state: State, byte: int) -> State | tuple[State, bytes]:
+        """Compile a step: the state after the byte and the tokens that are final by then."""
+        children, possible, ended = self.children, [], None
         for held, before, node in state.possible:
-            child = self.children.get(node << 8 | byte)
+            child = children.get(node << 8 | byte)
             if child is None:
                 continue
             if self.inner[child]:
                 possible.append((held, before, child))
-            token = self.token_at[child]
-            if token >= 0 and ended is None and self._follows(before, token):
-                ended = ((*held, token), token, 0)
+            if ended is None:
+                token = self.token_at[child]
+                if token >= 0 and self._follows(before, token):
+                    ended = (*held, token), token, 0
         possible.append(ended)
-        # what all have in common is written
-        first, shared = possible[0][0], min(len(p[0]) for p in possible)
-        while any(p[0][:shared] != first[:shared] for p in possible):
-            shared -= 1
-        # in the order of the places where they began, so that equal sets are equal tuples
-        after = self._state(tuple((held[shared:], before, node) for held, before, node in possible) if shared else tuple(possible))
-        state.steps[byte] = after, first[:shared]
-        return state.steps[byte]
-
-    def encode_unit(self, unit: bytes) -> list[int]:
-        """The ids of a unit: of the whole unit if it is a token, else what the machine writes."""
-        if unit in self.alone:
-            return [self.ranks[unit]]
+        # what all have in common is written; the order is that of the places where they began
+        first = possible[0][0]
+        shared = len(first)
+        for held, _, _ in possible:
+            while held[:shared] != first[:shared]:
+                shared -= 1
+        if shared:
+            out = b"".join(map(self.written.__getitem__, first[:shared]))
+            rest = tuple((held[shared:], before, node) for held, before, node in possible)
+            state[byte] = self._state(rest), out
+        else:
+            state[byte] = self._state(tuple(possible))
+        return state[byte]
+
+    def _last(self, state: State, byte: int) -> bytes:
+        """What is written if the unit ends with this byte: the tokens of the possibility that ends here."""
+        for held, before, node in state.possible:
+            child = self.children.get(node << 8 | byte)
+            if child is not None:
+                token = self.token_at[child]
+                if token >= 0 and self._follows(before, token):
+                    return b"".join(map(self.written.__getitem__, held)) + self.written[token]
+        raise ValueError("no token ends here")
+
+    def encode_unit(self, unit: bytes) -> bytes:
+        """The ids of a unit, each in four bytes: of the whole unit if it is a token, else what the machine writes."""
+        if not unit or unit in self.alone:
+            return self.written[self.ranks[unit]] if unit else b""
         if len(self.states) > MAX_STATES:
             self._forget()
-        state, ids = self.start, []
-        for byte in unit:
-            step = state.steps.get(byte) or self._step(state, byte)
-            state = step[0]
-            if step[1]:
-                ids += step[1]
-        ids += state.last
-        return ids
+        state, out = self.start, []
+        for byte in unit[:-1]:
+            step = state.get(byte)
+            if step is None:
+                step = self._step(state, byte)
+            if type(step) is tuple:
+                step, written = step
+                out.append(written)
+            state = step
+        out.append(self._last(state, unit[-1]))
+        return b"".join(out)
 
 
 class Encoder:
@@ -203,26 +225,26 @@ class Encoder:
         self.transducer = Transducer(tokens)
         self.units = regex.compile(pattern)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _matches(self, text: str) -> list[str]:
+        # a match is one unit whatever groups the pattern has
+        return [m[0] for m in self.units.finditer(text)] if self.units.groups else self.units.findall(text)
 
     def _learn(self, unit: str) -> bytes:
-        ids = self.transducer.encode_unit(unit.encode("utf-8", "surrogatepass"))
-        found = np.array(ids, "<u4").tobytes()
+        found = self.known.get(unit) or self.older.get(unit)
+        if found is None:
+            found = self.transducer.encode_unit(unit.encode("utf-8", "surrogatepass"))
         if len(unit) <= MAX_UNIT_LENGTH:
+            if len(self.known) >= MAX_UNITS:
+                self.older, self.known = self.known, {}
             self.known[unit] = found
         return found
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
-        if len(self.known) > MAX_UNITS:
-            self.known = {}
         known, learn = self.known, self._learn
-        # a match is one unit whatever groups the pattern has
-        return b"".join([known.get(m) or learn(m) for m in self._matches(text or "")])
-
-    def _matches(self, text: str) -> Iterable[str]:
-        if self.units.groups:
-            return (m[0] for m in self.units.finditer(text))
-        return self.units.findall(text)
+        return b"".join([known.get(u) or learn(u) for u in self._matches(text or "")])
 
 
 # --- decoding -----------------------------------------------------------------
@@ -291,7 +313,39 @@ def _held(kind: str, path: str, make):
     return held[kind, path]
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def _encoded(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Iterator[pa.RecordBatch]:
+    encoder = _held(f"encoder {pattern}", path, lambda: Encoder(read_ranks(path), pattern))
+    for batch in slices(batches):
+        gc.disable()  # the tables grow by many small objects and have no cycles
+        try:
+            encoded = [encoder.encode(t.as_py()) for t in batch["text"]]
+        finally:
+            gc.enable()
+        yield batch_of(_ENCODED, [batch["id"], encoded])
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    tokens = _held("tokens", path, lambda: read_ranks(path))
+    for batch in slices(batches):
+        held = (np.frombuffer(b.as_buffer(), "<u4") if b.is_valid else np.zeros(0, "<u4") for b in batch["ids"])
+        yield batch_of(_DECODED, [batch["doc_id"], batch["ids"], ["".join(decode_stream(ids, tokens)) for ids in held]])
+
+
+_ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+_DECODED = pa.schema([*_ENCODED, ("text", pa.string())])
+
+
+def _texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    return docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
+
+
+def encode_documents(
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
     """``doc_id, ids``: each row's token ids as little-endian unsigned 32-bit integers.
 
     ``path`` is a rank file that the executors can read, ``pattern`` the split before the merges.
@@ -299,30 +353,25 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_column: str =
     like others; a table without rows gives none. Only the two named columns are read. A text is
     held with its ids, a unit takes time in proportion to its length.
     """
-    out = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _held(f"encoder {pattern}", path, lambda: Encoder(read_ranks(path), pattern))
-        for batch in slices(batches):
-            gc.disable()  # the tables grow by many small objects and have no cycles
-            try:
-                encoded = [encoder.encode(t.as_py()) for t in batch["text"]]
-            finally:
-                gc.enable()
-            yield batch_of(out, [batch["id"], encoded])
-
-    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
-    return map_arrow(rows, run, "doc_id long, ids binary")
+    rows = _texts(docs, id_column, text_column)
+    return map_arrow(rows, lambda batches: _encoded(batches, path, pattern), "doc_id long, ids binary")
 
 
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     """``doc_id, ids, text`` of encoded rows: the text that the ids stand for."""
-    out = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("text", pa.string())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = _held("tokens", path, lambda: read_ranks(path))
-        for batch in slices(batches):
-            held = (np.frombuffer(b.as_buffer(), "<u4") if b.is_valid else np.zeros(0, "<u4") for b in batch["ids"])
-            yield batch_of(out, [batch["doc_id"], batch["ids"], ["".join(decode_stream(ids, tokens)) for ids in held]])
-
-    return map_arrow(encoded.select("doc_id", "ids"), run, "doc_id long, ids binary, text string")
+    return map_arrow(encoded.select("doc_id", "ids"), lambda batches: _decoded(batches, path), "doc_id long, ids binary, text string")
+
+
+def round_trip(
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """``doc_id, ids, text``: rows encoded and their ids decoded, batch after batch in one pass."""
+    return map_arrow(
+        _texts(docs, id_column, text_column),
+        lambda batches: _decoded(_encoded(batches, path, pattern), path),
+        "doc_id long, ids binary, text string",
+    )

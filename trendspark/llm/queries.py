@@ -97,9 +97,8 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(RANKS)
-    encoded = bpe_transducer.encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return bpe_transducer.decode_documents(encoded, path).select(
+    docs, path = table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS)
+    return bpe_transducer.round_trip(docs, path, public_tokenizers.PATTERN).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
