@@ -32,6 +32,12 @@ VALUES = {
     "timestamp": "timestamp'2020-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id % 500)",
     "boolean": "id % 3 = 0",
     "long_text": "concat(repeat('x', 2000), cast(id % 9 as string))",
+    "nested_text": """case when id % 3 = 0 then 'https://a.b/' when id % 3 = 1 then concat('https://a.b/', repeat('y', 3000), cast(id % 40 as string))
+        when id % 5 = 0 then concat('https://a.b/', decode(unhex('00'), 'utf-8')) when id % 5 = 1 then 'é' else concat('https://a.c/', id) end""",
+    "near_bigints": "if(id % 2 = 0, 9223372036854775807L - id % 3, if(id % 5 = 0, -9223372036854775808L + id % 2, id))",
+    "near_decimals": "cast(99999999999999999999999999999999999.11 as decimal(38,2)) + cast(if(id % 3 = 0, 0.25, (id % 7) / 100.0) as decimal(38,2))",
+    "timestamp_ntz": "timestamp_ntz'1969-12-31 23:59:59' + make_interval(0, 0, 0, 0, 0, 0, (id % 500) / 4)",
+    "old_dates": "date_add(date'0001-01-01', cast(id % 3 * 400000 as int))",
 }
 
 
@@ -64,13 +70,49 @@ def test_rank_refuses_types_without_a_simple_order(spark):
         ranking.global_rank(spark.range(3).selectExpr("cast(id as int) AS v"), "v", "r", buckets=1)
 
 
-@pytest.mark.parametrize("kind", ["bigint", "text"])
-def test_hot_values_of_own_order_are_groups_of_their_own(spark, kind):
+@pytest.mark.parametrize("kind", ["hot", "bigint", "text", "near_bigints", "near_decimals", "long_text", "nested_text"])
+def test_no_task_sorts_a_large_group(spark, kind):
     df = spark.range(9000).selectExpr("id", f"{VALUES[kind]} AS v")
-    cuts = ranking._sampled_cuts(df, "v", 32)
-    groups = df.withColumn("g", ranking._own_group(F.col("v"), cuts, df.schema["v"].dataType))
-    assert groups.where("g % 2 = 1").groupBy("g").count().agg(F.max("count")).first()[0] <= 2 * 9000 / 32
-    assert groups.where("g % 2 = 0").groupBy("g").agg(F.count_distinct("v")).agg(F.max("count(DISTINCT v)")).first()[0] == 1
+    ranked = ranking.global_rank(df, "v", "r", buckets=32)
+    expected = df.withColumn("r", F.rank().over(Window.orderBy("v")).cast("bigint"))
+    assert same(ranked, expected)
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_sort" not in plan and "Union" in plan
+
+
+def test_sorted_groups_are_small(spark, monkeypatch):
+    seen = []
+    finer = ranking._count_groups
+
+    def watched(df, key, group, buckets, *rest):
+        grouped, counts = finer(df, key, group, buckets, *rest)
+        seen.append(counts)
+        return grouped, counts
+
+    monkeypatch.setattr(ranking, "_count_groups", watched)
+    df = spark.range(9000).selectExpr("id", "concat(repeat('x', 1500), cast(id % 4000 as string)) AS v")
+    ranking.global_rank(df, "v", "r", buckets=32).count()
+    # the shared start is left out at once
+    assert len(seen) == 1 and max(seen[0].values()) <= 2 * 9000 / 32
+    seen.clear()
+    df = spark.range(9000).selectExpr("id", "if(id % 3 = 0, 9007199254740993L, 9007199254740992L + id % 50) AS v")
+    ranking.global_rank(df, "v", "r", buckets=32).count()
+    # neighbours of one double are told apart in the second cut, where only the hot value is large
+    assert len(seen) == 2 and sum(n > 2 * 9000 / 32 for n in seen[1].values()) == 1
+
+
+def test_plans_do_not_grow_per_row_with_the_buckets(spark):
+    """The cuts are one constant searched by halves, whatever their number."""
+    df = spark.range(20_000).selectExpr("id", "hash(id) * 3L AS v")
+    for buckets in (32, 2048):
+        plan = ranking.global_rank(df, "v", "r", buckets=buckets)._jdf.queryExecution().optimizedPlan().toString()
+        assert "array_sort" not in plan and "filter(" not in plan and "lambda" not in plan
+
+
+def test_other_collations_are_refused(spark):
+    df = spark.sql("SELECT 'a' COLLATE UTF8_LCASE AS v")
+    with pytest.raises(TypeError):
+        ranking.global_rank(df, "v", "r")
 
 
 def test_hot_values_are_not_sorted_in_a_window_task(spark):

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-import json
+import bisect
 import math
-from collections.abc import Sequence
+import os
+from collections.abc import Iterator, Sequence
+from functools import reduce
+from operator import or_
 
+import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,12 +20,13 @@ from trendspark.operators.features import weighted_trends
 from trendspark.settings import COUNT_TREND_WEIGHTS, SALES_TREND_WEIGHTS
 
 _EXACT_AS_DOUBLE = (T.DoubleType, T.FloatType, T.IntegerType, T.ShortType, T.ByteType)
-_OWN_ORDER = (
+_BY_WORDS = (
     T.LongType, T.DecimalType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType,
 )
-# rows of the sample behind each cut value, and the most characters of a cut value of text
-_SAMPLE_PER_CUT = 64
-_CUT_CHARACTERS = 1024
+# a refined key is the number of its group times this, and a word below it
+_WORD = 2**40
+_TEXT_BYTES = 4
+_MICROS_A_DAY = 86_400_000_000
 
 
 def global_rank(
@@ -34,66 +39,95 @@ def global_rank(
 ) -> DataFrame:
     """``rank() over (order by column)`` as bigint, in parallel and exact.
 
-    1. Quantiles of the column cut its values into ``buckets`` open ranges; each cut
-       value is a group of its own.
+    1. Every value has a key, a double that never falls as values rise. Quantiles of the keys cut
+       them into ``buckets`` open ranges; each cut is a group of its own. The cuts are one
+       sorted constant, searched by halves.
     2. One aggregation counts the rows of every group. Added up in order, the counts
        say how many rows come before each group.
-    3. Rows equal to a cut value are all tied: their rank follows from step 2. Only the
-       rows inside a range are sorted, range by range.
-
-    The sketch error is below a quarter of a range, so a value more frequent than
-    about two ranges must be a cut value. A hot value is therefore never sorted in one
-    task, and no range holds more than about two shares of the rows. Groups depend on the values
-    alone, so running a task again changes nothing. ``df`` is read three times (twice
-    for one column): pass a written table if it is expensive. Null sorts as the least
-    value and NaN as the greatest, as in Spark's own ordering.
-
-    bigint, decimal, text, dates, times and booleans are compared in their own type. Their
-    cut values come from a sample of the rows, so that a hot value is a cut value with
-    near certainty; what is sampled decides how the rows are spread, not their rank. Of a
-    text longer than 1,024 characters the cut value is a prefix: such a text may be hot in one range.
+    3. A group of more than two shares of the rows is one key. If it is one value, all its rows are tied
+       and their rank follows from step 2. If not, its values get finer keys, and the group is
+       cut again, until no large group holds two values.
+    4. Rows of all other groups are sorted, group by group.
+
+    Numbers that are exact as doubles are their own keys. bigint, decimal, dates and times are first
+    compared as doubles, and then by their distance from the least value of the group. Texts
+    are compared by the bytes that follow what the least and the greatest of the group have in common, so a
+    common start of any length costs one step.
+
+    The sketch error is below a quarter of a range, so no group that is sorted holds more than about two shares of the
+    rows, whatever the values are. Groups depend on the values alone, so running a task again
+    changes nothing. ``df`` is read three times (twice for one column), and once or twice more for each finer cut: pass
+    a written table if it is expensive. Null sorts as the least value and NaN as the greatest, as in
+    Spark's own ordering. Texts compare by their bytes; other collations are refused.
     """
     kind = df.schema[column].dataType
-    if not isinstance(kind, _EXACT_AS_DOUBLE + _OWN_ORDER):
+    binary_text = not isinstance(kind, T.StringType) or kind == T.StringType()
+    if not isinstance(kind, _EXACT_AS_DOUBLE + _BY_WORDS) or not binary_text:
         raise TypeError(f"{column} is {kind.simpleString()}, whose values cannot be ranked")
     if buckets is None:
         buckets = _default_buckets(df)
     if buckets < 2:
         raise ValueError("at least two buckets")
-    number = f"_{output}_value"
-    if isinstance(kind, _EXACT_AS_DOUBLE):
-        value = F.col(column).cast("double")
-        # -0.0 equals 0.0 in SQL but not in the binary search of the bucketizer
-        keyed = df.withColumn(number, F.when(value == 0, F.lit(0.0)).otherwise(value))
-        cuts = _cut_values(keyed, number, buckets)
-        splits = [-math.inf, *cuts, math.inf]
-        if len(splits) == 2:
-            splits.insert(1, 0.0)
-        grouped, groups = _add_group(keyed, number, splits, f"_{output}_group"), 2 * len(splits) + 3
-    else:
-        cuts = _sampled_cuts(df, column, buckets)
-        grouped, groups = df.withColumn(f"_{output}_group", _own_group(F.col(column), cuts, kind)), 2 * len(cuts) + 2
-    group = F.col(f"_{output}_group")
+    key, group, level = (f"_{output}_{name}" for name in ("key", "group", "level"))
+    value = _comparable(F.col(column), kind)
+    grouped, counts = _count_groups(df.withColumn(key, _first_key(value, kind, df, column)), key, group, buckets)
+    total = sum(counts.values())
+    largest = 2 * total / buckets
+    grouped = grouped.withColumn(level, F.lit(0))
+
+    # leaves[level][group] is the number of rows in a group that is not cut again
+    leaves, paths, tied = [counts], [[(g,) for g in sorted(counts)]], []
+    large = {g: n for g, n in counts.items() if n > largest}
+    while large:
+        here = len(leaves) - 1
+        spans = _spans(grouped.where((F.col(level) == here) & F.col(group).isin(list(large))), group, value, kind)
+        tied += [(here, g) for g in large if spans[g] is None]
+        again = [g for g in sorted(large) if spans[g] is not None]
+        if not again:
+            break
+        refined = _refine(grouped, key, group, level, here, again, [spans[g] for g in again], value, kind)
+        rows = sum(large[g] for g in again)
+        bounds = [float(i * _WORD) for i in range(1, len(again))]
+        finer, found = _count_groups(
+            refined, key, group + "_finer", max(2, math.ceil(buckets * rows / total)), F.col(level) == here + 1, bounds
+        )
+        finest = F.when(F.col(level) == here + 1, F.col(group + "_finer")).otherwise(F.col(group))
+        grouped = finer.withColumn(group, finest + _nothing()).drop(group + "_finer")
+        # a group's owner: bounds lie between the keys of two of them
+        owners = {g: bisect.bisect_right(bounds, low) for g, low in _least_keys(grouped, level, here + 1, group, key).items()}
+        parents = {path[-1]: path for path in paths[-1]}
+        paths.append([(*parents[again[owners[g]]], g) for g in sorted(found)])
+        leaves.append(found)
+        for g in again:
+            del leaves[here][g]
+        large = {g: n for g, n in found.items() if n > largest}
 
-    # at most two groups per cut value
-    counts = {row[0]: row[1] for row in grouped.groupBy(group).count().collect()}
-    before, seen = [0] * groups, 0
-    for g in sorted(counts, reverse=not ascending):
-        before[g] = seen
-        seen += counts[g]
+    # rows before each leaf, in the order of the paths from the first cut to the last
+    before, seen = [dict.fromkeys(level_counts, 0) for level_counts in leaves], 0
+    ordered = sorted(
+        (path, at) for at, level_paths in enumerate(paths) for path in level_paths if path[-1] in leaves[at]
+    )
+    for path, at in ordered if ascending else reversed(ordered):
+        before[at][path[-1]] = seen
+        seen += leaves[at][path[-1]]
 
     order = F.col(column).asc() if ascending else F.col(column).desc()
-    in_group = F.rank().over(Window.partitionBy(group).orderBy(order)).cast("bigint")
-    one_value = group % 2 == 0
-    if max((n for g, n in counts.items() if g % 2 == 0), default=0) <= 2 * seen / buckets:
-        ranked = grouped.withColumn(output, in_group)
-    else:
-        # a hot value: its rows are all first in their group and skip the shuffle
-        ranked = grouped.where(~one_value).withColumn(output, in_group).unionByName(
-            grouped.where(one_value).withColumn(output, F.lit(1).cast("bigint"))
+    in_group = F.rank().over(Window.partitionBy(level, group).orderBy(order)).cast("bigint")
+    if tied:
+        # tied rows are all first in their group and skip the shuffle
+        is_tied = reduce(or_, (
+            (F.col(level) == at) & F.col(group).isin([g for a, g in tied if a == at]) for at in {a for a, _ in tied}
+        ))
+        ranked = grouped.where(~is_tied).withColumn(output, in_group).unionByName(
+            grouped.where(is_tied).withColumn(output, F.lit(1).cast("bigint"))
         )
-    offset = F.element_at(literal_array(before, "bigint"), group + 1)
-    return ranked.withColumn(output, F.col(output) + offset).drop(number, f"_{output}_group")
+    else:
+        ranked = grouped.withColumn(output, in_group)
+    offset = F.lit(0).cast("bigint")
+    for at, rows_before in enumerate(before):
+        places = [rows_before.get(g, 0) for g in range(max(rows_before, default=0) + 1)]
+        offset = F.when(F.col(level) == at, F.element_at(literal_array(places, "bigint"), F.col(group) + 1)).otherwise(offset)
+    return ranked.withColumn(output, F.col(output) + offset).drop(key, group, level)
 
 
 def _default_buckets(df: DataFrame) -> int:
@@ -101,6 +135,57 @@ def _default_buckets(df: DataFrame) -> int:
     return min(max(4 * partitions, 32), 16384)
 
 
+def _comparable(value: Column, kind: T.DataType) -> Column:
+    """A value of the same order that is a double, a bigint, a decimal or a text."""
+    if isinstance(kind, _EXACT_AS_DOUBLE):
+        value = value.cast("double")
+        # -0.0 equals 0.0 in SQL but not in a search by halves
+        return F.when(value == 0, F.lit(0.0)).otherwise(value)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value).cast("bigint")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value)
+    if isinstance(kind, T.TimestampNTZType):
+        # by fields: a cast would go through the session's time zone
+        seconds = F.extract(F.lit("SECOND"), value)
+        minutes = F.hour(value) * 60 + F.minute(value)
+        return F.unix_date(value.cast("date")).cast("bigint") * _MICROS_A_DAY + (
+            minutes.cast("bigint") * 60_000_000 + (seconds * 1_000_000).cast("bigint")
+        )
+    return value.cast("bigint") if isinstance(kind, T.BooleanType) else value
+
+
+def _first_key(value: Column, kind: T.DataType, df: DataFrame, column: str) -> Column:
+    if not isinstance(kind, T.StringType):
+        return value.cast("double")
+    shared = _shared_starts(df.agg(F.lit(0).alias("group"), F.min(column).alias("low"), F.max(column).alias("high")))
+    return _text_word(value, F.lit(shared.get(0) or 0)).cast("double")
+
+
+def _text_word(text: Column, start: Column) -> Column:
+    """The next bytes of a text after ``start``, as a number below ``_WORD`` that keeps their order.
+
+    The bytes are filled up with zeros; of texts that only differ by such zeros the shorter is the lesser.
+    """
+    data = text.cast("binary")
+    rest = F.greatest(F.octet_length(data) - start, F.lit(0))
+    digits = F.rpad(F.hex(F.substring(data, start + 1, F.lit(_TEXT_BYTES))), 2 * _TEXT_BYTES, "0")
+    return F.conv(digits, 16, 10).cast("bigint") * 8 + F.least(rest, F.lit(_TEXT_BYTES + 1))
+
+
+def _count_groups(
+    df: DataFrame, key: str, group: str, buckets: int, within: Column | None = None, bounds: Sequence[float] = ()
+) -> tuple[DataFrame, dict[int, int]]:
+    """Add the group of each key, and count the rows of the groups: at most two for each cut."""
+    part = df if within is None else df.where(within)
+    splits = [-math.inf, *sorted({*_cut_values(part, key, buckets), *bounds}), math.inf]
+    if len(splits) == 2:
+        splits.insert(1, 0.0)
+    grouped = _add_group(df, key, splits, group)
+    part = grouped if within is None else grouped.where(within)
+    return grouped, {row[0]: row[1] for row in part.groupBy(group).count().collect()}
+
+
 def _cut_values(df: DataFrame, column: str, buckets: int) -> list[float]:
     shares = [i / buckets for i in range(1, buckets)]
     found = df.approxQuantile(column, shares, 1 / (4 * buckets))
@@ -128,36 +213,78 @@ def _add_group(df: DataFrame, column: str, splits: list[float], output: str) ->
     return bucketizer.transform(df).withColumn(output, group).drop(index)
 
 
-def _sampled_cuts(df: DataFrame, column: str, buckets: int) -> list[str]:
-    """At most ``buckets`` values as text, evenly spaced in a sorted sample of bounded size."""
-    value = F.col(column)
-    if isinstance(df.schema[column].dataType, T.StringType):
-        value = F.substring(value, 1, _CUT_CHARACTERS)
-    values = df.select(value.alias("v")).where("v is not null")
-    total, wanted = values.count(), buckets * _SAMPLE_PER_CUT
-    sample = values.sample(min(1.0, wanted / max(total, 1)), seed=1) if total > wanted else values
-    # the window sorts the sample alone
-    placed = sample.select("v", F.row_number().over(Window.orderBy("v")).alias("place"))
-    step = max(1, min(total, wanted) // buckets)
-    return [r[0] for r in placed.where(F.col("place") % step == 0).select(F.col("v").cast("string")).distinct().collect()]
+def _spans(rows: DataFrame, group: str, value: Column, kind: T.DataType) -> dict[int, tuple | int | None]:
+    """Per group None if it has one value, else what its values need for finer keys.
+
+    That is the least and the greatest value of numbers and the number of bytes that texts share.
+    """
+    ends = rows.groupBy(F.col(group).alias("group")).agg(F.min(value).alias("low"), F.max(value).alias("high"))
+    if isinstance(kind, T.StringType):
+        return _shared_starts(ends)
+    # the groups of NaN and of the infinities are even, as are all that are one value of a double
+    exact = isinstance(kind, _EXACT_AS_DOUBLE)
+    return {r.group: None if r.low == r.high or exact and r.group % 2 == 0 else (r.low, r.high) for r in ends.collect()}
 
 
-def _own_group(value: Column, cuts: Sequence[str], kind: T.DataType) -> Column:
-    """Group numbers in value order: 0 null, ``2i`` equal to cut ``i`` (from 1), ``2i + 1`` above it.
+def _shared_starts(ends: DataFrame) -> dict[int, int | None]:
+    """Bytes that the least and the greatest text of each group share; None if they are one text or null.
 
-    The cuts are found in two steps, first among every ``wide``-th, then among those that follow.
+    The texts, of any length, are compared in a task: only numbers come to the driver.
     """
-    ordered = F.array_sort(F.from_json(F.lit(json.dumps(list(cuts))), "array<string>").cast(T.ArrayType(kind)))
-    wide = math.isqrt(len(cuts)) + 1
-    coarse = F.filter(ordered, lambda _, i: i % wide == wide - 1)
 
-    def up_to(array: Column) -> Column:
-        return F.size(F.filter(array, lambda cut: cut <= value))
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            pairs = [(low or "", high or "") for low, high in zip(rows["low"], rows["high"], strict=True)]
+            shared = [-1 if a == b else len(os.path.commonprefix([a.encode(), b.encode()])) for a, b in pairs]
+            yield pd.DataFrame({"group": rows["group"], "shared": shared})
+
+    found = ends.mapInPandas(compare, "group int, shared int").collect()
+    return {r.group: None if r.shared < 0 else r.shared for r in found}
+
+
+def _refine(
+    df: DataFrame, key: str, group: str, level: str, here: int, again: list[int], spans: list, value: Column, kind: T.DataType
+) -> DataFrame:
+    """Finer keys for the rows of the groups ``again`` of a level, which move to the next one."""
+    places = [0] * (max(again) + 1)
+    for i, g in enumerate(again, 1):
+        places[g] = i
+    place = F.when(F.col(level) == here, F.coalesce(F.get(literal_array(places, "int"), F.col(group)), F.lit(0))).otherwise(0)
+    moved = df.withColumn(level + "_place", place)
+    at = F.col(level + "_place")
+    if isinstance(kind, T.StringType):
+        word = _text_word(value, F.element_at(literal_array(spans, "int"), F.greatest(at, F.lit(1))))
+    else:
+        # values of one group are near each other, so that their distances fit
+        exact = f"decimal(38,{kind.scale})" if isinstance(kind, T.DecimalType) else "bigint"
+        exact = "double" if isinstance(kind, _EXACT_AS_DOUBLE) else exact
+        low, high = (F.element_at(_literal_numbers([s[i] for s in spans], exact), F.greatest(at, F.lit(1))) for i in (0, 1))
+        # null for the rows of other groups, whose distance may not fit
+        far, span = (F.when(at > 0, end - low).cast("double") for end in (value.cast(exact), high))
+        word = F.floor(far / span * (_WORD - 2)).cast("bigint")
+    finer = ((at - 1).cast("bigint") * _WORD + 1 + word).cast("double")
+    return (
+        moved.withColumn(key, F.when(at > 0, finer).otherwise(F.col(key)))
+        .withColumn(level, F.when(at > 0, here + 1).otherwise(F.col(level)) + _nothing())
+        .drop(level + "_place")
+    )
+
+
+def _nothing() -> Column:
+    """Zero, which the optimizer takes for random.
+
+    It then leaves a filter on a column above the column's computation. Copied into the filter, level by level, the
+    computation would grow beyond measure.
+    """
+    return F.floor(F.rand(0)).cast("int")
+
+
+def _literal_numbers(values: Sequence, kind: str) -> Column:
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
 
-    start = up_to(coarse) * wide
-    index = start + up_to(F.slice(ordered, start + 1, F.lit(wide)))
-    is_cut = F.coalesce(F.get(ordered, index - 1) == value, F.lit(False))
-    return F.when(value.isNull(), 0).when(is_cut, 2 * index).otherwise(2 * index + 1)
+def _least_keys(grouped: DataFrame, level: str, at: int, group: str, key: str) -> dict[int, float]:
+    return dict(grouped.where(F.col(level) == at).groupBy(group).agg(F.min(key)).collect())
 
 
 def trend_ranking(
