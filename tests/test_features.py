@@ -1,5 +1,7 @@
 """Hand-made rows for projections, cleaning, aggregation and joins."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,8 +133,21 @@ def test_limit_with_a_bound_keeps_the_same_rows(spark, value, n):
     expected = [r["v"] for r in df.orderBy("v").limit(n).collect()]
     got = [r["v"] for r in features.limit_rows(df, n, "v", max_candidates=1).collect()]
     assert list(map(str, got)) == list(map(str, expected))
-    if n == 10:
-        assert features._within_first(df, n, "v").count() < 2000 or value.startswith("cast(id %")
+
+
+@pytest.mark.parametrize("value", ["concat('name ', id % 3000)", "if(id % 3 = 0, 'hot', cast(id as string))", "'one'", "id % 5"])
+def test_limit_of_half_a_table_keeps_tasks_small(spark, value, tmp_path):
+    written = str(tmp_path / "rows")
+    spark.range(6000).repartition(5).selectExpr("id % 2 AS half", f"{value} AS v").write.parquet(written)
+    df = spark.read.parquet(written)
+    first = features.limit_rows(df, 3000, "v", max_candidates=100, buckets=16)
+    expected = [str(r["v"]) for r in df.orderBy("v").limit(3000).collect()]
+    assert [str(r["v"]) for r in first.collect()] == expected
+    # a task that merges rows merges a range at most
+    limits = re.findall(r"(?:GlobalLimit|TakeOrderedAndProject\(limit=|CollectLimit) ?(\d+)", first._jdf.queryExecution().toString())
+    assert all(int(n) <= 2 * 6000 / 16 for n in limits)
+    again = features.limit_rows(df, 3000, "v", max_candidates=100, buckets=16)
+    assert again.exceptAll(first).count() == 0 and again.count() == 3000
 
 
 def test_yearly_pivot_takes_2018_from_2018_or_from_2019(spark):

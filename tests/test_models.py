@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from trendspark.operators import encode, forest, neighbours, split
 from trendspark.plans.classifier import classifier_job
-from trendspark.staging import new_path
+from trendspark.staging import new_path, stage
 
 
 def flowers(spark):
@@ -135,6 +135,25 @@ def test_classifier_job_learns_and_its_model_can_be_kept(spark):
     assert kept.select(columns).exceptAll(job["predictions"].select(columns)).count() == 0
 
 
+def test_training_parts_follow_from_the_rows():
+    assert [forest.training_parts(n) for n in (0, 1, 50_000, 50_001, 10**9, 10**12)] == [1, 1, 1, 2, 4096, 500_000]
+
+
+def test_equal_rows_are_dealt_evenly_by_their_key(spark):
+    rows = spark.range(20_000).selectExpr("id", "id % 2 AS value")
+    dealt = forest._spread(rows, [F.xxhash64("id"), F.col("value")], 16)
+    sizes = sorted(r[1] for r in dealt.groupBy(F.spark_partition_id()).count().collect())
+    assert len(sizes) == 16 and sizes[-1] <= 2 * sizes[8]
+
+
+def test_forest_does_not_depend_on_the_layout(spark, monkeypatch):
+    monkeypatch.setattr(forest, "PART_ROWS", 300)
+    df = flowers(spark).withColumn("species", F.when(F.rand(1) < 0.2, F.lit("setosa")).otherwise(F.col("species")))
+    df = stage(df, "noisy")
+    models = [classifier_job(df.repartition(n), MEASURES, "species", key="id", seed=3)["model"] for n in (1, 7)]
+    assert models[0].toDebugString.splitlines()[1:] == models[1].toDebugString.splitlines()[1:]
+
+
 def test_classifier_job_with_random_split(spark):
     job = classifier_job(flowers(spark), MEASURES, "species", seed=3, num_trees=4)
     assert job["training"].count() + job["testing"].count() == 120

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from trendspark.operators import ranking, scoring
+from trendspark.operators import ranges, ranking, scoring
 
 
 def same(a, b):
@@ -82,14 +82,14 @@ def test_no_task_sorts_a_large_group(spark, kind):
 
 def test_sorted_groups_are_small(spark, monkeypatch):
     seen = []
-    finer = ranking._count_groups
+    finer = ranges._count_groups
 
     def watched(df, key, group, buckets, *rest):
         grouped, counts = finer(df, key, group, buckets, *rest)
         seen.append(counts)
         return grouped, counts
 
-    monkeypatch.setattr(ranking, "_count_groups", watched)
+    monkeypatch.setattr(ranges, "_count_groups", watched)
     df = spark.range(9000).selectExpr("id", "concat(repeat('x', 1500), cast(id % 4000 as string)) AS v")
     ranking.global_rank(df, "v", "r", buckets=32).count()
     # the shared start is left out at once
@@ -121,7 +121,7 @@ def test_hot_values_are_not_sorted_in_a_window_task(spark):
     plan = ranked._jdf.queryExecution().toString()
     assert "Union" in plan
     # within the window branch no group may be large
-    groups = ranking._add_group(df, "v", [-math.inf, *ranking._cut_values(df, "v", 32), math.inf], "g")
+    groups = ranges._add_group(df, "v", [-math.inf, *ranges._cut_values(df, "v", 32), math.inf], "g")
     largest = groups.where("g % 2 = 1").groupBy("g").count().agg(F.max("count")).first()[0]
     assert largest <= 2 * 9000 / 32
 

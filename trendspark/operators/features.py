@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendspark.functions import relative_change, row_mean, weighted_total, zip_text
+from trendspark.operators.ranges import default_buckets, value_groups
 from trendspark.settings import COUNT_COLUMNS, COUNT_TREND_WEIGHTS, SALES_COLUMNS, SALES_TREND_WEIGHTS
 
 
@@ -85,33 +86,45 @@ def zip_keys(merchants: DataFrame, column: str = "ZIPCODE") -> DataFrame:
 
 
 def limit_rows(
-    df: DataFrame, n: int, order_by: str | None = None, max_candidates: int = 100_000
+    df: DataFrame, n: int, order_by: str | None = None, max_candidates: int = 100_000, buckets: int | None = None
 ) -> DataFrame:
     """The first ``n`` rows by ``order_by`` (repeatable), or any ``n`` rows without it.
 
     Spark takes the first ``n`` of every partition and merges those in one task. Where
-    ``n`` is above ``max_candidates`` and the column is a number, rows that cannot be among
-    the first are filtered out beforehand: a quantile that at least ``n`` rows do not exceed
-    is a bound for them, and one that the scan can use. Only then does building the result
-    run jobs (a count and the quantile); the rows are the same either way.
+    ``n`` is above ``max_candidates``, whole value ranges are taken instead: the rows are cut by ``order_by`` into
+    groups of bounded size (see :func:`~trendspark.operators.ranges.value_groups`, which reads ``df`` twice or more),
+    groups that lie within the first ``n`` are kept as they are, and only the one in which the ``n``-th row lies is
+    sorted. If that one is a value that many rows share, those of the least hash are taken. No task holds
+    more than a range, and the result is sorted by ranges, too. Pass a written table: equal rows are
+    told apart by their place in it.
     """
     if order_by is None:
         return df.limit(n)
-    if n > max_candidates and isinstance(df.schema[order_by].dataType, T.NumericType):
-        df = _within_first(df, n, order_by)
-    return df.orderBy(order_by).limit(n)
-
-
-def _within_first(df: DataFrame, n: int, column: str, error: float = 1e-4) -> DataFrame:
-    """``df`` without most rows that are not among the first ``n``; keeps all that are.
-
-    Quantiles leave out null and NaN: nulls come first in the order and are kept, and
-    the quantile is one of doubles, so its bound is compared as a double.
-    """
-    value = F.col(column).cast("double")
-    numbers = df.where(value.isNotNull() & ~F.isnan(value)).count()
-    share = n / max(numbers, 1) + 2 * error
-    if share >= 1:
-        return df
-    (bound,) = df.select(value.alias("v")).approxQuantile("v", [share], error)
-    return df.where(value.isNull() | (value <= bound))
+    if n <= max_candidates:
+        return df.orderBy(order_by).limit(n)
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    ties = [F.xxhash64(*hashable), F.xxhash64(F.monotonically_increasing_id())]
+    first = _take_ranges(df, n, order_by, default_buckets(df) if buckets is None else buckets, ties)
+    return first.select(*df.columns).orderBy(order_by)
+
+
+def _take_ranges(df: DataFrame, n: int, column: str, buckets: int, ties: Sequence[Column]) -> DataFrame:
+    groups = value_groups(df, column, buckets, f"first{len(ties)}")
+    within, seen, last = [], 0, None
+    for at, group, rows in groups.counts:
+        if seen + rows > n:
+            last = at, group
+            break
+        within.append((at, group))
+        seen += rows
+    if last is None:
+        return groups.rows
+    kept = groups.rows.where(groups.among(within))
+    if n == seen:
+        return kept
+    rest = groups.rows.where(groups.among([last]))
+    if last in groups.tied and ties:
+        hashed = f"_tie{len(ties)}"
+        rest = _take_ranges(rest.withColumn(hashed, ties[0]), n - seen, hashed, buckets, ties[1:])
+        return kept.unionByName(rest.select(*kept.columns))
+    return kept.unionByName(rest.orderBy(column).limit(n - seen))

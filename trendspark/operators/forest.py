@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
@@ -27,41 +27,57 @@ from trendspark.settings import (
 )
 
 
-PARTITIONS = 16
 MAX_SLOTS = 20_000
+# rows of a training part, and those beyond which parts grow instead of becoming more
+PART_ROWS, MANY_PARTS, LARGE_PART_ROWS = 50_000, 4_096, 2_000_000
 
 
-def _spread(rows: DataFrame, key: Column, partitions: int) -> DataFrame:
+def training_parts(rows: int) -> int:
+    """The number of training parts for a number of rows, on any cluster.
+
+    One for each 50,000 rows up to 4,096; as many for more rows, until one for each two million.
+    """
+    return max(1, min(-(-rows // PART_ROWS), MANY_PARTS), -(-rows // LARGE_PART_ROWS))
+
+
+def _spread(rows: DataFrame, key: Sequence[Column], partitions: int) -> DataFrame:
     """``rows`` in an order and in parts that follow from their values alone.
 
     Bagging draws by partition and row, so a forest repeats only if these do: whatever
     the cores, the input's partitions and their order are.
     """
-    named = rows.withColumn("_key", key)
-    return named.repartition(partitions, "_key").sortWithinPartitions("_key").drop("_key")
+    names = [f"_key{i}" for i in range(len(key))]
+    named = rows.withColumns(dict(zip(names, key, strict=True)))
+    return named.repartition(partitions, names[0]).sortWithinPartitions(*names).drop(*names)
 
 
 def train_forest(
     training: DataFrame,
     num_trees: int = CLASSIFIER_TREES,
     seed: int | None = None,
-    partitions: int = PARTITIONS,
+    partitions: int | None = None,
     keep: bool = True,
+    key: str | Sequence[str] | None = None,
 ) -> RandomForestClassificationModel:
     """Fit a forest on columns ``features`` and ``label``.
 
     Training reads its input several times before the first tree grows, so the two
     columns are kept, in memory as far as it goes and on disk beyond, until it is done;
     ``keep=False`` reads a written table again instead.
-    They are dealt by a hash of their values into ``partitions`` parts: with one seed
-    and one number of parts the same rows give the same forest on any cluster. Give more
-    parts for more rows.
+
+    Rows are dealt by a hash of their ``key`` into ``partitions`` parts, by default as many as follow from the
+    number of rows (:func:`training_parts`, which counts them): with one seed the same rows give the
+    same forest on any cluster. Without a key they are dealt by their values, and
+    equal rows share a part; name the key of a table in which a few values are frequent.
     """
     forest = RandomForestClassifier(numTrees=num_trees)
     if seed is not None:
         forest.setSeed(seed)
-    key = F.xxhash64(vector_to_array("features"), "label")
-    rows = _spread(training.select("features", "label"), key, partitions)
+    values = F.xxhash64(vector_to_array("features"), "label")
+    keys = [key] if isinstance(key, str) else list(key or ())
+    order = [F.xxhash64(*keys), values] if keys else [values]
+    chosen = training.select("features", "label", *(k for k in keys if k not in ("features", "label")))
+    rows = _spread(chosen, order, partitions or training_parts(training.count())).select("features", "label")
     if not keep:
         return forest.fit(rows)
     rows.persist(StorageLevel.MEMORY_AND_DISK)
@@ -113,7 +129,7 @@ def feature_importance(
     mode: str = "classify",
     exclude: Iterable[str] = (),
     strict_types: bool = False,
-    partitions: int = PARTITIONS,
+    partitions: int | None = None,
     max_slots: int = MAX_SLOTS,
     model_path: str | None = None,
 ) -> DataFrame:
@@ -121,7 +137,7 @@ def feature_importance(
 
     Text columns are indexed and one-hot encoded, so a slot stands for one value; numeric
     columns are slots as they are. ``mode="regress"`` fits the amount itself, on all rows,
-    spread by the hash of ``order_by``. ``mode="classify"`` takes every value of the target
+    dealt by the hash of ``order_by`` into parts whose number follows from that of the rows. ``mode="classify"`` takes every value of the target
     for a class of its own and is fitted on a bounded sample of labelled rows: the ``rows``
     rows of the least hash of ``order_by``, in one partition. Text columns that would make
     more than ``max_slots`` slots raise an error that names them for ``exclude``. The fitted
@@ -134,7 +150,8 @@ def feature_importance(
         # the limit leaves one partition, so that bagging repeats
         sample = merged.orderBy(key_hash(keys), *keys).limit(rows)
     else:
-        sample = _spread(merged, key_hash(keys), partitions)
+        hashed = key_hash(keys)
+        sample = _spread(merged, [F.xxhash64(hashed), hashed, *map(F.col, keys)], partitions or training_parts(merged.count()))
     sample = sample.cache()  # used by several fits
     try:
         left_out = {*exclude, target}

@@ -22,18 +22,19 @@ def classifier_job(
     test_ratio: float = TEST_RATIO,
     num_trees: int = CLASSIFIER_TREES,
     seed: int | None = None,
+    partitions: int | None = None,
 ) -> dict:
     """Train on one part of ``df`` and predict the other.
 
-    With ``key`` the split goes by its hash, without it at random. Returns ``model``
-    and the tables ``training``, ``testing``, ``predictions`` and ``accuracy``.
+    With ``key`` the split and the training parts go by its hash; without it the split is at random and equal
+    rows share a part. ``partitions`` overrides the number of parts that follows from the rows. Returns ``model`` and the tables ``training``, ``testing``, ``predictions`` and ``accuracy``.
     """
     transformed = stage(transform_features(df, feature_columns, label_column), "transformed")
     if key is None:
         training, testing = random_split(transformed, test_ratio, seed)
     else:
         training, testing = hash_split(transformed, key, test_ratio)
-    model = train_forest(training, num_trees, seed, keep=False)
+    model = train_forest(training, num_trees, seed, partitions, keep=False, key=key)
     predictions = predict(model, testing)
     return {
         "model": model,
