@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from trendspark.plans import oracles, standin  # noqa: E402
 from trendspark.plans.classifier import classifier_job  # noqa: E402
 from trendspark.plans.merchant import merchant_job, merge_job  # noqa: E402
 from trendspark.settings import SCORING_COLUMNS  # noqa: E402
-from trendspark.sources import census, files, warehouse  # noqa: E402
+from trendspark.sources import census, census_stream, files, warehouse  # noqa: E402
 from trendspark.staging import new_path, stage, stage_all  # noqa: E402
 
 try:  # the one guard for a library without these operators
@@ -117,6 +118,15 @@ def sql_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def extract_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines read part by part, cut by quantiles of a skewed key and by a second one below its hot values."""
+    lines = standin.table(spark, sf_dir, "lineitem").select(*LINE_KEYS, F.col("l_quantity").cast("int").alias("quantity"), "l_partkey")
+    lines = lines.withColumn("quantity", F.when(F.col("quantity") <= 20, 1).otherwise(F.col("quantity")))
+    parts = warehouse.partition_predicates(lines.select("quantity", "l_partkey"), ["quantity", "l_partkey"], 8)
+    read = [lines.where(p).withColumn("part", F.lit(i)) for i, p in enumerate(parts)]
+    return reduce(DataFrame.unionAll, read).select(*LINE_KEYS, "quantity", "l_partkey")
+
+
 # --- projections, filters, cleaning -----------------------------------------
 
 
@@ -178,9 +188,10 @@ def minmax_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scale_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same scaling over the largest table."""
+    """The same scaling over the largest table, whose limits are in its files."""
     lines = standin.table(spark, sf_dir, "lineitem").select(*LINE_KEYS, *LINE_MEASURES)
-    scaled = scoring.minmax_scale(lines, LINE_MEASURES, (1, 1, 0, 0))
+    limits = files.parquet_limits(spark, f"{sf_dir}/lineitem.parquet", LINE_MEASURES)
+    scaled = scoring.minmax_scale(lines, LINE_MEASURES, (1, 1, 0, 0), limits=limits)
     return scaled.select(*LINE_KEYS, *(c + "_SCALED" for c in LINE_MEASURES))
 
 
@@ -222,6 +233,13 @@ def census_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _census(spark, sf_dir)
 
 
+def census_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same columns through the data source that reads responses as streams."""
+    root = new_path(spark, "census-responses")
+    standin.land_responses(standin.census_long(spark, sf_dir), root)
+    return census.census_table(census_stream.read_response_rows(spark, root))
+
+
 def census_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.census_enrich(_merchants(spark, sf_dir), _census(spark, sf_dir))
 
@@ -249,6 +267,17 @@ def merge_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_doubles(joins.merge_all(by_merchant, totals, by_zip))
 
 
+def merge_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same merge by tables in buckets of the city."""
+    merchants = stage(_merchants(spark, sf_dir), "merchants")
+    by_merchant, totals, by_zip = stage_all(
+        features=features.merchant_features(merchants),
+        city_totals=_totals(spark, sf_dir, merchants),
+        census=_census(spark, sf_dir),
+    )
+    return _as_doubles(joins.merge_bucketed(by_merchant, totals, by_zip))
+
+
 def split_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with their supplier, by the path for lookups too large to broadcast."""
     lines = standin.table(spark, sf_dir, "lineitem").select(*LINE_KEYS, F.col("l_suppkey").alias("s_suppkey"))
@@ -492,7 +521,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         typed_columns, trend_weighted,
         minmax_scale, scale_lines, proximity_score, weighted_sum, scoring_report,
         yearly_pivot, yearly_pivot_legacy, city_sums, agg_city_totals,
-        census_parse, census_enrich, join_city, join_census, merge_all, split_join,
+        census_parse, census_streamed, census_enrich, join_city, join_census, merge_all, merge_buckets,
+        split_join, extract_parts,
         trend_ranking, rank_lines, rank_tied_lines, rank_keys, rank_money, rank_names,
         assemble_features, index_labels, index_many_labels, index_columns, one_hot, slot_labels, transform_features,
         hash_split, split_target, random_split, nearest_neighbour, accuracy,

@@ -200,6 +200,23 @@ def test_merge_drops_merchants_without_bank_or_census_values(spark):
     assert merged(spark, [merchant(1)], census=(("99999", 5, 6),)).count() == 0
 
 
+def test_the_bucketed_merge_moves_no_merchant(spark):
+    ms = [merchant(k, zipcode=z, city=c) for k, z, c in ((1, "07001", "Newark"), (2, "7001", " Newark"), (3, "99999", "Newark"), (4, "07001", "Bern"))]
+    f, m = features.merchant_features(merchants(spark, *ms)), merchants(spark, *ms)
+    totals = aggregate.city_totals(m, bank(spark, *bank_years()))
+    enriched = joins.census_enrich(f, census_rows(spark, ("07001", 5, 6)))
+    plain = joins.merge_all(f, totals, enriched)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        bucketed = joins.merge_bucketed(f, totals, enriched, 4)
+        plan = bucketed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Join" in plan and "Exchange" not in plan
+    assert bucketed.columns == plain.columns
+    assert sorted(map(tuple, bucketed.collect())) == sorted(map(tuple, plain.collect())) and bucketed.count() == 2
+
+
 def test_merge_column_order_starts_with_the_keys(spark):
     assert merged(spark, [merchant(1)]).columns[:3] == ["ZIPCODE", "BILLING_STATE", "CITY"]
 

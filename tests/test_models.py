@@ -243,6 +243,37 @@ def test_shells_spare_most_copies_of_clustered_rows():
     assert needed.sum(axis=1).mean() < 10 < len(shells) / 10
 
 
+def test_rows_meet_about_the_square_root_of_the_pivots(monkeypatch):
+    """Distances a row are counted; the shells found hold every row within the bound."""
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(60, 8)) * 100
+    points = np.repeat(centres, 100, axis=0) + rng.normal(size=(6000, 8))
+    tree = neighbours.PivotTree(points[rng.choice(6000, 900, replace=False)])
+    counted = []
+    squared = neighbours._squared
+
+    def watched(a, b):
+        counted.append(len(a) * len(b))
+        return squared(a, b)
+
+    monkeypatch.setattr(neighbours, "_squared", watched)
+    top, wide, cell, far = tree.nearest(points)
+    assert sum(counted) / 6000 < 4 * 30
+    reach = np.array([(wide[top == t].min(), wide[top == t].max()) if (top == t).any() else (np.inf, -np.inf) for t in range(30)])
+    cells = np.unique(cell)
+    index = neighbours.ShellIndex(
+        tree, reach, cells, cells, np.array([far[cell == c].min() for c in cells]), np.array([far[cell == c].max() for c in cells])
+    )
+    queries = np.repeat(centres, 5, axis=0) + rng.normal(size=(300, 8))
+    own, bound = index.home(queries), np.full(300, 2.5)
+    counted.clear()
+    found = index.others(queries, bound, own)
+    assert sum(counted) / 300 < 900 / 4
+    for q, shell, others in zip(queries, own, found, strict=True):
+        near = set(np.searchsorted(cells, cell[((points - q) ** 2).sum(axis=1) <= 2.5**2]).tolist())
+        assert near <= {int(shell), *others.tolist()}
+
+
 @pytest.mark.parametrize("bad", [None, [1.0, None], [1.0, float("nan")], [float("inf"), 1.0], [1.0]])
 def test_bad_vectors_are_named(spark, bad):
     schema = "vec_id bigint, embedding array<double>, label string"
@@ -261,10 +292,9 @@ def test_nearest_neighbour_without_rows(spark):
 
 
 def test_task_functions_need_no_package_on_the_executors(tmp_path):
-    functions = (
-        neighbours._place(np.zeros((1, 2))), neighbours._other_blocks(np.zeros((1, 2)), *np.zeros((4, 1), np.int64)),
-        neighbours._nearest_in_block,
-    )
+    tree = neighbours.PivotTree(np.zeros((1, 2)))
+    index = neighbours.ShellIndex(tree, np.zeros((1, 2)), *np.zeros((4, 1), np.int64))
+    functions = neighbours._place(tree), neighbours._other_blocks(index), neighbours._nearest_in_block
     (tmp_path / "functions").write_bytes(cloudpickle.dumps(functions))
     code = """
 import pickle, sys

@@ -1,6 +1,7 @@
 """Files, warehouse options, census responses, staging and the merchant job."""
 
 import datetime
+import io
 import json
 import os
 
@@ -11,8 +12,9 @@ from tests.test_features import bank, bank_years, merchant, merchants
 from trendspark.plans import standin
 from trendspark.plans.merchant import merchant_job
 from trendspark.session import DEFAULT_SETTINGS, get_session
-from trendspark.sources import census, files, warehouse
-from trendspark.staging import new_path, shared_dir, stage
+from trendspark.operators import scoring
+from trendspark.sources import census, census_stream, files, warehouse
+from trendspark.staging import new_path, shared_dir, stage, stage_bucketed
 
 
 def test_csv_keeps_awkward_text_and_leading_zeros(spark):
@@ -199,3 +201,128 @@ def test_results_do_not_depend_on_partitions(spark, sf_dir, shuffle_partitions):
 def test_large_tables_are_summed_before_they_are_joined(spark, sf_dir):
     plan = standin.merchant_yearly(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join") < plan.index("Aggregate [l_suppkey")
+
+
+def test_limits_come_from_file_statistics(spark, sf_dir, tmp_path):
+    path, columns = f"{sf_dir}/lineitem.parquet", ["l_quantity", "l_extendedprice", "l_orderkey"]
+    plan = files._limits(files._statistics_session(spark).read.parquet(path), columns)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MIN(l_quantity), MAX(l_quantity), MIN(l_extendedprice)" in plan
+    plain = spark.read.parquet(path).selectExpr(*(f"{f}({c})" for c in columns for f in ("min", "max"))).first()
+    assert files.parquet_limits(spark, path, columns) == [(plain[0], plain[1]), (plain[2], plain[3]), (plain[4], plain[5])]
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+def test_limits_without_statistics_are_read_from_the_rows(spark, tmp_path):
+    values = (
+        "if(id = 3, double('NaN'), id * 1D) AS odd", "cast(null as double) AS none", "cast(id AS string) AS text",
+        "cast(id AS decimal(20,2)) AS money",
+    )
+    spark.range(10).repartition(3).selectExpr(*values).write.parquet(str(tmp_path / "rows"))
+    (low, high), none, text, money = files.parquet_limits(spark, str(tmp_path / "rows"), ["odd", "none", "text", "money"])
+    assert low == 0 and high != high and none == (None, None) and text == ("0", "9") and tuple(map(float, money)) == (0, 9)
+    spark.range(0).write.parquet(str(tmp_path / "empty"))
+    assert files.parquet_limits(spark, str(tmp_path / "empty"), ["id"]) == [(None, None)]
+
+
+def test_scaling_by_known_limits(spark):
+    df = spark.range(11).selectExpr("id", "id * 1.5D AS a", "7D AS b")
+    plain = scoring.minmax_scale(df, ("a", "b"), (0, 1))
+    known = scoring.minmax_scale(df, ("a", "b"), (0, 1), limits=[(0.0, 15.0), (7.0, 7.0)])
+    assert known.exceptAll(plain).count() == 0 and known.count() == 11
+    with pytest.raises(ValueError):
+        scoring.minmax_scale(df, ("a", "b"), (0, 1), limits=[(0.0, 15.0)])
+
+
+def landed(spark):
+    root = new_path(spark, "responses")
+    rows = [
+        (2020, "A", [["NAME", "A", "zip"], ["z \"1\", [x]", "5", "07001"], ["z", None, "7002"], ["z", "12", "10001"]]),
+        (2019, "A", [["NAME", "A", "state", "zip"], ["z", "7", "34", "7001"]]),
+        (2019, "B", [["NAME", "B", "state", "zip"]]),
+        (2018, "B", []),
+    ]
+    texts = spark.createDataFrame([(y, v, json.dumps(r)) for y, v, r in rows], "year int, variable string, value string")
+    texts.repartition(1).write.partitionBy("year", "variable").text(root)
+    return root
+
+
+def test_streamed_responses_equal_parsed_ones(spark):
+    root = landed(spark)
+    streamed = census_stream.read_response_rows(spark, root)
+    plain = census.parse_responses(census.read_responses(spark, root))
+    assert streamed.columns == plain.columns
+    key = repr
+    assert sorted(map(tuple, streamed.collect()), key=key) == sorted(map(tuple, plain.collect()), key=key)
+    assert streamed.count() == 4
+
+
+def test_filters_prune_the_responses_that_are_opened(spark):
+    root = landed(spark)
+    rows = census_stream.read_response_rows(spark, root)
+    for condition, files_read, found in (
+        ("year = 2019", 2, 1), ("year = 2019 AND variable = 'A'", 1, 1), ("year >= 2019 AND value > 6", 3, 2),
+        ("variable IN ('A', 'C')", 2, 4), ("year < 2000", 0, 0), ("2019 < year AND zipcode = '07002'", 1, 1),
+    ):
+        chosen = rows.where(condition)
+        assert chosen.rdd.getNumPartitions() == max(files_read, 1)
+        assert chosen.count() == found
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 64, 10_000])
+def test_rows_of_a_response_come_one_after_the_other(chunk):
+    rows = [["h", "v", "zip"], ["a]\"[,\\", None, "1"], ["é漢", "2", "3"]]
+    for text in (json.dumps(rows), json.dumps(rows, indent=2, ensure_ascii=False), " [] ", "[[]]"):
+        assert list(census_stream.stream_rows(io.BytesIO(text.encode()), chunk)) == json.loads(text)
+    for broken in ("", "[[1]", "[[1],]", "{}", "[1]", "[[1]] x", '[["a" "b"]]', "[[1][2]]"):
+        with pytest.raises(ValueError):
+            list(census_stream.stream_rows(io.BytesIO(broken.encode()), chunk))
+
+
+def hot_keys(spark):
+    values = (
+        "if(id % 3 = 0, 7, cast(id * id % 100003 as int)) AS k", "if(id % 50 = 0, null, id % 997) AS other",
+        "if(id % 4 = 0, 'it''s', if(id % 11 = 0, null, concat('t', id % 300, '\\\\'))) AS name",
+        "if(id % 3 = 1, date'2020-02-02', date_add(date'2000-01-01', cast(id as int))) AS day",
+        "cast(id * 0.25 as double) AS x", "timestamp'2021-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id / 3) AS at",
+        "if(id % 13 = 0, null, 5) AS same",
+    )
+    return stage(spark.range(6000).selectExpr("id", *values), "hot-keys")
+
+
+@pytest.mark.parametrize("columns", ["k", "name", "day", "x", "at", "same", "other", ["k", "other"], ["same", "k", "id"], ["name", "k"]])
+def test_every_row_is_in_one_part(spark, columns):
+    rows = hot_keys(spark)
+    # cuts from two thirds of the rows hold for all
+    parts = warehouse.partition_predicates(rows.where("id % 3 < 2"), columns, 10, text_by_bytes=True)
+    found = [rows.where(p).select("id").collect() for p in parts]
+    assert sorted(r[0] for part in found for r in part) == list(range(6000))
+    whole = warehouse.partition_predicates(rows, columns, 10, text_by_bytes=True)
+    if columns in ("x", "at", ["same", "k", "id"]):
+        assert 9 <= len(whole) <= 24 and max(rows.where(p).count() for p in whole) <= 3 * 600
+
+
+def test_a_hot_key_is_cut_by_the_next_column(spark):
+    rows = hot_keys(spark)
+    one = max(rows.where(p).count() for p in warehouse.partition_predicates(rows, "k", 10))
+    two = max(rows.where(p).count() for p in warehouse.partition_predicates(rows, ["k", "other"], 10))
+    assert one >= 2000 and two <= 1200
+
+
+def test_parts_of_odd_tables(spark):
+    rows = hot_keys(spark)
+    assert warehouse.partition_predicates(rows.limit(0), "k", 10) == ["1 = 1"] == warehouse.partition_predicates(rows, "k", 1)
+    assert warehouse.partition_predicates(rows.selectExpr("cast(null as int) AS k"), "k", 10) == ["1 = 1"]
+    for bad in (lambda: warehouse.partition_predicates(rows, "name", 4), lambda: warehouse.partition_predicates(rows, [], 4),
+                lambda: warehouse.partition_predicates(rows, "k", 0),
+                lambda: warehouse.read_warehouse(spark, "jdbc:x", predicates=["1 = 1"], query="SELECT 1")):
+        with pytest.raises(ValueError):
+            bad()
+
+
+def test_bucketed_tables_are_joined_without_an_exchange(spark):
+    left = stage_bucketed(spark.range(5000).selectExpr("id", "id % 700 AS k"), "left", ["k"], 6)
+    right = stage_bucketed(spark.range(600).selectExpr("id AS k", "id * 2 AS v"), "right", ["k"], 6)
+    joined = left.hint("merge").join(right, ["k"])
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == spark.range(5000).where("id % 700 < 600").count()
+

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from trendspark.functions import zip_text
 from trendspark.operators.features import drop_columns, drop_incomplete, zip_keys
-from trendspark.staging import stage
+from trendspark.staging import stage, stage_bucketed
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 1e-4
@@ -113,6 +113,22 @@ def join_census(merchants: DataFrame, census: DataFrame, **join_options) -> Data
     return lookup_join(with_zip, census, ["ZIPCODE"], **join_options)
 
 
+def merge_bucketed(merchants: DataFrame, totals: DataFrame, census: DataFrame, buckets: int | None = None) -> DataFrame:
+    """:func:`merge_all` for lookups too large to broadcast: every merchant row is moved once, when it is written.
+
+    Merchants are staged in buckets of city and ZIP code. Totals and census are joined to the distinct pairs of these,
+    which are far fewer, and staged in the same buckets; the join of the merchants then moves nothing.
+    """
+    keys = [*CITY_KEYS, "ZIPCODE"]
+    trimmed = merchants.withColumns({**{k: F.trim(k) for k in CITY_KEYS}, "ZIPCODE": zip_text("ZIPCODE")})
+    fact = stage_bucketed(trimmed, "merchants-by-place", keys, buckets)
+    added = drop_columns(totals, "mcc", "population")
+    by_place = fact.select(*keys).distinct().join(added, list(CITY_KEYS)).join(census.withColumnRenamed("zipcode", "ZIPCODE"), "ZIPCODE")
+    lookup = stage_bucketed(drop_incomplete(by_place), "lookup-by-place", keys, buckets)
+    joined = fact.join(lookup, keys)
+    return drop_incomplete(joined.select("ZIPCODE", *CITY_KEYS, *(c for c in joined.columns if c not in keys)))
+
+
 def merge_all(merchants: DataFrame, totals: DataFrame, census: DataFrame, **join_options) -> DataFrame:
     """Merchants with city totals and census columns; complete rows only.
 

@@ -20,7 +20,7 @@ from trendspark.staging import release, stage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-MAX_PIVOTS = 4096
+MAX_PIVOTS = 16_384
 MAX_BLOCKS = 250_000
 # relative slack of the pruning bound, far above the rounding of a double
 _SLACK = 1e-6
@@ -52,20 +52,23 @@ def nearest_neighbour(
     take up to ``broadcast_bytes`` they are sent to the test rows, which are then not
     shuffled. Beyond that, or if ``pivots`` is given:
 
-    * ``pivots`` training rows (by default the square root of their number, 4096 at
-      most) are picked by hash. A row belongs to the cell of its nearest pivot. Cells are
+    * ``pivots`` training rows (by default the square root of their number, ``MAX_PIVOTS`` at
+      most) are picked by hash. They hang below the square root of as many top pivots, each below the
+      nearest. A row goes to its nearest top pivot and there to the cell of the nearest pivot, so it
+      meets two square roots of the pivots. Cells are
       cut into blocks of about ``train_block`` rows by the distance to the pivot, so a block
       is a shell: a range of distances around a pivot.
     * A test row first meets the one block of its cell in whose range it lies. The best
       row there is a bound: by the triangle inequality another block is needed only if its
-      range meets ``[d - bound, d + bound]``, with ``d`` the distance to the pivot of the block.
+      range meets ``[d - bound, d + bound]``, with ``d`` the distance to the pivot of the block. The same
+      holds for all rows below a top pivot, so the pivots there are compared only if their top cannot be ruled out.
       Those blocks come second, and nothing else is left out: the result is exact.
     * The test rows that need a block are cut into shares of about ``test_block``, so each
       group is bounded on both sides however many rows want the same block. A group gives
       one candidate per test row, and the least candidate wins.
 
     Pairs of rows are never emitted; they exist only inside a numpy step. The driver holds
-    the pivots and two distances per block, at most ``MAX_BLOCKS`` blocks and as many more
+    the pivots, two distances per top pivot and two per block, at most ``MAX_BLOCKS`` blocks and as many more
     as there are pivots: beyond that blocks grow.
     """
     labelled = stage(train.select(F.col(train_id).alias("id"), _doubles(vector), F.col(label).alias("label")), "nn-train")
@@ -117,34 +120,33 @@ def _search_blocks(
     q: DataFrame, t: DataFrame, rows: int, pivots: int | None, train_block: int, test_block: int, found_schema: str
 ) -> DataFrame:
     id_kind, test_kind = t.schema["id"].dataType.simpleString(), q.schema["id"].dataType.simpleString()
-    centres = _pivot_matrix(t, pivots or min(math.isqrt(rows), MAX_PIVOTS))
-    placed = t.mapInPandas(_place(centres), f"id {id_kind}, v array<double>, cell int, far double")
+    tree = PivotTree(_pivot_matrix(t, pivots or min(math.isqrt(rows), MAX_PIVOTS)))
+    placed = t.mapInPandas(_place(tree), f"id {id_kind}, v array<double>, cell int, far double, top int, wide double")
     parts = max(1, -(-rows // (64 * train_block)))
     ranged = stage(placed.repartitionByRange(parts, "cell", "far").withColumn("part", F.spark_partition_id()), "nn-cells")
     place = F.row_number().over(Window.partitionBy("part", "cell").orderBy("far", "id"))
     piece = F.floor((place - 1) / train_block)
     block = F.col("part").cast("long") * (1 << 44) + F.col("cell") * (1 << 24) + piece
-    blocked = stage(ranged.select("id", "v", "cell", "far", block.alias("block")), "nn-blocks")
+    blocked = stage(ranged.select("id", "v", "cell", "far", "top", "wide", block.alias("block")), "nn-blocks")
     shells = (
         blocked.groupBy("block", "cell").agg(F.min("far"), F.max("far")).orderBy("cell", F.min("far"), "block").collect()
     )
     blocks, cells = np.array([r[0] for r in shells], np.int64), np.array([r[1] for r in shells], np.int64)
     low, high = np.array([r[2] for r in shells]), np.array([r[3] for r in shells])
+    reach = np.tile([np.inf, -np.inf], (len(tree.tops), 1))
+    for top, least, most in blocked.groupBy("top").agg(F.min("wide"), F.max("wide")).collect():
+        reach[top] = least, most
+    index = ShellIndex(tree, reach, blocks, cells, low, high)
     release(ranged)
 
-    home = stage(
-        q.mapInPandas(
-            _home_block(centres, blocks, cells, low), f"id {test_kind}, v array<double>, shell int, block long"
-        ),
-        "nn-home",
-    )
+    home = stage(q.mapInPandas(_home_block(index), f"id {test_kind}, v array<double>, shell int, block long"), "nn-home")
     found = _search(home, blocked, test_block, found_schema)
     if len(blocks) == 1:
         return found
     found = stage(found, "nn-found")
     bounds = home.join(found.select(F.col("test_id").alias("id"), F.col("distance").alias("bound")), "id")
     others = bounds.select("id", "v", "shell", "bound").mapInPandas(
-        _other_blocks(centres, blocks, cells, low, high), f"id {test_kind}, v array<double>, blocks array<bigint>"
+        _other_blocks(index), f"id {test_kind}, v array<double>, blocks array<bigint>"
     )
     wanted = stage(others, "nn-others").select("id", "v", F.explode("blocks").alias("block"))
     return _least(found.union(_search(wanted, blocked, test_block, found_schema)))
@@ -220,39 +222,101 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.stack(vectors.to_numpy()).astype(float)
 
 
-def _place(centres: np.ndarray):
-    """Add the nearest pivot as ``cell`` and the distance from it as ``far``."""
+def _distances(points: np.ndarray, others: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.concatenate([squared for _, squared in _squared(points, others)])) if len(points) else np.zeros((0, len(others)))
+
+
+class PivotTree:
+    """Pivots below the square root of as many top pivots, each below the nearest."""
+
+    def __init__(self, pivots: np.ndarray):
+        self.tops = pivots[: max(1, math.isqrt(len(pivots)))]
+        top_of = _distances(pivots, self.tops).argmin(axis=1)
+        order = np.argsort(top_of, kind="stable")
+        # the cells of a top are neighbours
+        self.centres = pivots[order]
+        numbers = np.arange(len(self.tops))
+        self.begins, self.ends = (np.searchsorted(top_of[order], numbers, side) for side in ("left", "right"))
+
+    def nearest(self, points: np.ndarray, used: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+        """Top, distance to it, cell and distance to its pivot of each point; ``used`` cells only.
+
+        The cell is the nearest below the nearest top, which need not be the nearest of all:
+        bounds by distances hold for any pivot.
+        """
+        to_tops = _distances(points, self.tops)
+        if used is not None:
+            empty = [not used[b:e].any() for b, e in zip(self.begins, self.ends, strict=True)]
+            to_tops[:, empty] = np.inf
+        top = to_tops.argmin(axis=1)
+        cell, far = np.empty(len(points), np.int64), np.empty(len(points))
+        for t in np.unique(top):
+            rows = np.flatnonzero(top == t)
+            below = np.arange(self.begins[t], self.ends[t])
+            below = below if used is None else below[used[below]]
+            distance = _distances(points[rows], self.centres[below])
+            best = distance.argmin(axis=1)
+            cell[rows], far[rows] = below[best], distance[np.arange(len(rows)), best]
+        return top, to_tops[np.arange(len(points)), top], cell, far
+
+
+class ShellIndex:
+    """The tree with the range of distances of its rows: around each top, and of each shell around its pivot."""
+
+    def __init__(
+        self, tree: PivotTree, reach: np.ndarray, blocks: np.ndarray, cells: np.ndarray, low: np.ndarray, high: np.ndarray
+    ):
+        self.tree, self.reach, self.blocks, self.cells, self.low, self.high = tree, reach, blocks, cells, low, high
+        numbers = np.arange(len(tree.centres))
+        self.firsts, self.lasts = (np.searchsorted(cells, numbers, side) for side in ("left", "right"))
+
+    def home(self, points: np.ndarray) -> np.ndarray:
+        """The shell of each point's cell in which it lies."""
+        _, _, cell, far = self.tree.nearest(points, self.firsts < self.lasts)
+        return np.array([
+            max(self.firsts[c], self.firsts[c] + np.searchsorted(self.low[self.firsts[c] : self.lasts[c]], d, "right") - 1)
+            for c, d in zip(cell, far, strict=True)
+        ], np.int64)
+
+    def others(self, points: np.ndarray, bound: np.ndarray, own: np.ndarray) -> list[np.ndarray]:
+        """The shells but the own one that may hold a row within ``bound`` of each point."""
+        tree = self.tree
+        wanted: list[list[np.ndarray]] = [[] for _ in points]
+        near = _needed(_distances(points, tree.tops), bound, np.arange(len(tree.tops)), *self.reach.T)
+        for top in np.flatnonzero(near.any(axis=0)):
+            below = slice(tree.begins[top], tree.ends[top])
+            shells = np.arange(self.firsts[below.start], self.lasts[below.stop - 1])
+            rows = np.flatnonzero(near[:, top])
+            step = max(1, _STEP_CELLS // max(1, len(shells)))
+            for part in (rows[i : i + step] for i in range(0, len(rows), step)):
+                distance = _distances(points[part], tree.centres[below])
+                found = _needed(distance, bound[part], self.cells[shells] - below.start, self.low[shells], self.high[shells])
+                for row, held in zip(part, found, strict=True):
+                    wanted[row].append(shells[held])
+        joined = [np.concatenate(found) if found else np.zeros(0, np.int64) for found in wanted]
+        return [found[found != shell] for found, shell in zip(joined, own, strict=True)]
+
+
+def _place(tree: PivotTree):
+    """Add the cell and the distance ``far`` to its pivot, and the top pivot with the distance ``wide`` to it."""
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             if len(rows):
-                cell = np.empty(len(rows), dtype=np.int32)
-                far = np.empty(len(rows))
-                for part, squared in _squared(_matrix(rows["v"]), centres):
-                    cell[part] = squared.argmin(axis=1)
-                    far[part] = np.sqrt(squared.min(axis=1))
-                yield rows.assign(cell=cell, far=far)
+                top, wide, cell, far = tree.nearest(_matrix(rows["v"]))
+                yield rows.assign(cell=cell.astype(np.int32), far=far, top=top.astype(np.int32), wide=wide)
 
     return place
 
 
-def _home_block(centres: np.ndarray, blocks: np.ndarray, cells: np.ndarray, low: np.ndarray):
+def _home_block(index: ShellIndex):
     """Add the place of the own block: of the nearest pivot's shells the one that the row lies in."""
-    firsts, lasts = np.searchsorted(cells, np.arange(len(centres))), np.searchsorted(cells, np.arange(len(centres)), "right")
 
     def home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             if len(rows):
-                shell = np.empty(len(rows), dtype=np.int32)
-                for part, squared in _squared(_matrix(rows["v"]), centres):
-                    squared[:, firsts == lasts] = np.inf
-                    own = squared.argmin(axis=1)
-                    far = np.sqrt(squared[np.arange(len(own)), own])
-                    shell[part] = [
-                        max(firsts[c], firsts[c] + np.searchsorted(low[firsts[c] : lasts[c]], d, "right") - 1)
-                        for c, d in zip(own, far, strict=True)
-                    ]
-                yield rows.assign(shell=shell, block=blocks[shell])
+                shell = index.home(_matrix(rows["v"]))
+                yield rows.assign(shell=shell.astype(np.int32), block=index.blocks[shell])
 
     return home
 
@@ -264,22 +328,15 @@ def _needed(distance: np.ndarray, bound: np.ndarray, cells: np.ndarray, low: np.
     return (low <= to_pivot + reach) & (high >= to_pivot - reach)
 
 
-def _other_blocks(centres: np.ndarray, blocks: np.ndarray, cells: np.ndarray, low: np.ndarray, high: np.ndarray):
+def _other_blocks(index: ShellIndex):
     """The blocks but the own one that may hold a row as near as ``bound``."""
 
     def other_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        step = max(1, _STEP_CELLS // len(blocks))
         for rows in batches:
             if len(rows):
                 bound, own = np.sqrt(rows["bound"].to_numpy()), rows["shell"].to_numpy()
-                vectors, wanted = _matrix(rows["v"]), []
-                for start in range(0, len(rows), step):
-                    part = slice(start, start + step)
-                    distance = np.concatenate([np.sqrt(d) for _, d in _squared(vectors[part], centres)])
-                    near = _needed(distance, bound[part], cells, low, high)
-                    near[np.arange(len(near)), own[part]] = False
-                    wanted += [blocks[row] for row in near]
-                yield rows[["id", "v"]].assign(blocks=wanted)
+                wanted = index.others(_matrix(rows["v"]), bound, own)
+                yield rows[["id", "v"]].assign(blocks=[index.blocks[shells] for shells in wanted])
 
     return other_blocks
 

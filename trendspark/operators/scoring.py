@@ -13,30 +13,39 @@ from trendspark.functions import half_even, weighted_total
 from trendspark.settings import REPORT_COLUMNS, SCORING_COLUMNS, SCORING_DIRECTIONS, SUM_WEIGHTS
 
 
-def scaled_columns(df: DataFrame, columns: Sequence[str], directions: Sequence[int]) -> list[Column]:
+def scaled_columns(
+    df: DataFrame, columns: Sequence[str], directions: Sequence[int], limits: Sequence[tuple] | None = None
+) -> list[Column]:
     """Each column scaled to 0..1 over all rows of ``df``.
 
     Direction 1 means high is good, 0 means low is good. A constant column scales to 0
     in direction 1 and to 1 in direction 0. Least and greatest values come from one
     aggregation over all columns, used as a scalar sub-query: nothing is joined and
     nothing passes through the driver. ``df`` is read twice, so pass a written table
-    if it is expensive.
+    if it is expensive. For a table as it lies in Parquet files, ``limits`` from
+    :func:`~trendspark.sources.files.parquet_limits` spare the first reading.
     """
     if len(columns) != len(directions):
         raise ValueError(f"{len(columns)} columns but {len(directions)} directions")
     for direction in directions:
         if direction not in (0, 1):
             raise ValueError(f"direction is 0 or 1, not {direction}")
+    if limits is not None and len(limits) != len(columns):
+        raise ValueError(f"{len(columns)} columns but {len(limits)} limits")
     values = [F.col(c).cast("double") for c in columns]
-    limits = df.agg(
-        F.struct(
-            *(F.min(v).alias(f"low{i}") for i, v in enumerate(values)),
-            *(F.max(v).alias(f"high{i}") for i, v in enumerate(values)),
-        )
-    ).scalar()
+    if limits is None:
+        found = df.agg(
+            F.struct(
+                *(F.min(v).alias(f"low{i}") for i, v in enumerate(values)),
+                *(F.max(v).alias(f"high{i}") for i, v in enumerate(values)),
+            )
+        ).scalar()
+        ends = [(found.getField(f"low{i}"), found.getField(f"high{i}")) for i in range(len(values))]
+    else:
+        ends = [tuple(F.lit(end).cast("double") for end in pair) for pair in limits]
 
     def scaled(i: int, value: Column, direction: int) -> Column:
-        low, high = limits.getField(f"low{i}"), limits.getField(f"high{i}")
+        low, high = ends[i]
         part = (value - low) / (high - low)
         return F.when(high == low, F.lit(0.0 if direction else 1.0)).otherwise(
             part if direction else F.lit(1.0) - part
@@ -50,9 +59,10 @@ def minmax_scale(
     columns: Sequence[str] = SCORING_COLUMNS,
     directions: Sequence[int] = SCORING_DIRECTIONS,
     suffix: str = "_SCALED",
+    limits: Sequence[tuple] | None = None,
 ) -> DataFrame:
     """Add the scaled form of every column as ``<column><suffix>``."""
-    scaled = scaled_columns(df, columns, directions)
+    scaled = scaled_columns(df, columns, directions, limits)
     return df.select("*", *(s.alias(c + suffix) for c, s in zip(columns, scaled)))
 
 

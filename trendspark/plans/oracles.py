@@ -292,6 +292,7 @@ def oracle_sql() -> dict[str, str]:
         + _typed(_sums(), "CNt").replace("REPLACE (", "REPLACE (CAST(population AS BIGINT) AS population, ", 1),
         "agg_city_totals": city + "SELECT * FROM totals",
         "census_parse": _with(_CENSUS) + "SELECT * FROM census",
+        "census_streamed": _with(_CENSUS) + "SELECT * FROM census",
         "census_enrich": _with(_MERCHANTS, _CENSUS)
         + "SELECT * FROM (SELECT DISTINCT ZIPCODE AS zipcode FROM merchants) LEFT JOIN census USING (zipcode)",
         "join_city": _with(_MERCHANTS, _FEATURES, _BANK, _TOTALS)
@@ -301,6 +302,10 @@ def oracle_sql() -> dict[str, str]:
         + "SELECT m.*, c.* EXCLUDE (zipcode) FROM merchants m JOIN census c ON m.ZIPCODE = c.zipcode",
         "merge_all": _with(_MERCHANTS, _FEATURES, _BANK, _TOTALS, _CENSUS, _merged("features"))
         + "SELECT * FROM merged",
+        "merge_buckets": _with(_MERCHANTS, _FEATURES, _BANK, _TOTALS, _CENSUS, _merged("features"))
+        + "SELECT * FROM merged",
+        "extract_parts": "SELECT l_orderkey, l_linenumber, CAST(CASE WHEN l_quantity < 21 THEN 1 ELSE trunc(l_quantity) END AS INTEGER) AS quantity,"
+        " l_partkey FROM lineitem",
         "split_join": f"{lines}, s_suppkey, s_name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey",
         "trend_ranking": _with(_MERCHANTS, _FEATURES, _RANKED)
         + "SELECT MERCHANT_ID, TREND_WEIGHTED, TREND_RANKING FROM ranked",

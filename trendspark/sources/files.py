@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # quotes inside a field are doubled, as most CSV tools write them, and blanks are kept
@@ -65,6 +70,35 @@ def write_parquet(
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
+def _statistics_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application whose Parquet reader answers min and max from file footers."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session
+
+
+def _limits(table: DataFrame, columns: Sequence[str]) -> DataFrame:
+    named = [(f"{name}{i}", f(c)) for i, c in enumerate(columns) for name, f in (("low", F.min), ("high", F.max))]
+    return table.agg(*(value.alias(name) for name, value in named))
+
+
+def parquet_limits(spark: SparkSession, path: str, columns: Sequence[str]) -> list[tuple]:
+    """Least and greatest value of each column of a Parquet table, from the statistics of its files.
+
+    Only footers are read where the types allow it (numbers, booleans and dates). Files whose footers have no
+    limits, as with NaN among the values, and columns of other types are read as usual. All files have
+    the columns of the first in the same order, as files of one job do. Nulls do not count; without
+    values both limits are None.
+    """
+    footers = _limits(_statistics_session(spark).read.parquet(path), columns)
+    try:
+        found = footers.first()
+    except (PySparkException, Py4JJavaError):  # no statistics for a column of some file
+        found = _limits(spark.read.parquet(path), columns).first()
+    return [(found[f"low{i}"], found[f"high{i}"]) for i in range(len(columns))]
+
+
 def to_pandas(df: DataFrame, max_rows: int = 100_000):
     """A small final result as a pandas table; larger ones are refused, never cut."""
     if df.limit(max_rows + 1).count() > max_rows:
