@@ -8,9 +8,11 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from trendspark.llm import chat, decontaminate, fingerprint, language_id, licenses, line_dedup, near_dedup, packing, pii, token_store
+from trendspark.llm.common import join_counted
 from trendspark.llm.components import connected_components
 from trendspark.llm.ordered import bucket_of
 from trendspark.llm.token_ids import Encoder
@@ -105,7 +107,7 @@ def test_empty_tables(spark):
     none = table(spark, [])
     assert near_dedup.near_duplicates(none).count() == 0
     assert fingerprint.compare_with_next(none).count() == 0
-    assert line_dedup.repeated_lines(none).count() == 0
+    assert line_dedup.repeated_passages(none).count() == 0
     assert pii.personal_data(none).count() == 0
     assert packing.pack_documents(none, TOKENIZER).count() == 0
     items = spark.createDataFrame([], "item_id long, text string")
@@ -201,14 +203,72 @@ def test_best_fit_takes_the_tightest_window():
     assert numbers.max() + 1 == len(room)
 
 
-def test_repeated_lines(spark):
-    same = "this line has five words"
-    rows = [(2, f"{same}\nshort one\nown line of document number two"), (1, f"first\n  THIS line\thas five words \n{same}"), (3, None), (4, ""), (5, "short one")]
-    found = sorted((r.doc_id, r.unit, r.start_char, r.end_char, r.kept_doc_id, r.kept_unit) for r in line_dedup.repeated_lines(table(spark, rows)).collect())
-    second = rows[1][1].rindex(same)
-    assert found == [(1, 2, second, second + len(same), 1, 1), (2, 0, 0, len(same), 1, 1)]
-    cut = {r.doc_id: r.text for r in line_dedup.drop_repeated_lines(table(spark, rows)).collect()}
-    assert cut == {1: "first\n  THIS line\thas five words \n", 2: "short one\nown line of document number two", 3: None, 4: "", 5: "short one"}
+def brute_passages(rows):
+    """Runs of repeated sentences, by dictionaries of normalised texts."""
+    seen, texts = {}, sorted({(i, t) for i, t in rows if i is not None and t is not None})
+    for i, t in texts:
+        for n, (_, _, normal) in enumerate(line_dedup.cut_units(t)):
+            seen.setdefault(normal, []).append((i, n))
+    found = []
+    for i, t in texts:
+        run = []
+        for n, (start, end, normal) in enumerate([*line_dedup.cut_units(t), (0, 0, None)]):
+            first = min(seen.get(normal, [(i, n)]))
+            if first != (i, n):
+                run.append((start, end, first[0]))
+            elif run:
+                found.append((i, run[0][0], run[-1][1], len(run), run[0][2]))
+                run = []
+    return sorted(found)
+
+
+def test_units_tile_their_lines():
+    draw = random.Random(1)
+    for _ in range(500):
+        text = "".join(draw.choice("ab .!?\n\té3") for _ in range(draw.randrange(60)))
+        at, lines = 0, text.split("\n")
+        for line in lines:
+            assert "".join(m[0] for m in re.finditer(line_dedup.SENTENCE, line)) == line
+        for start, end, normal in line_dedup.cut_units(text):
+            assert start >= at and line_dedup.normalise(text[start:end]) == normal and "\n" not in text[start:end]
+            at = end
+    assert [u[2] for u in line_dedup.cut_units("Version 3.5 is out. It works!  Really?\n\n ok")] == [
+        "version 3.5 is out.", "it works!", "really?", "ok"
+    ]
+
+
+def test_repeated_passages_equal_brute_force(spark):
+    same = "this line has words"
+    passage = "One sentence of a passage. Another one of it! And a third, the last of all."
+    rows = [
+        (2, f"{same}\nshort\nown line of document two"), (1, f"first\n  THIS line\thas words \n{same}"), (3, None), (4, ""), (5, "short"),
+        (6, f"Before it there was this. {passage} After it came that."), (7, f"Something else. {passage} Something new."),
+        (8, "漢字の行\n" * 3), (9, "x" * 20_000), (10, "x" * 20_000), (None, passage), (11, "... ! ?"), (11, "... ! ?"),
+        # two texts of one id, of which one repeats nothing
+        (12, f"{same} and more of it here that is new\nshort"), (12, "totally different text that repeats nothing at all"),
+        (13, ". ".join(f"s{k % 7}" for k in range(400))), *((20 + k, "everywhere the same.") for k in range(300)),
+    ]
+    found = line_dedup.repeated_passages(table(spark, rows)).collect()
+    got = sorted((r.doc_id, r.start_char, r.end_char, r.n_units, r.kept_doc_id) for r in found)
+    assert got == brute_passages(rows)
+    (run,) = [r for r in found if r.doc_id == 7]
+    assert rows[6][1][run.start_char : run.end_char].strip() == passage and (run.n_units, run.n_words) == (3, 16)
+    cut = sorted((r.doc_id or 0, r.text or "") for r in line_dedup.drop_repeated_passages(table(spark, rows)).collect())
+    assert len(cut) == len(rows)
+    by_id = dict(cut)
+    assert by_id[1] == "first\n  THIS line\thas words \n" and by_id[2] == "short\nown line of document two" and by_id[5] == ""
+    assert by_id[7] == "Something else. Something new." and by_id[8] == "漢字の行\n" and by_id[10] == ""
+    assert (12, "totally different text that repeats nothing at all") in cut
+    assert (12, f"{same} and more of it here that is new\n") in cut
+
+
+def test_large_groups_of_units_are_joined_by_broadcast(spark):
+    rows = spark.range(4000).selectExpr("id", "if(id % 2 = 0, 'hot', concat('k', id % 900)) AS key")
+    groups = rows.groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    found = join_counted(rows, groups, "key", "n")
+    assert "Union" in found._jdf.queryExecution().toString()
+    plain = rows.join(groups, "key")
+    assert found.count() == 4000 and found.exceptAll(plain).count() == 0
 
 
 def test_chat_round_trip(spark):

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BATCH_BYTES = 16 << 20
 SLICE_ROWS = 256
@@ -39,6 +40,25 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(start, rows)
 
 
+HOT_GROUPS = 200
+
+
+def join_counted(rows: DataFrame, groups: DataFrame, key: str, count: str) -> DataFrame:
+    """``rows`` joined to the one row of their group in ``groups``, which counts its rows in ``count``.
+
+    Groups of more than a two-hundredth of all grouped rows are 200 at most: their rows go to the rows by broadcast, so
+    that no task takes a large group. The others are joined by their key. Both tables are read
+    twice, so pass written ones.
+    """
+    total = groups.agg(F.sum(count)).first()[0] or 0
+    limit = total / HOT_GROUPS
+    hot = groups.where(F.col(count) > limit)
+    if hot.isEmpty():
+        return rows.join(groups, key)
+    others = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(groups.where(F.col(count) <= limit), key)
+    return rows.join(F.broadcast(hot), key).unionByName(others)
+
+
 def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 

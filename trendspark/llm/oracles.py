@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from trendspark.llm.licenses import FILE_SHARE, TEMPLATES, THRESHOLD, term_weights
-from trendspark.llm.line_dedup import MIN_WORDS
+from trendspark.llm.line_dedup import SENTENCE
 from trendspark.llm.queries import CONTROL_TEXT
 
 NEAR_DEDUP = r"""
@@ -27,24 +27,28 @@ SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, least(d.doc_id, coalesce(c.othe
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN components c ON c.doc_id = d.doc_id
 """
 
-LINES = rf"""
+PASSAGES = rf"""
 WITH lines AS (
   SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
+placed AS (SELECT doc_id, l, unnest(range(0, len(l))) AS line FROM lines),
+starts AS (
+  SELECT doc_id, CAST(coalesce(list_sum(list_transform(l[1:line], lambda x: length(x) + 1)), 0) AS BIGINT) AS begins,
+         regexp_extract_all(l[line + 1], '{SENTENCE}') AS s FROM placed),
+cut AS (SELECT doc_id, begins, s, unnest(range(0, len(s))) AS k FROM starts),
+sentences AS (
+  SELECT doc_id, begins + CAST(coalesce(list_sum(list_transform(s[1:k], lambda x: length(x))), 0) AS BIGINT) AS start_char, length(s[k + 1]) AS n,
+         lower(trim(regexp_replace(s[k + 1], '[ \t\r\f\v]+', ' ', 'g'), ' ')) AS normal FROM cut),
 units AS (
-  SELECT doc_id, unnest(range(0, len(l))) AS unit, l FROM lines),
-placed AS (
-  SELECT doc_id, unit, CAST(coalesce(list_sum(list_transform(l[1:unit], lambda x: length(x) + 1)), 0) AS BIGINT) AS start_char,
-         length(l[unit + 1]) AS n, lower(trim(regexp_replace(l[unit + 1], '[ \t\r\f\v]+', ' ', 'g'), ' ')) AS normal FROM units),
-counted AS (
-  SELECT doc_id, unit, start_char, start_char + n AS end_char, normal, len(string_split(normal, ' ')) AS n_words FROM placed
-  WHERE normal <> ''),
+  SELECT doc_id, start_char, start_char + n AS end_char, normal, len(string_split(normal, ' ')) AS n_words,
+         row_number() OVER (PARTITION BY doc_id ORDER BY start_char) AS unit FROM sentences WHERE normal <> ''),
 grouped AS (
   SELECT *, count(*) OVER (PARTITION BY normal) AS copies,
          first_value(doc_id) OVER (PARTITION BY normal ORDER BY doc_id, unit) AS kept_doc_id,
-         first_value(unit) OVER (PARTITION BY normal ORDER BY doc_id, unit) AS kept_unit
-  FROM counted WHERE n_words >= {MIN_WORDS})
-SELECT doc_id, unit, start_char, end_char, n_words, kept_doc_id, kept_unit, copies FROM grouped
-WHERE doc_id <> kept_doc_id OR unit <> kept_unit
+         first_value(unit) OVER (PARTITION BY normal ORDER BY doc_id, unit) AS kept_unit FROM units),
+gone AS (
+  SELECT *, unit - row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS run FROM grouped WHERE doc_id <> kept_doc_id OR unit <> kept_unit)
+SELECT doc_id, min(start_char) AS start_char, max(end_char) AS end_char, count(*) AS n_units, CAST(sum(n_words) AS BIGINT) AS n_words,
+       arg_min(kept_doc_id, unit) AS kept_doc_id, min(copies) AS copies FROM gone GROUP BY doc_id, run
 """
 
 CHAT = rf"""
@@ -159,7 +163,7 @@ SELECT CAST(regexp_extract(path, '[^/]*$') AS BIGINT) AS doc_id, path, license,
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_minhash_near_dedup": NEAR_DEDUP,
-        "op4_line_dedup": LINES,
+        "op4_line_dedup": PASSAGES,
         "op5_chat_prefix_targets": CHAT,
         "op9_license_scan": _licenses(),
         "op11_filter_audit": FILTER_AUDIT,

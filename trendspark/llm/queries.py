@@ -46,7 +46,7 @@ def op3_elias_fano_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.repeated_lines(table(spark, sf_dir, "documents"))
+    return line_dedup.repeated_passages(table(spark, sf_dir, "documents"))
 
 
 def op5_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:

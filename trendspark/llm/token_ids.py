@@ -5,11 +5,13 @@ characters that are not white space, and never merges across such a place. So th
 ids of a text are the ids of its pieces between these places, one after the other, and a
 piece that was seen before needs no second encoding. ``Encoder`` keeps the ids of seen
 pieces in a bounded table and asks the tokenizer for the others. ``encode_whole`` is
-the plain call; tests hold the two against each other on arbitrary texts.
+the plain call; tests hold the two against each other on arbitrary texts. A file of another
+family is recognised by its settings, and its texts are encoded whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
@@ -19,43 +21,61 @@ from itertools import chain
 import numpy as np
 import regex
 
-MAX_PIECES = 600_000
-MAX_UNITS = 800_000
+# pieces that a table remembers; a full one is kept as the older table, and its pieces that come back move on
+MAX_PIECES = 400_000
 # a piece longer than this is encoded but not remembered
 MAX_REMEMBERED = 64
-
+_MARKS = ".,;:!?"
 
 # fixed value: the unit pattern of byte-level BPE files of this family
 _UNITS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
+def _splits_at_spaces(settings: dict) -> bool:
+    """Whether the settings of a tokenizer file are those of the family whose units ``_UNITS`` gives."""
+    splitter, model = settings.get("pre_tokenizer") or {}, settings.get("model") or {}
+    plain = ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    return (
+        settings.get("normalizer") is None
+        and settings.get("post_processor") is None
+        and splitter.get("type") == "ByteLevel"
+        and splitter.get("use_regex") is True
+        and not splitter.get("add_prefix_space")
+        and model.get("type") == "BPE"
+        and not any(model.get(k) for k in plain)
+        and not any(t[k] for t in settings.get("added_tokens", ()) for k in ("single_word", "lstrip", "rstrip"))
+    )
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.line_feed = int(self.encode_whole("\n")[0])
+        self.by_pieces = _splits_at_spaces(json.loads(self.tokenizer.to_str()))
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.letters_split = any(t.strip().isalpha() for t in self.special)
-        self.units: dict[str, bytes] = {}
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.ends = np.zeros(1 << 14, np.int64)
-        self.n_pieces = 0
+        # a piece of letters is one unit with the space before it, and a mark behind it is another, unless they may hold
+        # a special token
+        self.letters_split = any(t.strip(" " + _MARKS).isalpha() or not t.strip(" " + _MARKS) for t in self.special)
+        self.marks: dict[str, bytes] = {}
+        if self.by_pieces:
+            (self.line_feed,) = self.encode_whole("\n").tolist()
+            if not self.letters_split:
+                self.marks = {m: self.encode_whole(m).tobytes() for m in _MARKS}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode_whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _learn_units(self, units: list[str]) -> None:
-        """Remember the ids of units of the byte-level split.
+    def _encode_units(self, units: list[str]) -> dict[str, bytes]:
+        """The ids of units of the byte-level split.
 
         Units with no line feed go to the tokenizer as one text with line feeds between
         them: a line feed before a unit is always a unit, and so an id, of its own.
         """
+        found: dict[str, bytes] = {}
         joined = [u for u in units if not u.isspace() and "\n" not in u]
         blocks = [joined[i : i + 128] for i in range(0, len(joined), 128)]
         texts = ["\n".join(b) for b in blocks]
@@ -65,59 +85,64 @@ class Encoder:
             if len(cuts) != len(block) - 1:
                 raise ValueError("the tokenizer does not keep line feeds apart")
             spans = map(slice, [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)])
-            self.units.update(zip(block, map(ids.tobytes().__getitem__, spans), strict=True))
+            found.update(zip(block, map(ids.tobytes().__getitem__, spans), strict=True))
         for unit in units:
-            if unit not in self.units:
-                self.units[unit] = self.encode_whole(unit).tobytes()
-
-    def _learn(self, pieces: list[str]) -> None:
-        # letters alone are one unit with the space before them
-        plain = [] if self.letters_split else [p for p in pieces if p.isalpha()]
-        mixed = [p for p in pieces if not p.isalpha()] if plain else pieces
-        words = [" " + p for p in plain]
-        # a special token's text is one id: such a piece is not split
-        full = [p[2:] if p.startswith("  ") else " " + p for p in mixed]
-        split = [[p] if any(t in p for t in self.special) else _UNITS.findall(p) for p in full]
-        if len(self.units) > MAX_UNITS:
-            self.units = {}
-        units = self.units
-        self._learn_units(list(set(chain(words, chain.from_iterable(split))).difference(units)))
-        encoded = list(map(units.__getitem__, words))
-        encoded += [b"".join(map(units.__getitem__, s)) for s in split]
-        pieces = plain + mixed
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
-        begin = int(self.ends[self.n_pieces - 1]) if self.n_pieces else 0
-        ends = begin + np.cumsum(lengths)
-        while len(self.ids) < ends[-1]:
-            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-        while len(self.ends) < self.n_pieces + len(pieces):
-            self.ends = np.concatenate((self.ends, np.zeros_like(self.ends)))
-        self.ids[begin : ends[-1]] = np.frombuffer(b"".join(encoded), np.uint32)
-        self.ends[self.n_pieces : self.n_pieces + len(pieces)] = ends
-        self.known.update(zip(pieces, range(self.n_pieces, self.n_pieces + len(pieces)), strict=True))
-        self.n_pieces += len(pieces)
+            if unit not in found:
+                found[unit] = self.encode_whole(unit).tobytes()
+        return found
+
+    def _learn(self, missing: list[str]) -> dict[str, bytes]:
+        """The ids of pieces that the table lacks. Units are remembered, as pieces of their own."""
+        known, older, marks = self.known, self.older, self.marks
+        found: dict[str, bytes] = {}
+        remembered: dict[str, bytes] = {}
+        split: dict[str, list[str]] = {}
+        for piece in missing:
+            ids = older.get(piece)
+            if ids:
+                found[piece] = remembered[piece] = ids
+                continue
+            mark = marks.get(piece[-1])
+            if mark:
+                word = piece[:-1]
+                ids = known.get(word) or older.get(word)
+                if ids and word.isalpha():
+                    found[piece] = ids + mark
+                    continue
+            full = piece[2:] if piece.startswith("  ") else " " + piece
+            # a special token's text is one id: such a piece is not split
+            if (not self.letters_split and piece.isalpha()) or any(t in full for t in self.special):
+                split[piece] = [full]
+            else:
+                split[piece] = _UNITS.findall(full)
+        # a unit is a piece without the space in front, or one that is marked as the first
+        units = {u: u[1:] if u[0] == " " and len(u) > 1 and not u[1].isspace() else "  " + u for u in chain.from_iterable(split.values())}
+        held = {}
+        for unit, piece in units.items():
+            ids = known.get(piece) or older.get(piece)
+            if ids:
+                held[unit] = ids
+        fresh = self._encode_units([u for u in units if u not in held])
+        held.update(fresh)
+        for piece, parts in split.items():
+            found[piece] = held[parts[0]] if len(parts) == 1 else b"".join([held[u] for u in parts])
+        remembered.update((units[u], ids) for u, ids in fresh.items() if len(u) <= MAX_REMEMBERED)
+        if len(known) + len(remembered) > MAX_PIECES:
+            self.older, self.known = known, {}
+        self.known.update(remembered)
+        return found
 
     def encode(self, text: str | None, end: int) -> np.ndarray:
         """The ids of the whole text and then ``end``, as unsigned 32-bit integers."""
+        if not self.by_pieces:
+            return np.append(self.encode_whole(text or ""), np.uint32(end)).astype(np.uint32)
         pieces = split_pieces(text or "")
-        if not pieces:
-            return np.array([end], np.uint32)
-        if self.n_pieces > MAX_PIECES:
-            self._forget()
-        known = self.known
-        missing = list(set(pieces).difference(known))
-        if missing:
-            self._learn(missing)
-        which = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
-        for p in missing:
-            if len(p) > MAX_REMEMBERED:  # long pieces hardly come back and would fill the table
-                del known[p]
-        stops = self.ends[which]
-        starts = np.where(which > 0, self.ends[which - 1], 0)
-        lengths = stops - starts
-        total = int(lengths.sum())
-        shift = np.repeat(starts - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths)
-        return np.append(self.ids[np.arange(total) + shift], np.uint32(end)).astype(np.uint32)
+        ids = list(map(self.known.get, pieces))
+        if None in ids:
+            found = self._learn(list({p for p, known in zip(pieces, ids, strict=True) if known is None}))
+            ids = [known or found[p] for p, known in zip(pieces, ids, strict=True)]
+        ids.append(np.uint32(end).tobytes())
+        return np.frombuffer(b"".join(ids), np.uint32)
 
 
 def shared_encoder(path: str) -> Encoder:
