@@ -203,6 +203,25 @@ def test_best_fit_takes_the_tightest_window():
     assert numbers.max() + 1 == len(room)
 
 
+def test_two_texts_of_one_id_are_two_documents(spark):
+    base, other = " ".join(words(150, 21)), " ".join(words(150, 22))
+    near = base.replace(" ", " x ", 1)
+    rows = [(1, base), (1, other), (1, base), (2, near), (3, other), (3, " ".join(words(90, 23))), (4, base), (0, " ".join(words(70, 24))), (0, near)]
+    found = near_dedup.near_duplicates(table(spark, rows)).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == sorted(
+        (i, len(near_dedup.shingle_set(t, 5)), 0 if t in (base, near) else 1 if t == other else i) for i, t in rows
+    )
+    kept = near_dedup.drop_near_duplicates(table(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(1, other), rows[5], rows[7], (0, near)])
+
+
+def test_symbols_beyond_the_basic_plane():
+    model = language_id.LanguageModel(["en"])
+    _, _, letters = language_id.symbols(["\U0001f600\U0001f601", "\U00010330\U00010331", "a\U0001f600"])
+    assert letters.tolist() == [0, 2, 1]
+    assert model is not None
+
+
 def brute_passages(rows):
     """Runs of repeated sentences, by dictionaries of normalised texts."""
     seen, texts = {}, sorted({(i, t) for i, t in rows if i is not None and t is not None})

@@ -26,16 +26,18 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendspark.llm.common import batch_of, map_arrow, mix, shingle_set, slices
+from trendspark.llm.common import batch_of, join_counted, map_arrow, mix, shingle_set, slices
 from trendspark.llm.components import connected_components
 from trendspark.staging import Scratch, stage
 
 HASHES = 256
 BATCH = 32
 CHUNK = 256
+# keys of texts that are wanted go to the texts up to this size
+BROADCAST_BYTES = 64 << 20
 _SEEDS = mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64))
 _FACTORS, _OFFSETS = _SEEDS[:HASHES] | np.uint64(1), _SEEDS[HASHES:]
 
@@ -95,17 +97,18 @@ def _signatures(column: pa.Array) -> np.ndarray:
 
 def _sketch(documents: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     out = pa.schema(
-        [("id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64())), ("signature", pa.binary())]
+        [("id", pa.int64()), ("mark", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
+         ("bands", pa.list_(pa.int64())), ("signature", pa.binary())]
     )
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = mix(np.arange(bands, dtype=np.uint64) + np.uint64(77))
         for batch in slices(batches):
             found = []
-            for key, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist(), strict=True):
+            for key, mark, text in zip(*(batch[c].to_pylist() for c in ("id", "mark", "text")), strict=True):
                 shingles = shingle_set(text, size)
                 if not len(shingles):
-                    found.append((key, 0, None, None, None))
+                    found.append((key, mark, 0, None, None, None))
                     continue
                 lowest = minhash(shingles)
                 keys = salt.copy()
@@ -113,10 +116,10 @@ def _sketch(documents: DataFrame, size: int, bands: int, rows: int) -> DataFrame
                     keys = mix(keys ^ lowest[r * bands : (r + 1) * bands])
                 digest = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
                 short = (lowest >> np.uint64(32)).astype(np.uint16).tobytes()
-                found.append((key, len(shingles), digest, keys.view(np.int64), short))
+                found.append((key, mark, len(shingles), digest, keys.view(np.int64), short))
             yield batch_of(out, list(zip(*found, strict=True)))
 
-    return map_arrow(documents, sketch, "id long, n_shingles long, digest binary, bands array<long>, signature binary")
+    return map_arrow(documents, sketch, "id long, mark long, n_shingles long, digest binary, bands array<long>, signature binary")
 
 
 def _star(pairs: DataFrame, values: DataFrame) -> DataFrame:
@@ -270,41 +273,57 @@ def _across(
     return map_arrow(rows, compare, "a long, b long")
 
 
-def near_duplicates(
-    docs: DataFrame,
-    threshold: tuple[int, int] = (80, 100),
-    shingle: int = 5,
-    miss: float = 1e-4,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
+def _text_rows(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """``id, mark, text``; the mark tells different texts of one id apart."""
+    text = F.col(text_column).cast("string")
+    return docs.select(F.col(id_column).cast("long").alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
 
-    Two documents are linked if 100 * |A and B| >= 80 * |A or B| (``threshold`` is that
-    fraction) over their distinct ``shingle``-word shingles, words being runs between
-    white space with A-Z in lower case. A text of fewer words is one shingle. Every link
-    that is used was confirmed on the full sets; a pair at the threshold is missed with
-    probability ``miss`` at most by the bands and once more by the signatures.
 
-    Null and empty texts have no shingles and link with nothing, not with each other.
-    Rows of one id are one node, and each row comes back. A row without an id is in no
-    group: its component is null and it is kept. Other columns are not looked at.
-    """
+def _only(rows: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
+    """``rows`` with a key in ``keys``, which go to the rows while they are few; else both are shuffled."""
+    few = keys.count() * 16 * len(columns) <= BROADCAST_BYTES
+    return rows.join(F.broadcast(keys) if few else keys, columns)
+
+
+def _first_pairs(judged: DataFrame) -> DataFrame:
+    """One pair for each id: with its least pivot."""
+    return judged.groupBy("id").agg(F.min("pivot").alias("pivot")).select("pivot", "id")
+
+
+def _still_apart(judged: DataFrame, components: DataFrame) -> DataFrame:
+    """The pairs whose ends are not in one component yet."""
+    left = components.select(F.col("id").alias("pivot"), F.col("component").alias("left"))
+    right = components.select("id", F.col("component").alias("right"))
+    ends = judged.join(left, "pivot", "left").join(right, "id", "left")
+    return ends.where(F.coalesce("left", "pivot") != F.coalesce("right", "id")).select("pivot", "id")
+
+
+def _components(
+    docs: DataFrame, threshold: tuple[int, int], shingle: int, miss: float, id_column: str, text_column: str
+) -> DataFrame:
+    """``id, mark, n_shingles, component`` of every row: component is the least id of the texts linked to its own."""
     spark = docs.sparkSession
     rate = threshold[0] / threshold[1]
     bands, rows = bands_for(rate, miss)
     bounds = fewest_matches(rate, miss)
-    texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
+    texts = _text_rows(docs, id_column, text_column)
     with Scratch(spark, "near-dedup") as scratch:
         sketches = scratch.stage(_sketch(texts, shingle, bands, rows), "sketches")
         sets = sketches.where("digest is not null and id is not null")
-        firsts = sets.groupBy("digest").agg(F.min("id").alias("node"))
-        membership = scratch.stage(sets.select("id", "digest").join(firsts, "digest").select("id", "node"), "membership")
-        # links between rows of equal sets need no check
-        same = membership.where("id <> node").select(F.col("node").alias("a"), F.col("id").alias("b"))
-        nodes = membership.select(F.col("node").alias("id")).distinct()
-        # a node's rows, once for each digest
-        own = sets.join(nodes, "id", "left_semi").dropDuplicates(["id", "digest"])
+        firsts = sets.groupBy("digest").agg(F.min(F.struct("id", "mark")).alias("first"), F.count("*").alias("n"))
+        # a node is a set and named by its least id; of several sets of one id all but the first get a name of their own
+        again = F.row_number().over(Window.partitionBy("first.id").orderBy("digest")) > 1
+        spare = F.lit(-(1 << 62)) - F.xxhash64("digest").bitwiseAND(F.lit((1 << 62) - 1))
+        firsts = scratch.stage(
+            firsts.withColumn("node", F.when(again, spare).otherwise(F.col("first.id"))).select(
+                "digest", "n", "node", F.col("first.id").alias("id"), F.col("first.mark").alias("mark")
+            ),
+            "firsts",
+        )
+        # one row of each set
+        named = sets.join(firsts.select("digest", "id", "mark", "node"), ["digest", "id", "mark"])
+        own = named.dropDuplicates(["digest"]).select(F.col("node").alias("id"), "bands", "signature")
+        own = scratch.stage(own, "nodes")
         entries = own.select("id", F.explode("bands").alias("key"))
         shared = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
         entries = scratch.stage(entries.join(shared, "key").distinct(), "entries")
@@ -315,43 +334,85 @@ def near_duplicates(
             entries.join(pivots, "key").where("id <> pivot").select("pivot", "id").distinct(), "pairs"
         )
         signatures = own.select("id", F.col("signature").alias("value"))
-        sharing = entries.select("id").distinct()
+        sharing = entries.select(F.col("id").alias("node")).distinct()
+        places = scratch.stage(firsts.join(sharing, "node").select("id", "mark", "node"), "places")
         node_texts = scratch.stage(
-            texts.join(sharing, "id", "left_semi").select("id", F.col("text").alias("value")), "texts"
+            _only(texts, places, ["id", "mark"]).dropDuplicates(["node"]).select(F.col("node").alias("id"), F.col("text").alias("value")),
+            "texts",
         )
         judged = scratch.stage(_judge_signatures(pairs, signatures, bounds), "judged")
-        links = scratch.stage(_verify(judged, node_texts, threshold, shingle).union(same), "links")
+        # a text is fetched for one pivot first, and for others only if that left it apart
+        links = scratch.stage(_verify(_first_pairs(judged), node_texts, threshold, shingle), "links")
         components = connected_components(links, scratch)
+        apart = scratch.stage(_still_apart(judged, components), "apart")
+        if not apart.isEmpty():
+            links = scratch.stage(links.union(_verify(apart, node_texts, threshold, shingle)), "links")
+            components = connected_components(links, scratch)
         across = scratch.stage(
             _across(entries.select("key", "id"), components, own, node_texts, bounds, threshold, shingle, scratch), "across"
         )
         if not across.isEmpty():
             components = connected_components(links.union(across), scratch)
-        found = sketches.select("id", "n_shingles").join(components, "id", "left")
-        component = F.coalesce("component", "id")
-        return stage(
-            found.select(
-                F.col("id").alias(id_column),
-                "n_shingles",
-                component.alias("component_id"),
-                F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
-            ),
-            "near-duplicates",
-        )
+        # the least id of a component's sets
+        labelled = firsts.join(components.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        least = labelled.groupBy("component").agg(F.min("id").alias("least"))
+        groups = scratch.stage(labelled.join(least, "component").select("digest", "n", F.col("least").alias("component")), "groups")
+        found = join_counted(sets.select("id", "mark", "n_shingles", "digest"), groups, "digest", "n")
+        alone = sketches.where("digest is null or id is null").withColumn("component", F.col("id"))
+        columns = ("id", "mark", "n_shingles", "component")
+        return stage(found.select(*columns).unionByName(alone.select(*columns)), "near-duplicates")
 
 
-def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame,
+    threshold: tuple[int, int] = (80, 100),
+    shingle: int = 5,
+    miss: float = 1e-4,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
+
+    Two documents are linked if 100 * |A and B| >= 80 * |A or B| (``threshold`` is that
+    fraction) over their distinct ``shingle``-word shingles, words being runs between
+    white space with A-Z in lower case. A text of fewer words is one shingle. Every link
+    that is used was confirmed on the full sets; a pair at the threshold is missed with
+    probability ``miss`` at most by the bands and once more by the signatures.
+
+    Null and empty texts have no shingles and link with nothing, not with each other.
+    Every row comes back, repeated ones too. Different texts of one id are different documents, and
+    each has the component of its own text. A row without an id is in no
+    group: its component is null and it is kept. Other columns are not looked at.
+    """
+    found = _components(docs, threshold, shingle, miss, id_column, text_column)
+    return found.select(
+        F.col("id").alias(id_column),
+        "n_shingles",
+        F.col("component").alias("component_id"),
+        F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"),
+    )
+
+
+def drop_near_duplicates(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    threshold: tuple[int, int] = (80, 100),
+    shingle: int = 5,
+    miss: float = 1e-4,
+) -> DataFrame:
     """``docs`` with one document of each group of near duplicates: the one of smallest id.
 
-    All columns stay. Of repeated rows of the id that stays, one stays; rows without an
-    id stay.
+    All columns stay. Of repeated rows of one id and text one stays; of different texts of the id that stays those
+    that are linked stay once each, as they cannot be told which is the first. Rows without an id stay.
     """
-    kept = near_duplicates(docs, id_column=id_column, text_column=text_column, **options)
-    ids = kept.where("not kept").select(F.col(id_column)).distinct()
-    named = docs.where(F.col(id_column).isNotNull())
+    found = _components(docs, threshold, shingle, miss, id_column, text_column)
+    gone = found.where("id <> component").select(F.col("id").alias("_gone_id"), F.col("mark").alias("_gone_mark")).distinct()
+    named = docs.where(F.col(id_column).isNotNull()).withColumn("_mark", F.xxhash64(F.col(text_column).cast("string")))
+    same = (F.col(id_column).cast("long") == F.col("_gone_id")) & (F.col("_mark") == F.col("_gone_mark"))
     return (
-        named.join(ids, id_column, "left_anti")
-        .dropDuplicates([id_column])
+        named.join(gone, same, "left_anti")
+        .dropDuplicates([id_column, "_mark"])
         .select(*docs.columns)
         .union(docs.where(F.col(id_column).isNull()))
     )
