@@ -31,7 +31,7 @@ try:  # the one guard for a library without these operators
     from trendspark.llm import oracles as llm_oracles
     from trendspark.llm import queries as llm_queries
 except ModuleNotFoundError as missing:
-    if not (missing.name or "").startswith(("trendspark.llm", "corpus_pipeline")):
+    if not (missing.name or "").startswith(("trendspark.llm", "corpus_pipeline", "public_tokenizers")):
         raise
     llm_queries = llm_oracles = corpus_pipeline = None
 
