@@ -22,7 +22,7 @@ import numpy as np
 import regex
 
 # pieces that a table remembers; a full one is kept as the older table, and its pieces that come back move on
-MAX_PIECES = 400_000
+MAX_PIECES = 500_000
 # a piece longer than this is encoded but not remembered
 MAX_REMEMBERED = 64
 _MARKS = ".,;:!?"
@@ -54,14 +54,15 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.by_pieces = _splits_at_spaces(json.loads(self.tokenizer.to_str()))
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special))).search if special else None
         # a piece of letters is one unit with the space before it, and a mark behind it is another, unless they may hold
         # a special token
-        self.letters_split = any(t.strip(" " + _MARKS).isalpha() or not t.strip(" " + _MARKS) for t in self.special)
+        letters_split = any(t.strip(" " + _MARKS).isalpha() or not t.strip(" " + _MARKS) for t in special)
         self.marks: dict[str, bytes] = {}
         if self.by_pieces:
             (self.line_feed,) = self.encode_whole("\n").tolist()
-            if not self.letters_split:
+            if not letters_split:
                 self.marks = {m: self.encode_whole(m).tobytes() for m in _MARKS}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -93,15 +94,19 @@ class Encoder:
 
     def _learn(self, missing: list[str]) -> dict[str, bytes]:
         """The ids of pieces that the table lacks. Units are remembered, as pieces of their own."""
-        known, older, marks = self.known, self.older, self.marks
+        known, older, marks, special = self.known, self.older, self.marks, self.special
         found: dict[str, bytes] = {}
         remembered: dict[str, bytes] = {}
         split: dict[str, list[str]] = {}
+        plain: list[str] = []
         for piece in missing:
             ids = older.get(piece)
             if ids:
                 found[piece] = remembered[piece] = ids
                 continue
+            if piece.isalpha() and marks:
+                plain.append(piece)
+                continue
             mark = marks.get(piece[-1])
             if mark:
                 word = piece[:-1]
@@ -109,21 +114,23 @@ class Encoder:
                 if ids and word.isalpha():
                     found[piece] = ids + mark
                     continue
-            full = piece[2:] if piece.startswith("  ") else " " + piece
+            full = piece[2:] if piece[:2] == "  " else " " + piece
             # a special token's text is one id: such a piece is not split
-            if (not self.letters_split and piece.isalpha()) or any(t in full for t in self.special):
-                split[piece] = [full]
-            else:
-                split[piece] = _UNITS.findall(full)
+            split[piece] = [full] if special and special(full) else _UNITS.findall(full)
         # a unit is a piece without the space in front, or one that is marked as the first
-        units = {u: u[1:] if u[0] == " " and len(u) > 1 and not u[1].isspace() else "  " + u for u in chain.from_iterable(split.values())}
+        units = {" " + p: p for p in plain}
         held = {}
-        for unit, piece in units.items():
+        for unit in set(chain.from_iterable(split.values())).difference(units):
+            piece = unit[1:] if unit[0] == " " and len(unit) > 1 and not unit[1].isspace() else "  " + unit
             ids = known.get(piece) or older.get(piece)
             if ids:
                 held[unit] = ids
-        fresh = self._encode_units([u for u in units if u not in held])
+            else:
+                units[unit] = piece
+        fresh = self._encode_units(list(units))
         held.update(fresh)
+        for piece in plain:
+            found[piece] = fresh[" " + piece]
         for piece, parts in split.items():
             found[piece] = held[parts[0]] if len(parts) == 1 else b"".join([held[u] for u in parts])
         remembered.update((units[u], ids) for u, ids in fresh.items() if len(u) <= MAX_REMEMBERED)
@@ -138,9 +145,11 @@ class Encoder:
             return np.append(self.encode_whole(text or ""), np.uint32(end)).astype(np.uint32)
         pieces = split_pieces(text or "")
         ids = list(map(self.known.get, pieces))
-        if None in ids:
-            found = self._learn(list({p for p, known in zip(pieces, ids, strict=True) if known is None}))
-            ids = [known or found[p] for p, known in zip(pieces, ids, strict=True)]
+        missing = [i for i, known in enumerate(ids) if known is None]
+        if missing:
+            found = self._learn(list({pieces[i] for i in missing}))
+            for i in missing:
+                ids[i] = found[pieces[i]]
         ids.append(np.uint32(end).tobytes())
         return np.frombuffer(b"".join(ids), np.uint32)
 
