@@ -11,6 +11,7 @@ threshold: a line without any anchor cannot reach the threshold, so nothing is l
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections import Counter
@@ -18,6 +19,7 @@ from collections import Counter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trendspark.llm.common import join_counted
 from trendspark.staging import Scratch, stage
 
 THRESHOLD = 0.7
@@ -73,29 +75,60 @@ def anchor_terms(vectors: list[dict[str, float]], threshold: float) -> list[str]
     return sorted(anchors)
 
 
-def _cosines(units: DataFrame, templates: tuple[tuple[str, str], ...]) -> DataFrame:
-    """The best template of each unit: ``path, unit, license, cosine`` from ``path, unit, text``."""
-    spark = units.sparkSession
+def _with_best_template(lines: DataFrame, templates: tuple[tuple[str, str], ...]) -> DataFrame:
+    """Add ``license`` and ``cosine`` of the best template to each row of ``lines``, by its ``line``.
+
+    All arithmetic is in the row: terms are counted, weighted and compared by array functions, so no term leaves its row.
+    """
     idf, other, vectors = term_weights(templates)
-    weights = spark.createDataFrame([(t, w) for t, w in sorted(idf.items())], "term string, idf double")
-    entries = spark.createDataFrame(
-        [(i, t, w) for i, v in enumerate(vectors) for t, w in sorted(v.items())], "template int, term string, weight double"
+    entries = [
+        {"rank": -i, "terms": [{"term": t, "weight": w} for t, w in sorted(v.items())]} for i, v in enumerate(vectors)
+    ]
+    shapes = "array<struct<rank:int,terms:array<struct<term:string,weight:double>>>>"
+    known = F.from_json(F.lit(json.dumps(entries)), shapes)
+    weights = F.from_json(F.lit(json.dumps(idf)), "map<string,double>")
+    vocabulary = F.split(F.lit(" ".join(sorted(idf))), " ")
+    terms = F.col("_terms")
+
+    # the sum of squared counts, as 1 + 3 + 5 and so on along each run of the sorted terms
+    start = F.struct(F.lit("").alias("term"), F.lit(0).cast("long").alias("run"), F.lit(0).cast("long").alias("total"))
+
+    def count(state, term):
+        run = F.when(state["term"] == term, state["run"] + 1).otherwise(F.lit(1).cast("long"))
+        return F.struct(term.alias("term"), run.alias("run"), (state["total"] + 2 * run - 1).alias("total"))
+
+    squares = F.when(F.size(F.array_distinct(terms)) == F.size(terms), F.size(terms).cast("long")).otherwise(
+        F.aggregate(F.sort_array(terms), start, count, lambda state: state["total"])
     )
-    terms = (
-        units.select("path", "unit", F.explode(F.split(F.lower("text"), "[^a-z0-9]+")).alias("term"))
-        .where("term <> ''")
-        .groupBy("path", "unit", "term")
-        .agg(F.count("*").alias("tf"))
-        # the templates are a fixed table of some hundred terms
-        .join(F.broadcast(weights), "term", "left")
-        .withColumn("value", F.col("tf") * F.coalesce("idf", F.lit(other)))
+    counted = F.transform(
+        F.array_intersect(terms, vocabulary),
+        lambda t: F.struct(
+            t.alias("term"),
+            F.size(F.filter(terms, lambda x: x == t)).cast("long").alias("n"),
+            F.try_element_at(weights, t).alias("idf"),
+        ),
     )
-    norms = terms.groupBy("path", "unit").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"))
-    dots = terms.join(F.broadcast(entries), "term").groupBy("path", "unit", "template").agg(F.sum(F.col("value") * F.col("weight")).alias("dot"))
-    cosine = F.round(F.col("dot") / F.col("norm"), 6)
-    best = dots.join(norms, ["path", "unit"]).groupBy("path", "unit").agg(F.max(F.struct(cosine.alias("cosine"), (-F.col("template")).alias("rank"))).alias("best"))
+    zero = F.lit(0.0)
+    inside = F.aggregate("_counted", zero, lambda total, c: total + (c["n"] * c["idf"]) * (c["n"] * c["idf"]))
+    rest = F.col("_squares") - F.aggregate("_counted", F.lit(0).cast("long"), lambda total, c: total + c["n"] * c["n"])
+    values = F.map_from_entries(F.transform("_counted", lambda c: F.struct(c["term"], c["n"] * c["idf"])))
+
+    def cosine(template):
+        def add(total, entry):
+            return total + F.coalesce(F.try_element_at(F.col("_values"), entry["term"]), zero) * entry["weight"]
+
+        dot = F.aggregate(template["terms"], zero, add)
+        return F.struct(F.round(dot / F.col("_norm"), 6).alias("cosine"), template["rank"].alias("rank"))
+
     names = F.array(*(F.lit(name) for name, _ in templates))
-    return best.select("path", "unit", F.element_at(names, 1 - F.col("best.rank")).alias("license"), F.col("best.cosine").alias("cosine"))
+    return (
+        lines.withColumn("_terms", F.filter(F.split(F.lower("line"), "[^a-z0-9]+"), lambda t: t != ""))
+        .withColumns({"_squares": squares, "_counted": counted})
+        .withColumns({"_norm": F.sqrt(inside + other * other * rest), "_values": values})
+        .withColumn("_best", F.array_max(F.transform(known, cosine)))
+        .withColumns({"license": F.element_at(names, 1 - F.col("_best.rank")), "cosine": F.col("_best.cosine")})
+        .drop("_terms", "_squares", "_counted", "_norm", "_values", "_best")
+    )
 
 
 def scan_licenses(
@@ -122,10 +155,10 @@ def scan_licenses(
         lines = texts.select("path", "text", F.posexplode(F.split("text", "\n")).alias("unit", "line")).where(F.lower("line").rlike(anchors))
         words = F.size(F.filter(F.split(F.lower("line"), "[^\\p{L}\\p{N}]+"), lambda w: w != ""))
         whole = F.size(F.filter(F.split("text", "[^\\p{L}\\p{N}]+"), lambda w: w != ""))
-        lines = scratch.stage(lines.select("path", "unit", F.col("line").alias("text"), words.alias("words"), whole.alias("whole")), "lines")
-        units = lines.dropDuplicates(["path", "unit", "text"]).select("path", F.xxhash64("unit", "text").alias("unit"), "text")
-        sizes = lines.select("path", F.xxhash64("unit", "text").alias("unit"), F.col("unit").alias("line"), "words", "whole").distinct()
-        notices = _cosines(units, templates).where(F.col("cosine") >= threshold).join(sizes, ["path", "unit"])
+        notices = _with_best_template(lines, templates).where(F.col("cosine") >= threshold)
+        notices = notices.select(
+            "path", F.col("unit").alias("line"), "license", "cosine", words.alias("words"), whole.alias("whole"), F.xxhash64("line").alias("mark")
+        ).distinct()
         own = scratch.stage(
             notices.groupBy("path").agg(
                 F.max(F.struct("cosine", (-F.col("line")).alias("line"), "license")).alias("best"),
@@ -142,7 +175,7 @@ def scan_licenses(
             .select("directory", F.col("first.path").alias("from_path"), F.col("first.license").alias("given"), F.col("top").alias("given_cosine"))
         )
         paths = texts.select("path").distinct().join(own, "path", "left")
-        rest = paths.where("license is null").select("path", parent.alias("directory"))
+        rest = scratch.stage(paths.where("license is null").select("path", parent.alias("directory")), "rest")
         # each directory above, from the nearest: looked up by directory, not by file
         parts = F.split("directory", "/")
         above = (
@@ -154,7 +187,8 @@ def scan_licenses(
             .groupBy("directory")
             .agg(F.min(F.struct("levels", "from_path", "given", "given_cosine")).alias("near"))
         )
-        inherited = rest.join(nearest, "directory", "left").select(
+        directories = rest.groupBy("directory").agg(F.count("*").alias("n")).join(nearest, "directory", "left")
+        inherited = join_counted(rest, scratch.stage(directories, "directories"), "directory", "n").select(
             "path",
             F.col("near.given").alias("license"),
             F.when(F.col("near").isNull(), "none").otherwise("inherited").alias("origin"),
