@@ -155,10 +155,10 @@ def scan_licenses(
         lines = texts.select("path", "text", F.posexplode(F.split("text", "\n")).alias("unit", "line")).where(F.lower("line").rlike(anchors))
         words = F.size(F.filter(F.split(F.lower("line"), "[^\\p{L}\\p{N}]+"), lambda w: w != ""))
         whole = F.size(F.filter(F.split("text", "[^\\p{L}\\p{N}]+"), lambda w: w != ""))
-        notices = _with_best_template(lines, templates).where(F.col("cosine") >= threshold)
-        notices = notices.select(
-            "path", F.col("unit").alias("line"), "license", "cosine", words.alias("words"), whole.alias("whole"), F.xxhash64("line").alias("mark")
-        ).distinct()
+        compared = _with_best_template(lines.withColumns({"words": words, "whole": whole, "mark": F.xxhash64("line")}), templates)
+        # written without texts: a filter on the cosine would be computed anew for each use of it
+        compared = scratch.stage(compared.select("path", F.col("unit").alias("line"), "license", "cosine", "words", "whole", "mark"), "compared")
+        notices = compared.where(F.col("cosine") >= threshold).distinct()
         own = scratch.stage(
             notices.groupBy("path").agg(
                 F.max(F.struct("cosine", (-F.col("line")).alias("line"), "license")).alias("best"),
