@@ -94,10 +94,10 @@ def cut_pieces(
             encoder = encoder or shared_encoder(tokenizer)
             found = []
             for doc, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                ids = encoder.encode(text, end_id).astype("<u4")
+                ids = encoder.encode(text, end_id).astype("<u4", copy=False)
                 for start in range(0, len(ids), window):
                     piece = ids[start : start + window]
-                    found.append((doc, start, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
+                    found.append((doc, start, len(piece), zlib.crc32(piece), len(ids)))
             yield batch_of(out, list(zip(*found, strict=True)))
 
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))

@@ -22,7 +22,7 @@ import numpy as np
 import regex
 
 # pieces that a table remembers; a full one is kept as the older table, and its pieces that come back move on
-MAX_PIECES = 500_000
+MAX_PIECES = 700_000
 # a piece longer than this is encoded but not remembered
 MAX_REMEMBERED = 64
 _MARKS = ".,;:!?"
