@@ -6,11 +6,14 @@ agree to the last bit.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from trendspark.settings import (
     CENSUS_VARIABLES,
     CENSUS_YEARS,
     COUNT_COLUMNS,
     COUNT_TREND_WEIGHTS,
+    IMPORTANCE_TARGET,
     REPORT_COLUMNS,
     SALES_COLUMNS,
     SALES_TREND_WEIGHTS,
@@ -221,10 +224,24 @@ _LATE = "late AS (SELECT *, CASE WHEN l_linenumber > 3 THEN 'late' ELSE 'early'
 _TEXTS = ("MERCHANT_NAME", "MCC", "BILLING_STATE", "CITY", "ZIPCODE")
 
 
-def _slots(source: str, numbers: int) -> str:
-    # one slot for each numeric column and for each value of a text column
-    texts = " + ".join(f"count(DISTINCT {c})" for c in _TEXTS)
-    return f"SELECT {numbers} + {texts} AS slots, CAST(0 AS BIGINT) AS negative, true AS adds_to_one FROM {source}"
+_FEATURE_NUMBERS = (
+    "MERCHANT_ID", "POPULATION", *(c for c in SALES_COLUMNS if c != IMPORTANCE_TARGET), *COUNT_COLUMNS, "AVG_SALES", "AVG_SALES_CNT",
+    *SCORING_COLUMNS,
+)
+_MERGED_NUMBERS = (
+    *_FEATURE_NUMBERS, "SALES_TREND_WEIGHTED", "SALE_CNT_TREND_WEIGHTED", "TREND_WEIGHTED", "TREND_RANKING",
+    *(f"Total{y}" for y in _LATEST_FIRST), *(f"CNT{y}" for y in _LATEST_FIRST), *(c for _, _, c in _CENSUS_COLUMNS),
+)
+
+
+def _slots(source: str, numbers: Sequence[str], texts: Sequence[str]) -> str:
+    """A slot for each numeric column and then for each value of a text column, the most frequent first."""
+    named = ", ".join(f"({i}, '{c}')" for i, c in enumerate(numbers))
+    counted = " UNION ALL ".join(
+        f"SELECT {i} AS place, 'OHE_{c}_' || {c} AS name, {c} AS value, count(*) AS n FROM {source} GROUP BY {c}" for i, c in enumerate(texts)
+    )
+    return f"""SELECT idx, name, true AS is_share FROM (VALUES {named}) AS numbers(idx, name) UNION ALL
+               SELECT CAST({len(numbers)} + row_number() OVER (ORDER BY place, n DESC, value) - 1 AS INTEGER), name, true FROM ({counted})"""
 
 
 def _with(*tables: str) -> str:
@@ -356,8 +373,9 @@ def oracle_sql() -> dict[str, str]:
         "rf_saved_model": exact,
         "rf_exact_importance": """SELECT * FROM (VALUES (0, 'number', 1e0), (1, 'same', 0e0), (2, 'OHE_text_x', 0e0))
                                   AS slots(idx, name, score)""",
-        "feature_importance": features + _slots("features", 17),
+        "feature_importance": features + _slots("features", _FEATURE_NUMBERS, _TEXTS),
         "merchant_importance": job + _slots(
-            f"(SELECT * FROM merged ORDER BY {_HASH.format(key='MERCHANT_ID')}, MERCHANT_ID LIMIT 5000)", 35
+            f"(SELECT * FROM merged ORDER BY {_HASH.format(key='MERCHANT_ID')}, MERCHANT_ID LIMIT 5000)",
+            _MERGED_NUMBERS, ("ZIPCODE", "BILLING_STATE", "CITY", "MERCHANT_NAME", "MCC"),
         ),
     }
