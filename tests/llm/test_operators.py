@@ -377,6 +377,65 @@ def test_contaminated_documents(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [900, 901, 902]
 
 
+def _edited(draw, text, share, kinds):
+    """``text`` with a share of its characters (of its words for ``w``) substituted, inserted or deleted."""
+    parts = text.split() if kinds == "w" else list(text)
+    for i in draw.sample(range(len(parts)), int(share * len(parts))):
+        kind, new = draw.choice(kinds), "".join(draw.choice("abcdefghij") for _ in range(5 if kinds == "w" else 1))
+        parts[i] = {"s": new, "w": new, "i": parts[i] + new, "d": ""}[kind]
+    return (" " if kinds == "w" else "").join(parts)
+
+
+@pytest.mark.parametrize("n_words", [6, 14, 40])
+@pytest.mark.parametrize(("kinds", "share"), [("s", 0.05), ("s", 0.1), ("s", 0.18), ("sid", 0.1), ("sid", 0.18), ("w", 0.1)])
+def test_search_reaches_its_target_recall(n_words, kinds, share):
+    draw = random.Random(n_words)
+    items = [(k, " ".join(words(n_words, 50 + k, 3000))) for k in range(60)]
+    index = decontaminate.ItemIndex(items)
+    found = there = 0
+    for k, text in items:
+        lead, rest = " ".join(words(30, 700 + k, 3000)), " ".join(words(30, 800 + k, 3000))
+        whole = f"{lead} {_edited(draw, text, share, kinds)} {rest}"
+        item = decontaminate.normal_codes(text)
+        # brute force: the least edit distance to any part of the text
+        if decontaminate.least_edits(item, decontaminate.normal_codes(whole)) <= int(0.2 * len(item)):
+            there += 1
+            found += any(hit[1] == k for hit in decontaminate.hits([whole], index, 0.2))
+    assert there > 20 and found >= 0.9 * there
+
+
+def test_piece_edits_equal_dynamic_programming():
+    draw = np.random.default_rng(5)
+    held = draw.integers(0, 4, 400).astype(np.uint8)
+    pieces = [draw.integers(0, 4, n).astype(np.uint8) for n in (1, 5, 33, 63, 64)]
+    begins, columns = np.array([0, 7, 100, 250, 399]), np.array([90, 90, 90, 90, 90])
+    found = decontaminate.piece_edits(held, pieces, begins, columns)
+    for piece, begin, edits in zip(pieces[:4], begins[:4], found[:4], strict=True):
+        assert edits == decontaminate.least_edits(piece, held[begin : begin + 90])
+
+
+def test_short_unspaced_and_repetitive_items(spark):
+    chinese = "".join(chr(0x4E00 + (k * 7919) % 5000) for k in range(60))
+    items = [(1, "Tiny item"), (2, chinese), (3, "echo " * 40), (4, chr(0x4E01) * 3), (5, "..."), (6, ""), (None, "no id at all but words enough to be found")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = [
+        (1, "Such a TINY, item stands here", "x"),
+        (2, "tiny items and untiny item do not", "x"),
+        (3, "前" * 30 + chinese[:20] + "变" + chinese[21:] + "后" * 30, "x"),
+        (4, "echo " * 20000, "x"),
+        (None, "tiny item", "x"),
+        (5, "a tiny item", "x"), (5, "a tiny item", "x"),
+        (6, "中" + chr(0x4E01) * 3 + "中", "x"),
+        (7, None, None), (8, "", ""), (9, "no id at all but words enough to be found", ""),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, item_id string")
+    found = [(r.doc_id, r.item_id, r.edits) for r in decontaminate.contaminated(docs, benchmark).collect()]
+    expected = [(1, 1, 0), (3, 2, 1), (4, 3, 0), (None, 1, 0), (5, 1, 0), (5, 1, 0), (6, 4, 0)]
+    assert sorted(found, key=str) == sorted(expected, key=str)
+    kept = decontaminate.drop_contaminated(docs, benchmark)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect() if r.doc_id) == [2, 7, 8, 9]
+
+
 def test_kneser_ney_probabilities_sum_to_one():
     texts = ["the cat sat on the mat and the dog ran", "a cat and a dog"]
     folded, _, _ = language_id.symbols(texts)
