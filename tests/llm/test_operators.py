@@ -401,7 +401,7 @@ def test_search_reaches_its_target_recall(n_words, kinds, share):
         if decontaminate.least_edits(item, decontaminate.normal_codes(whole)) <= int(0.2 * len(item)):
             there += 1
             found += any(hit[1] == k for hit in decontaminate.hits([whole], index, 0.2))
-    assert there > 20 and found >= 0.9 * there
+    assert there > 20 and found >= (0.9 if share < 0.15 else decontaminate.TARGET_RECALL) * there
 
 
 def test_piece_edits_equal_dynamic_programming():
