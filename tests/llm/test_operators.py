@@ -329,6 +329,14 @@ def test_plain_personal_data_equals_brute_force():
         ("+one two three four five six seven eight nine zero", "phone", "+one two three four five six seven eight nine zero"),
         ("four one one one one one one one one one one one one one one one", "card", None),
         ("１９２.168.1.1 is it", "ip", "１９２.168.1.1"),
+        ("ask john [at] example dot com now", "email", "john [at] example dot com"),
+        ("ask john at example [dot] com now", "email", "john at example [dot] com"),
+        ("john@example dot com", "email", "john@example dot com"),
+        ("jane dot doe (at) example.com", "email", "jane dot doe (at) example.com"),
+        ("jаne at mail (dot) example dot org", "email", "jаne at mail (dot) example dot org"),
+        ("host 192 dot 168 dot 1 dot 1 is up", "ip", "192 dot 168 dot 1 dot 1"),
+        ("one nine two dot one six eight dot one dot one", "ip", None),
+        ("10[.]0 dot zero (dot) 1", "ip", None),
     ],
 )
 def test_disguised_personal_data(text, kind, hidden):
@@ -337,6 +345,24 @@ def test_disguised_personal_data(text, kind, hidden):
     assert (hidden or text) not in pii.mask(text)
 
 
+def test_mixed_disguises_need_a_disguise():
+    for text in ("meet john at example.com today", "look at the dot com", "a polka dot at the dot com crash", "stay at home dot"):
+        assert pii.find_spans(text) == ([], [])
+    text = "a@b.org dot by dot"
+    assert [(k, text[a:b]) for k, a, b in pii.find_spans(text)[1]] == [("email", "a@b.org")]
+
+
+def test_long_texts_null_ids_and_repeated_rows_of_personal_data(spark):
+    lead = "plain words and more of them. " * 100_000
+    text = f"{lead}john [at] example dot com"
+    rows = [(None, text, "x"), (1, text, "x"), (1, text, "x"), (2, "", None), (3, None, None)]
+    found = pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string, spans string")).collect()
+    expected = f"email:{len(lead)}:{len(text)}"
+    assert sorted((str(r.doc_id), r.n_email, r.spans) for r in found) == sorted(
+        [("None", 1, expected), ("1", 1, expected), ("1", 1, expected), ("2", 0, ""), ("3", 0, "")]
+    )
+
+
 def test_prose_is_left_alone(spark):
     for text in ("look at example.com", "I am at home (at) noon", "one two three go", "", None, "meet at the dot com"):
         assert pii.find_spans(text) == ([], [])

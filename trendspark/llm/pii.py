@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -59,9 +60,15 @@ _SPELLED = re.compile(rf"(?<!\w)(?:{_WORDS})(?:[ -](?:{_WORDS}|[0-9])(?!\w)){{3,
 _SPELLED_UNIT = re.compile(rf"{_WORDS}|[0-9]", re.IGNORECASE)
 _BRACKETED_AT = re.compile(r" ?[\[({<] ?(?:at|arroba|arobase|@) ?[\])}>] ?", re.IGNORECASE)
 _BRACKETED_DOT = re.compile(r" ?[\[({<] ?(?:dot|punkt|point|punto|\.) ?[\])}>] ?", re.IGNORECASE)
-# with no brackets both have to be spelled: "name at host dot org", but not "at the dot"
-_BARE = re.compile(
-    r"(?<![\w.%+-])[A-Za-z0-9_%+-]+(?:(?: dot |\.)[A-Za-z0-9_%+-]+)*( at )(?!(?:the|a|an|my|our|your|this|that) )[A-Za-z0-9-]+(?:(?: dot |\.)[A-Za-z0-9-]+)*( dot )[A-Za-z]{2,}",
+# four numbers with a dot of any form between, each in digits or spelled
+_OCTET = rf"(?:[0-9]{{1,3}}|(?:{_WORDS})(?:[ -](?:{_WORDS})){{0,2}})"
+_DOT = r"(?: dot | ?[\[({<] ?(?:dot|punkt|point|punto|\.) ?[\])}>] ?|\.)"
+_OCTETS = re.compile(rf"(?<![\w.]){_OCTET}(?:{_DOT}{_OCTET}){{3}}(?!\w)", re.IGNORECASE)
+_OCTET_UNIT = re.compile(rf"{_WORDS}|[0-9]|{_DOT}", re.IGNORECASE)
+# an address with its "at" and dots as signs, which may come from brackets, or bare words in any mixture
+_MIXED = re.compile(
+    r"(?<![\w.%+-])[A-Za-z0-9_%+-]+(?:(?: dot |\.)[A-Za-z0-9_%+-]+){0,20}( at (?!(?:the|a|an|my|our|your|this|that) )|@)"
+    r"([A-Za-z0-9-]+(?:(?: dot |\.)[A-Za-z0-9-]+){0,20}(?: dot |\.)[A-Za-z]{2,})(?![\w-])",
     re.IGNORECASE,
 )
 _BARE_DOT = re.compile(r" dot ", re.IGNORECASE)
@@ -128,15 +135,16 @@ class Rewriting:
 
     def __init__(self, text: str):
         self.text = text
-        self.starts: list[int] | range = range(len(text))
-        self.ends: list[int] | range = range(1, len(text) + 1)
+        # four bytes a character
+        self.starts = array("i", range(len(text)))
+        self.ends = array("i", range(1, len(text) + 1))
         self.touched: list[tuple[int, int]] = []
 
     def replace(self, edits: list[tuple[int, int, str]]) -> None:
         """Apply ``start, end, new text`` in order; a new character stands for the whole replaced span."""
         if not edits:
             return
-        text, starts, ends, at = [], [], [], 0
+        text, starts, ends, at = [], array("i"), array("i"), 0
         for a, b, new in edits:
             text.append(self.text[at:a])
             starts.extend(self.starts[at:a])
@@ -154,6 +162,36 @@ class Rewriting:
     def source(self, start: int, end: int) -> tuple[int, int]:
         return self.starts[start], self.ends[end - 1]
 
+    def literal(self, at: int) -> bool:
+        """Whether a character stands for one character of the source."""
+        return self.ends[at] - self.starts[at] == 1
+
+
+def _mixed_edits(out: Rewriting) -> list[tuple[int, int, str]]:
+    """The edits that turn bare words of addresses into signs.
+
+    A bare ``at`` needs a dot in disguise behind it: "seen at example.org" is prose. Behind a sign ``@`` bare dots
+    count where the domain has no plain dot, which would end it: "a@b.org dot by dot".
+    """
+    edits: list[tuple[int, int, str]] = []
+    for m in _MIXED.finditer(out.text):
+        plain = [i for i in range(*m.span(2)) if out.text[i] == "." and out.literal(i)]
+        signs = [i for i in range(*m.span(2)) if out.text[i] == "." and not out.literal(i)]
+        dots = [(*d.span(), ".") for d in _BARE_DOT.finditer(out.text, m.start(), m.end())]
+        behind = any(a >= m.start(2) for a, _, _ in dots)
+        if m[1] == "@":
+            if behind and not plain or dots and not behind and not out.literal(m.start(1)):
+                edits.extend(dots)
+        elif behind or signs:
+            edits.extend(sorted([*dots, (*m.span(1), "@")]))
+    return edits
+
+
+def _octets(text: str) -> str:
+    """Digits and points of a dotted number in any form."""
+    units = (u.lower() for u in _OCTET_UNIT.findall(text))
+    return "".join(u if u.isdigit() else _DIGIT_WORDS.get(u, ".") for u in units)
+
 
 def rewrite(text: str) -> Rewriting | None:
     """The text with its disguises undone, or nothing if it has none."""
@@ -166,16 +204,13 @@ def rewrite(text: str) -> Rewriting | None:
     out = Rewriting(text)
     if looks:
         out.replace([(i, i + 1, _LOOK_ALIKE.get(c, "")) for i, c in enumerate(text) if c in _LOOK_ALIKE or c in _INVISIBLE])
+    out.replace([(*m.span(), new) for m in _OCTETS.finditer(out.text) if (new := _octets(m[0])) != m[0]])
     out.replace(
         [(*m.span(), "".join(_DIGIT_WORDS.get(w.lower(), w) for w in _SPELLED_UNIT.findall(m[0]))) for m in _SPELLED.finditer(out.text)]
     )
     out.replace([(*m.span(), "@") for m in _BRACKETED_AT.finditer(out.text)])
     out.replace([(*m.span(), ".") for m in _BRACKETED_DOT.finditer(out.text)])
-    edits = []
-    for m in _BARE.finditer(out.text):
-        edits.extend((*d.span(), ".") for d in _BARE_DOT.finditer(out.text, m.start(), m.end()))
-        edits.append((*m.span(1), "@"))
-    out.replace(sorted(edits))
+    out.replace(_mixed_edits(out))
     return out
 
 
