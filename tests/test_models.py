@@ -185,6 +185,24 @@ def test_feature_importance_names_every_slot(spark, mode):
     assert forest.feature_importance(df, mode=mode, exclude=["MERCHANT_ID"]).collect() == rows
 
 
+def test_feature_importance_of_more_slots_than_a_dense_row_holds(spark):
+    rows = [(k, float(k % 4), f"n{k}", None if k % 7 == 0 else f"c{k % 2}", 1000.0 * (k == 5) + k % 4 * 100.0) for k in range(60)]
+    schema = "MERCHANT_ID long, driver double, NAME string, CITY string, TOT_SALES2021 double"
+    df = spark.createDataFrame(rows + rows[:5], schema)
+    narrow = {(r.idx, r.name) for r in forest.feature_importance(df, mode="regress", exclude=["MERCHANT_ID"]).collect()}
+    found = forest.feature_importance(df, mode="regress", exclude=["MERCHANT_ID"], max_slots=10).collect()
+    assert {(r.idx, r.name) for r in found} == narrow and len(found) == 63
+    assert abs(sum(r.score for r in found) - 1) < 1e-9
+    assert {r.name for r in found[:2]} == {"OHE_NAME_n5", "driver"}
+    again = forest.feature_importance(df.repartition(7), mode="regress", exclude=["MERCHANT_ID"], max_slots=10).collect()
+    assert again == found
+    with pytest.raises(ValueError, match="NAME"):
+        forest.feature_importance(df, mode="classify", exclude=["MERCHANT_ID"], max_slots=10)
+    with pytest.raises(ValueError, match="TOT_SALES2021"):
+        blank = df.withColumn("TOT_SALES2021", F.expr("nullif(TOT_SALES2021, 1100)"))
+        forest.feature_importance(blank, mode="regress", exclude=["MERCHANT_ID"], max_slots=10)
+
+
 def test_feature_importance_refuses_other_modes(spark):
     with pytest.raises(ValueError):
         forest.feature_importance(spark.range(1), mode="cluster")

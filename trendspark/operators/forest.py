@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from trendspark.functions import numeric_columns, text_columns
 from trendspark.operators.encode import encoding_stages
 from trendspark.operators.split import key_hash
+from trendspark.operators.wide_forest import slot_importance
 from trendspark.settings import (
     CLASSIFIER_TREES,
     IMPORTANCE_ROWS,
@@ -111,13 +112,12 @@ def accuracy(predictions: DataFrame, label: str = "label", prediction: str = "pr
     return predictions.agg(F.avg(right).alias("accuracy"))
 
 
-def _check_slots(rows: DataFrame, texts: list[str], max_slots: int) -> None:
+def _widest(rows: DataFrame, texts: list[str], max_slots: int) -> list[str]:
+    """The text columns of most values, if all have more than ``max_slots`` together."""
     if not texts:
-        return
+        return []
     counts = rows.agg(*(F.approx_count_distinct(c, 0.02).alias(c) for c in texts)).first().asDict()
-    if sum(counts.values()) > max_slots:
-        wide = ", ".join(sorted(texts, key=counts.get, reverse=True)[:5])
-        raise ValueError(f"text columns with too many values for one slot each; exclude some of: {wide}")
+    return sorted(texts, key=counts.get, reverse=True)[:5] if sum(counts.values()) > max_slots else []
 
 
 def feature_importance(
@@ -139,9 +139,12 @@ def feature_importance(
     columns are slots as they are. ``mode="regress"`` fits the amount itself, on all rows,
     dealt by the hash of ``order_by`` into parts whose number follows from that of the rows. ``mode="classify"`` takes every value of the target
     for a class of its own and is fitted on a bounded sample of labelled rows: the ``rows``
-    rows of the least hash of ``order_by``, in one partition. Text columns that would make
-    more than ``max_slots`` slots raise an error that names them for ``exclude``. The fitted
+    rows of the least hash of ``order_by``, in one partition. The fitted
     steps are saved at ``model_path`` if one is given.
+
+    Where text columns have more than ``max_slots`` values together, ``mode="regress"`` goes by
+    :func:`slot_importance`, which reports every slot and holds none that a row does not have. It fits no steps
+    that could be saved, and ``mode="classify"`` has no such way: both raise an error that names columns for ``exclude``.
     """
     if mode not in ("classify", "regress"):
         raise ValueError("mode is 'classify' or 'regress'")
@@ -157,7 +160,11 @@ def feature_importance(
         left_out = {*exclude, target}
         texts = text_columns(sample, left_out)
         numbers = numeric_columns(sample, left_out, strict_types)
-        _check_slots(sample, texts, max_slots)
+        wide = _widest(sample, texts, max_slots)
+        if wide and mode == "regress" and not model_path:
+            return slot_importance(sample, target, numbers, texts, IMPORTANCE_TREES, IMPORTANCE_SUBSAMPLING, IMPORTANCE_SEED)
+        if wide:
+            raise ValueError(f"text columns with too many values for one slot each; exclude some of: {', '.join(wide)}")
         stages = encoding_stages(texts) if texts else []
         stages.append(VectorAssembler(inputCols=numbers + ["OHE_" + c for c in texts], outputCol="features"))
         options = {
