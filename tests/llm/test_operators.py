@@ -430,6 +430,20 @@ def test_search_reaches_its_target_recall(n_words, kinds, share):
     assert there > 20 and found >= (0.9 if share < 0.15 else decontaminate.TARGET_RECALL) * there
 
 
+def test_search_looks_at_every_character():
+    draw = random.Random(3)
+    items = [(k, " ".join("".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(12)) for _ in range(14))) for k in range(60)]
+    index = decontaminate.ItemIndex(items)
+    found = 0
+    for k, text in items:
+        # no word of the item begins a word here: blanks have moved by five characters
+        whole = "lead " + "zz" + re.sub(r" (\w{5})", r"\1 ", text)
+        item = decontaminate.normal_codes(text)
+        assert decontaminate.least_edits(item, decontaminate.normal_codes(whole)) <= int(0.2 * len(item))
+        found += any(hit[1] == k for hit in decontaminate.hits([whole], index, 0.2))
+    assert found >= 0.9 * len(items)
+
+
 def test_piece_edits_equal_dynamic_programming():
     draw = np.random.default_rng(5)
     held = draw.integers(0, 4, 400).astype(np.uint8)

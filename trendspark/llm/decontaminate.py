@@ -5,14 +5,14 @@ The CGK random walk reads such a character sequence and writes a longer one: at
 step it writes the character it stands on and moves on or stays by a random bit of (step, character).
 Two sequences of small edit distance walk together, so their embeddings have a small Hamming distance.
 Over a whole item the walks would part for good after a few edits, so the walk starts anew
-at each word (at each character in scripts without blanks): an item-sized window is embedded as the
+at every character, of items and of documents: an item-sized window is embedded as the
 sequence of its parts. A repetition of the sampling takes the same few places of each part
 as one key, and an equal key gives an alignment of the item with the text around.
 
-The length of the walks follows from the target recall. A part whose least-reading walk reads ``c`` characters
-is met by an equal key with the probability (1 - e)^c or more, ``e`` being the limit of edits, and an item if one of its
-parts is. Each item takes the longest walks that so reach the target, or the shortest if none does; below ``WORD_RECALL`` these
-start at every character.
+The length and the number of the walks follow from the target recall. A walk that reads ``c`` characters
+meets an equal key with the probability (1 - e)^c or more, ``e`` being the limit of edits, and an item is met if one of its
+walks is. Walks that overlap are edited together, so ``_OVERLAP`` of them count as one that is not. Each item takes
+the cheapest setting of ``SETTINGS`` that so reaches the target, or the last if none does.
 Its alignments are then bounded from below: pieces of 64 characters have their least edits in the text
 around counted by bit vectors, many pieces at once, and an alignment whose pieces have more edits together than the item may have
 cannot be a hit. For the others the edit distance of the whole item to the text around is computed
@@ -37,34 +37,34 @@ from pyspark.sql import functions as F
 from trendspark.llm.common import batch_of, map_arrow, mix, slices, text_codes
 
 MAX_EDITS = 0.2
-# of items edited at random at the limit itself, as a lower bound; fewer edits are found more surely
-TARGET_RECALL = 0.8
-# below this bound the shortest walks start at every character, not at words alone
-WORD_RECALL = 0.6
+# of items edited at random at the limit itself; fewer edits are found more surely
+TARGET_RECALL = 0.9
 # shorter items are looked for unedited: a few characters with edits are found in any text
 MIN_CHARS = 24
 BLOCK_BYTES = 4 << 20
-WALKS = 2
-# steps of a walk: an item takes the longest that reaches the target recall
-STEPS = (34, 27, 20)
+# steps of a walk, an even number, and how many walks from each character, cheapest first
+SETTINGS = ((34, 1), (34, 2), (26, 2), (20, 2), (20, 4))
+_LONGEST = max(steps for steps, _ in SETTINGS)
+# walks from neighbouring characters that tell as much as one by itself, by measured recall
+_OVERLAP = 1.5
 SAMPLES = 12
 # a walk has to read this share of its steps, else its key says little
 MIN_READ = 0.4
-# walks go on after so many sampled characters only if some item agrees; that many are sampled within the steps named
-_EARLY = {4: 7, 7: 13}
-_BLOOM_BITS = 18
+# so many characters are sampled within the steps named
+_EARLY = ((4, 7), (7, 13))
+# walks go on after so many sampled characters only if some item agrees
+_FILTER_AT = 7
+_BLOOM_BITS, _KEY_BITS = 18, 20
 # alignments within so many characters are one place
 _BAND = 16
 # characters of a piece: one machine word
 _PIECE = 64
 # pieces whose bit vectors are held at once
 _ROWS = 2048
-# characters of joined texts whose keys are looked up at once
-_SEGMENT = 1 << 18
+# characters of joined texts whose keys are looked up at once; arrays of so many stay in a processor's cache
+_SEGMENT = 1 << 15
 # from here on scripts are taken to be written without blanks
 _UNSPACED = 0x0E00
-# a run of characters longer than this is read from every character behind, too
-_LONG_WORD = 24
 
 # letters and digits in lower case, 0 for all else; beyond the basic plane all code points are themselves
 _FOLD = np.zeros(1 << 16, np.uint32)
@@ -97,19 +97,11 @@ def symbols(codes: np.ndarray) -> np.ndarray:
     return np.where(codes < 256, codes, (codes * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8)
 
 
-def part_starts(codes: np.ndarray) -> np.ndarray:
-    """Where walks start: at words, at every character of scripts without blanks and far inside long words."""
-    if not len(codes):
-        return np.zeros(0, np.int64)
-    blank = codes == 32
-    first = np.concatenate(([True], blank[:-1])) & ~blank
-    first |= codes >= _UNSPACED
-    words = np.flatnonzero(first)
-    gaps = np.diff(np.concatenate((words, [len(codes)])))
-    for i in np.flatnonzero(gaps > _LONG_WORD):
-        run = np.arange(words[i] + _LONG_WORD, words[i] + gaps[i])
-        first[run[~blank[run]]] = True
-    return np.flatnonzero(first)
+def paired(held: np.ndarray) -> np.ndarray:
+    """Each symbol and the one behind it in 16 bits: what two steps of a walk can read."""
+    wide = held.astype(np.uint16)
+    wide[:-1] |= wide[1:] << 8
+    return wide
 
 
 @cache
@@ -124,35 +116,51 @@ def sampled_places(steps: int, walk: int) -> frozenset[int]:
     """The places of the embedding that a repetition samples, the last among them."""
     rng = np.random.default_rng(1000 * steps + walk)
     chosen, begin = [steps - 1], 0
-    for count, end in (*_EARLY.items(), (SAMPLES, steps)):
+    for count, end in (*_EARLY, (SAMPLES, steps)):
         wanted = min(count - len(chosen) + 1, SAMPLES - len(chosen))
         chosen.extend(rng.choice(np.arange(begin, min(end, steps - 1)), size=wanted, replace=False).tolist())
         begin = end
     return frozenset(chosen)
 
 
+@cache
+def _double_steps(steps: int, walk: int) -> tuple[tuple[int, np.ndarray | None, np.ndarray], ...]:
+    """For each two steps: how many places are sampled, and by the pair of symbols what they write and how far they move."""
+    bits, places = _bits(steps, walk), sampled_places(steps, walk)
+    pair = np.arange(1 << 16)
+    first, second = pair & 255, pair >> 8
+    found = []
+    for step in range(0, steps, 2):
+        moved = bits[step][first]
+        then = np.where(moved, second, first)
+        written = (step in places) * first + ((step + 1 in places) * then << 8)
+        count = (step in places) + (step + 1 in places)
+        found.append((count, written.astype(np.uint64) if count else None, moved.astype(np.int32) + bits[step + 1][then]))
+    return tuple(found)
+
+
 def part_keys(
-    held: np.ndarray, starts: np.ndarray, steps: int, walk: int, early: dict[int, np.ndarray] | None = None, fill: bool = False
+    pairs: np.ndarray, starts: np.ndarray, steps: int, walk: int, early: np.ndarray | None = None, fill: bool = False
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``starts, keys, ends`` of the walks from ``starts`` over the symbols ``held``, padded by ``steps`` or more.
+    """``starts, keys, ends`` of the walks from ``starts`` over ``pairs`` of symbols, padded by ``steps`` or more.
 
-    ``early`` holds filters of key beginnings; walks that no item shares are left out, or set in the filters by ``fill``.
+    ``early`` is a filter of key beginnings; walks that no item shares are left out, or set in the filter by ``fill``.
     """
-    bits, places = _bits(steps, walk), sampled_places(steps, walk)
     at, key, written = starts.copy(), np.full(len(starts), steps * 131 + walk, np.uint64), 0
-    for step in range(steps):
-        symbol = held[at]
-        if step in places:
-            key = key * np.uint64(0x9E3779B97F4A7C15) + symbol
-            written += 1
-            if written in _EARLY and early is not None:
-                cells = ((key ^ (key >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - _BLOOM_BITS)).astype(np.int64)
-                if fill:
-                    early[written][cells] = True
-                else:
-                    alive = np.flatnonzero(early[written][cells])
-                    starts, at, key, symbol = starts[alive], at[alive], key[alive], symbol[alive]
-        at += bits[step][symbol]
+    for count, writes, moves in _double_steps(steps, walk):
+        pair = pairs[at]
+        if count:
+            key *= np.uint64(0x9E3779B97F4A7C15)
+            key += writes[pair]
+            written += count
+        at += moves[pair]
+        if early is not None and count and written - count < _FILTER_AT <= written:
+            cells = ((key ^ (key >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - _BLOOM_BITS)).astype(np.int64)
+            if fill:
+                early[cells] = True
+            else:
+                alive = np.flatnonzero(early[cells])
+                starts, at, key = starts[alive], at[alive], key[alive]
     read = np.flatnonzero(at - starts >= MIN_READ * steps)
     return starts[read], mix(key[read]), at[read]
 
@@ -250,36 +258,32 @@ class ItemIndex:
         self.longest = max((len(c) for c in self.codes), default=0)
         lengths = np.array([len(c) for c in self.codes], np.int64)
         # all items in one array, with room for a walk between them
-        begins = np.concatenate(([0], np.cumsum(lengths + max(STEPS))))
+        begins = np.concatenate(([0], np.cumsum(lengths + _LONGEST)))
         held = np.zeros(int(begins[-1]) + 1, np.uint8)
         for begin, one in zip(begins, self.symbols, strict=False):
             held[begin : begin + len(one)] = one
-        searched = np.flatnonzero(lengths >= MIN_CHARS)
-        words = [part_starts(self.codes[n]) + begins[n] for n in searched]
-        starts = np.concatenate([*words, np.zeros(0, np.int64)])
-        owner = np.repeat(searched, [len(w) for w in words])
-        self.tables, self.every = [], set()
-        waiting = np.isin(np.arange(len(items)), searched)
-        for steps in STEPS:
-            walks = [self._walks(held, starts, owner, begins, steps, walk) for walk in range(WALKS)]
-            read = np.full(len(starts), np.inf)
-            for at, _, chars, _ in walks:
-                read[at] = np.minimum(read[at], chars)
-            missed = np.bincount(owner, np.log1p(-np.minimum((1 - max_edits) ** read, 1 - 1e-12)), len(items))
-            taken = waiting & (1 - np.exp(missed) >= target)
-            if steps == min(STEPS):
-                # shorter walks would meet any text
-                taken |= waiting & (1 - np.exp(missed) >= WORD_RECALL)
-            waiting &= ~taken
-            if taken.any():
-                self._add_tables(held, starts, owner, begins, steps, walks, taken)
-        if waiting.any():
-            # too few words: every character starts a walk
-            starts = np.concatenate([np.arange(begins[n], begins[n] + lengths[n]) for n in np.flatnonzero(waiting)])
-            owner = np.repeat(np.flatnonzero(waiting), lengths[waiting])
-            walks = [self._walks(held, starts, owner, begins, min(STEPS), walk) for walk in range(WALKS)]
-            self.every.update(range(len(self.tables), len(self.tables) + WALKS))
-            self._add_tables(held, starts, owner, begins, min(STEPS), walks, waiting)
+        pairs = paired(held)
+        waiting = lengths >= MIN_CHARS
+        starts = np.concatenate([*(np.arange(begins[n], begins[n] + lengths[n]) for n in np.flatnonzero(waiting)), np.zeros(0, np.int64)])
+        owner = np.repeat(np.flatnonzero(waiting), lengths[waiting])
+        ends = begins[:-1] + lengths
+        # items of each table
+        taken: dict[tuple[int, int], np.ndarray] = {}
+        for steps, walks in SETTINGS:
+            met = np.zeros(len(items))
+            for walk in range(walks):
+                kept, _, last = part_keys(pairs, starts, steps, walk)
+                mine = owner[np.searchsorted(starts, kept)]
+                inside = last < ends[mine]
+                met += np.bincount(mine[inside], (1 - max_edits) ** (last - kept)[inside], len(items))
+            chosen = waiting & ((1 - np.exp(-met / _OVERLAP) >= target) | ((steps, walks) == SETTINGS[-1]))
+            waiting &= ~chosen
+            for walk in range(walks):
+                taken[steps, walk] = taken.get((steps, walk), False) | chosen
+        self.tables = []
+        for (steps, walk), chosen in taken.items():
+            if chosen.any():
+                self._add_table(pairs, starts[chosen[owner]], owner[chosen[owner]], begins, ends, steps, walk)
         exact: dict[str, list[int]] = {}
         for number, codes in enumerate(self.codes):
             if 0 < len(codes) < MIN_CHARS:
@@ -290,47 +294,42 @@ class ItemIndex:
         if exact:
             self.exact.make_automaton()
 
-    def _walks(self, held: np.ndarray, starts: np.ndarray, owner: np.ndarray, begins: np.ndarray, steps: int, walk: int) -> tuple[np.ndarray, ...]:
-        """``at`` (among ``starts``), keys, characters read and starts of the walks that end inside their item."""
-        kept, key, ends = part_keys(held, starts, steps, walk)
-        at = np.searchsorted(starts, kept)
-        inside = ends - begins[owner[at]] < np.array([len(c) for c in self.codes])[owner[at]]
-        return at[inside], key[inside], (ends - kept)[inside], kept[inside]
-
-    def _add_tables(
-        self, held: np.ndarray, starts: np.ndarray, owner: np.ndarray, begins: np.ndarray, steps: int, walks: list[tuple[np.ndarray, ...]], taken: np.ndarray
+    def _add_table(
+        self, pairs: np.ndarray, starts: np.ndarray, owner: np.ndarray, begins: np.ndarray, ends: np.ndarray, steps: int, walk: int
     ) -> None:
-        for walk, (at, keys, _, kept) in enumerate(walks):
-            mine = taken[owner[at]]
-            at, keys, kept = at[mine], keys[mine], kept[mine]
-            early = {n: np.zeros(1 << _BLOOM_BITS, bool) for n in _EARLY}
-            part_keys(held, kept, steps, walk, early, fill=True)
-            order = np.argsort(keys, kind="stable")
-            known, first = np.unique(keys[order], return_index=True)
-            owners = owner[at][order]
-            self.tables.append((steps, walk, early, known, np.append(first, len(keys)), owners, kept[order] - begins[owners]))
+        """The keys of the walks that end inside their item."""
+        kept, keys, last = part_keys(pairs, starts, steps, walk)
+        mine = owner[np.searchsorted(starts, kept)]
+        inside = last < ends[mine]
+        kept, keys, mine = kept[inside], keys[inside], mine[inside]
+        early, whole = np.zeros(1 << _BLOOM_BITS, bool), np.zeros(1 << _KEY_BITS, bool)
+        part_keys(pairs, kept, steps, walk, early, fill=True)
+        whole[keys >> np.uint64(64 - _KEY_BITS)] = True
+        order = np.argsort(keys, kind="stable")
+        known, first = np.unique(keys[order], return_index=True)
+        self.tables.append((steps, walk, early, whole, known, np.append(first, len(keys)), mine[order], (kept - begins[mine])[order]))
 
     def candidates(self, codes: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``item number, place`` where the item would begin in normalised ``codes``, by item and place.
 
         ``held`` has the symbols, padded by the longest walk. One place is given for each band of places.
         """
-        words = part_starts(codes)
+        pairs = paired(held)
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
         for begin in range(0, len(codes), _SEGMENT):
-            end = min(len(codes), begin + _SEGMENT)
-            starts = words[np.searchsorted(words, begin) : np.searchsorted(words, end)]
-            for number, table in enumerate(self.tables):
-                item, diagonal = self._matches(held, np.arange(begin, end) if number in self.every else starts, table)
-                found.append(_bands(item, diagonal))
+            starts = np.arange(begin, min(len(codes), begin + _SEGMENT))
+            for table in self.tables:
+                found.append(_bands(*self._matches(pairs, starts, table)))
         return _bands(*(np.concatenate(f) for f in zip(*found, strict=True)))
 
-    def _matches(self, held: np.ndarray, starts: np.ndarray, table: tuple) -> tuple[np.ndarray, np.ndarray]:
+    def _matches(self, pairs: np.ndarray, starts: np.ndarray, table: tuple) -> tuple[np.ndarray, np.ndarray]:
         """``item, place`` of the items whose keys are equal in one repetition."""
-        steps, walk, early, known, first, owners, offsets = table
-        starts, keys, _ = part_keys(held, starts, steps, walk, early)
+        steps, walk, early, whole, known, first, owners, offsets = table
+        starts, keys, _ = part_keys(pairs, starts, steps, walk, early)
         if not len(known):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        likely = np.flatnonzero(whole[keys >> np.uint64(64 - _KEY_BITS)])
+        starts, keys = starts[likely], keys[likely]
         at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
         equal = np.flatnonzero(known[at] == keys)
         starts, at = starts[equal], at[equal]
@@ -388,7 +387,7 @@ def hits(texts: list[str], index: ItemIndex, max_edits: float) -> list[tuple[int
         best[text, number] = min(best.get((text, number), found), found)
 
     if index.tables and len(codes):
-        held = np.concatenate((symbols(codes), np.zeros(max(STEPS), np.uint8)))
+        held = np.concatenate((symbols(codes), np.zeros(_LONGEST, np.uint8)))
         item_at, place_at = index.candidates(codes, held)
         possible = index.possible(held, item_at, place_at)
         for number, place in zip(item_at[possible].tolist(), place_at[possible].tolist(), strict=True):
@@ -444,8 +443,8 @@ def contaminated(
     and items give no hits, nor do tables without rows. Repeated documents give their hits
     as often; rows without an id are reported with a null id.
 
-    Of parts within the limit, about the share ``target_recall`` or more is found if edits are spread at random; items whose words are
-    too few for it are read from every character.
+    Of parts within the limit, about the share ``target_recall`` or more is found if edits are spread at random. Every character of
+    a document begins a walk, and every one of an item.
     """
     out = pa.schema([(n, pa.int64()) for n in (id_column, "item_id", "start_char", "end_char", "edits")])
     schema = ", ".join(f"`{n}` long" for n in out.names)
