@@ -27,8 +27,6 @@ ORDER = 4
 UNKNOWN = "und"
 # most sequences of four characters that a language's model holds, a bound on what is broadcast
 MAX_SEQUENCES = 400_000
-# labelled rows, about so many, chosen by a hash, that calibrate rejection
-CALIBRATION_ROWS = 4_000
 # characters that count as independent evidence in the score
 EVIDENCE = 40
 _BLANK, _START, _PRIVATE = 32, 1, 0xE000
@@ -284,16 +282,16 @@ def _levels(counts: DataFrame, held: DataFrame, languages: list[str], scratch: S
 
 
 def train(labelled: DataFrame, max_sequences: int = MAX_SEQUENCES) -> LanguageModel:
-    """The model of the rows ``lang, text`` (and ``key``, for the calibration sample).
+    """The model of the rows ``lang, text``.
 
     Counts, continuation counts, context totals and discounts cover every labelled row. The model
     holds at most about ``max_sequences`` sequences of each language, the most frequent, and
     their suffixes; this bounds what reaches the driver and the tasks. Others are scored by lower orders.
-    Rejection is calibrated on about ``CALIBRATION_ROWS`` rows, chosen by a hash of the row:
+    Rejection is calibrated on every labelled row, too, by a second pass over their texts:
     the mean cross-entropy of each language and its spread by text length.
     Rows without a language or a text are left out; without rows the model is empty.
     """
-    rows = labelled.where("lang is not null and text is not null").select("key", "lang", "text")
+    rows = labelled.where("lang is not null and text is not null").select("lang", "text")
     spark = rows.sparkSession
     with Scratch(spark, "language-model") as scratch:
         counts = scratch.stage(_count(rows).groupBy("lang", "sequence").agg(F.sum("n").alias("n")), "counts")
@@ -307,8 +305,6 @@ def train(labelled: DataFrame, max_sequences: int = MAX_SEQUENCES) -> LanguageMo
 
 
 def _calibrate(model: LanguageModel, rows: DataFrame) -> None:
-    share = int((1 << 40) * min(1.0, CALIBRATION_ROWS / max(1, rows.count())))
-    sample = rows.where(F.pmod(F.xxhash64("key", "lang", "text"), F.lit(1 << 40)) < share)
     shared = rows.sparkSession.sparkContext.broadcast(model)
     out = pa.schema([("lang", pa.string()), ("entropy", pa.float64()), ("n", pa.int64())])
 
@@ -317,7 +313,7 @@ def _calibrate(model: LanguageModel, rows: DataFrame) -> None:
             names, _, entropies, counts = shared.value.predict(batch["text"].to_pylist())
             yield batch_of(out, [names, entropies, counts])
 
-    measured = map_arrow(sample.select("text"), measure, "lang string, entropy double, n long").where("n > 0")
+    measured = map_arrow(rows.select("text"), measure, "lang string, entropy double, n long").where("n > 0")
     sums = measured.groupBy("lang").agg(
         F.count("*").alias("rows"), F.sum("n").alias("n"), F.sum(F.expr("entropy * n")).alias("first"), F.sum(F.expr("entropy * entropy * n")).alias("second")
     )
