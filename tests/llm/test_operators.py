@@ -530,11 +530,13 @@ def test_language_identification_on_held_out_rows(spark, sf_dir):
     assert kept > 0.99 * labelled.count()
 
 
-def test_rejection_is_calibrated_on_every_row(spark):
+def _two_languages():
     draw, letters = random.Random(4), {"a": "abcdefgh", "b": "opqrstuv"}
-    rows = [(k, "ab"[k % 2], " ".join("".join(draw.choices(letters["ab"[k % 2]], k=4)) for _ in range(k % 5 + 2))) for k in range(6000)]
-    model = language_id.train(spark.createDataFrame(rows, "key long, lang string, text string"))
-    names, _, entropies, counts = model.predict([r[2] for r in rows])
+    return [(k, "ab"[k % 2], " ".join("".join(draw.choices(letters["ab"[k % 2]], k=4)) for _ in range(k % 5 + 2))) for k in range(6000)]
+
+
+def _assert_calibrated(model, texts):
+    names, _, entropies, counts = model.predict(texts)
     for i, lang in enumerate(model.languages):
         own = np.array(names) == lang
         n, entropy = counts[own], entropies[own]
@@ -543,6 +545,21 @@ def test_rejection_is_calibrated_on_every_row(spark):
         assert model.spreads[i] == pytest.approx(np.sqrt(((entropy - mean) ** 2 * n).sum() / own.sum()), rel=1e-5)
 
 
+def test_rejection_is_calibrated_on_every_row(spark):
+    rows = _two_languages()
+    _assert_calibrated(language_id.train(spark.createDataFrame(rows, "key long, lang string, text string")), [r[2] for r in rows])
+
+
+def test_pipeline_calibrates_on_every_row(spark, monkeypatch):
+    import corpus_pipeline
+
+    rows, train, models = _two_languages(), language_id.train, []
+    monkeypatch.setattr(language_id, "train", lambda labelled: models.append(train(labelled)) or models[-1])
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    assert corpus_pipeline.identify_language(spark, docs, "").columns == docs.columns
+    _assert_calibrated(models[0], [r[2] for r in rows])
+
+
 def test_licenses_are_inherited_from_the_nearest_directory(spark):
     files = [("a/LICENSE", "Released under the MIT License."), ("a/b/c/x.py", "x"), ("a/b/y.py", None), ("a/b/LICENSE", "Licensed under the Apache License, Version 2.0"),
              ("z/q.py", "text"), ("own.py", "Licensed under CC BY-NC 4.0.\n" + " ".join(words(50, 1))), (None, "x"), ("a/b/y.py", None)]
