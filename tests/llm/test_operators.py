@@ -145,6 +145,25 @@ def test_encoder_equals_the_tokenizer():
         assert encoder.encode(text, 2)[:-1].tolist() == encoder.encode_whole(text).tolist(), repr(text)
 
 
+def test_many_texts_at_once_equal_the_tokenizer():
+    encoder, draw = Encoder(TOKENIZER), random.Random(8)
+    parts = [" ", " ", "\n", "\n\n", "a", "The", "'s", "é", ".", ",", "<|endoftext|>", "日", "1", " b", "x.\nY", ".\n", "\t", "\r", "²", "ʰ"]
+    texts = [None, "", *("".join(draw.choice(parts) for _ in range(draw.randint(0, 14))) for _ in range(3000))]
+    found = list(encoder.encode_texts(texts, 2))
+    assert len(found) == len(texts)
+    for text, ids in zip(texts, found, strict=True):
+        assert ids.tolist() == [*encoder.encode_whole(text or "").tolist(), 2], repr(text)
+
+
+def test_pieces_that_come_again_are_learned_twice_at_most(monkeypatch):
+    encoder, learned = Encoder(TOKENIZER), []
+    monkeypatch.setattr(Encoder, "_learn", lambda self, missing, learn=Encoder._learn: learned.append(missing) or learn(self, missing))
+    text = "The sea, the land.\nThe end, the sea, and (so) on."
+    for _ in range(4):
+        assert encoder.encode(text, 0)[:-1].tolist() == encoder.encode_whole(text).tolist()
+    assert len(learned) == 2
+
+
 def expected_ids(rows, end):
     tokenizer = Tokenizer.from_file(TOKENIZER)
     order = sorted(((i, t or "") for i, t in rows), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))

@@ -93,8 +93,8 @@ def cut_pieces(
         for batch in slices(batches):
             encoder = encoder or shared_encoder(tokenizer)
             found = []
-            for doc, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                ids = encoder.encode(text, end_id).astype("<u4", copy=False)
+            for doc, ids in zip(batch["id"].to_pylist(), encoder.encode_texts(batch["text"].to_pylist(), end_id), strict=True):
+                ids = ids.astype("<u4", copy=False)
                 for start in range(0, len(ids), window):
                     piece = ids[start : start + window]
                     found.append((doc, start, len(piece), zlib.crc32(piece), len(ids)))

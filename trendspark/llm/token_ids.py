@@ -16,6 +16,7 @@ import os
 import re
 import sys
 import types
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -25,6 +26,8 @@ import regex
 MAX_PIECES = 700_000
 # a piece longer than this is encoded but not remembered
 MAX_REMEMBERED = 64
+# characters of texts that are encoded together
+GROUP_CHARS = 1 << 20
 _MARKS = ".,;:!?"
 
 # fixed value: the unit pattern of byte-level BPE files of this family
@@ -59,13 +62,16 @@ class Encoder:
         # a piece of letters is one unit with the space before it, and a mark behind it is another, unless they may hold
         # a special token
         letters_split = any(t.strip(" " + _MARKS).isalpha() or not t.strip(" " + _MARKS) for t in special)
+        self.by_lines = not any("\n" in t for t in special)
         self.marks: dict[str, bytes] = {}
         if self.by_pieces:
             (self.line_feed,) = self.encode_whole("\n").tolist()
+            self.feed = np.uint32(self.line_feed).tobytes()
             if not letters_split:
                 self.marks = {m: self.encode_whole(m).tobytes() for m in _MARKS}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.recent: set[str] = set()
 
     def encode_whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -92,33 +98,45 @@ class Encoder:
                 found[unit] = self.encode_whole(unit).tobytes()
         return found
 
-    def _learn(self, missing: list[str]) -> dict[str, bytes]:
-        """The ids of pieces that the table lacks. Units are remembered, as pieces of their own."""
+    def _learn(self, missing: set[str]) -> dict[str, bytes]:
+        """The ids of pieces that the table lacks. Units are remembered, as pieces of their own, and what comes often."""
         known, older, marks, special = self.known, self.older, self.marks, self.special
         found: dict[str, bytes] = {}
         remembered: dict[str, bytes] = {}
+        # a piece behind a line feed is that and a first piece
+        lines = {p: "  " + p[1:] for p in missing if p[0] == "\n"}
         split: dict[str, list[str]] = {}
-        plain: list[str] = []
+        plain: dict[str, str] = {}
+        marked: list[str] = []
+        if lines:
+            rests = set(lines.values())
+            found.update((p, known[p]) for p in rests if p in known)
+            missing = missing.difference(lines).union(rests).difference(found)
         for piece in missing:
             ids = older.get(piece)
             if ids:
                 found[piece] = remembered[piece] = ids
                 continue
-            if piece.isalpha() and marks:
-                plain.append(piece)
-                continue
-            mark = marks.get(piece[-1])
-            if mark:
-                word = piece[:-1]
-                ids = known.get(word) or older.get(word)
-                if ids and word.isalpha():
-                    found[piece] = ids + mark
+            first = piece[:2] == "  "
+            if marks:
+                last = piece[-1]
+                stem = piece[:-1] if last in marks else piece
+                if (stem[2:] if first else stem).isalpha():
+                    if last not in marks:
+                        plain[piece[2:] if first else " " + piece] = piece
+                        continue
+                    ids = known.get(stem) or older.get(stem)
+                    if ids:
+                        found[piece] = ids + marks[last]
+                    else:
+                        plain[stem[2:] if first else " " + stem] = stem
+                        marked.append(piece)
                     continue
-            full = piece[2:] if piece[:2] == "  " else " " + piece
+            full = piece[2:] if first else " " + piece
             # a special token's text is one id: such a piece is not split
             split[piece] = [full] if special and special(full) else _UNITS.findall(full)
         # a unit is a piece without the space in front, or one that is marked as the first
-        units = {" " + p: p for p in plain}
+        units = dict(plain)
         held = {}
         for unit in set(chain.from_iterable(split.values())).difference(units):
             piece = unit[1:] if unit[0] == " " and len(unit) > 1 and not unit[1].isspace() else "  " + unit
@@ -129,11 +147,18 @@ class Encoder:
                 units[unit] = piece
         fresh = self._encode_units(list(units))
         held.update(fresh)
-        for piece in plain:
-            found[piece] = fresh[" " + piece]
+        for unit, piece in plain.items():
+            found[piece] = fresh[unit]
+        for piece in marked:
+            found[piece] = found[piece[:-1]] + marks[piece[-1]]
         for piece, parts in split.items():
             found[piece] = held[parts[0]] if len(parts) == 1 else b"".join([held[u] for u in parts])
+        for piece, rest in lines.items():
+            found[piece] = self.feed + found[rest]
         remembered.update((units[u], ids) for u, ids in fresh.items() if len(u) <= MAX_REMEMBERED)
+        # of pieces of several units those that were looked for the last time, too
+        remembered.update((p, found[p]) for p in self.recent.intersection(found) if len(p) <= MAX_REMEMBERED)
+        self.recent = found.keys() - remembered.keys()
         if len(known) + len(remembered) > MAX_PIECES:
             self.older, self.known = known, {}
         self.known.update(remembered)
@@ -141,17 +166,34 @@ class Encoder:
 
     def encode(self, text: str | None, end: int) -> np.ndarray:
         """The ids of the whole text and then ``end``, as unsigned 32-bit integers."""
+        return next(self.encode_texts([text], end))
+
+    def encode_texts(self, texts: list[str | None], end: int) -> Iterator[np.ndarray]:
+        """The ids of each text, as :meth:`encode` gives them. What the table lacks is learned for many texts at once."""
         if not self.by_pieces:
-            return np.append(self.encode_whole(text or ""), np.uint32(end)).astype(np.uint32)
-        pieces = split_pieces(text or "")
-        ids = list(map(self.known.get, pieces))
-        missing = [i for i, known in enumerate(ids) if known is None]
-        if missing:
-            found = self._learn(list({pieces[i] for i in missing}))
-            for i in missing:
-                ids[i] = found[pieces[i]]
-        ids.append(np.uint32(end).tobytes())
-        return np.frombuffer(b"".join(ids), np.uint32)
+            for text in texts:
+                yield np.append(self.encode_whole(text or ""), np.uint32(end)).astype(np.uint32)
+            return
+        # a text ends before a special token, and line feeds there would be one unit
+        special, last, start = self.special, np.uint32(end).tobytes(), 0
+        while start < len(texts):
+            held, size = [], 0
+            missing: set[str] = set()
+            while start < len(texts) and size < GROUP_CHARS:
+                text = texts[start] or ""
+                pieces = split_pieces(text, self.by_lines and "\n" in text and not (special and special(text)))
+                ids = list(map(self.known.get, pieces))
+                gaps = [i for i, known in enumerate(ids) if known is None] if None in ids else []
+                wanted = [pieces[i] for i in gaps]
+                missing.update(wanted)
+                held.append((ids, gaps, wanted))
+                size, start = size + len(text), start + 1
+            found = self._learn(missing) if missing else {}
+            for ids, gaps, wanted in held:
+                for i, piece in zip(gaps, wanted, strict=True):
+                    ids[i] = found[piece]
+                ids.append(last)
+                yield np.frombuffer(b"".join(ids), np.uint32)
 
 
 def shared_encoder(path: str) -> Encoder:
@@ -167,14 +209,21 @@ _RARE = re.compile(r"[^\S \n]")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
-def split_pieces(text: str) -> list[str]:
+def split_pieces(text: str, by_lines: bool = False) -> list[str]:
     """``text`` cut at each single space between two characters that are no white space.
 
     The space itself is left out: every piece but the first has one in front. A first
-    piece is marked by a second space instead, which no other piece can start with.
+    piece is marked by a second space instead, which no other piece can start with. With ``by_lines``,
+    a text whose line feeds stand between other characters, two in a row at most, is cut before them, too: each is a unit
+    of its own there. Such a piece starts with the line feed.
     """
     seams = "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " "
-    words = _CUT.split(text) if seams or _RARE.search(text) else text.split(" ")
+    if seams or _RARE.search(text):
+        words = _CUT.split(text)
+    elif by_lines and "\n\n\n" not in text and text[:1] != "\n" and text[-1:] != "\n":
+        words = text.replace("\n", " \n").split(" ")
+    else:
+        words = text.split(" ")
     if words[0]:
         words[0] = "  " + words[0]
         return words

@@ -141,14 +141,14 @@ def write_token_ids(
 
         for batch in slices(batches):
             encoder = encoder or shared_encoder(tokenizer)
-            columns = (batch[c].to_pylist() for c in ("bucket", "id", "text"))
-            for bucket, doc, text in zip(*columns, strict=True):
+            buckets, docs, texts = (batch[c].to_pylist() for c in ("bucket", "id", "text"))
+            for bucket, doc, ids in zip(buckets, docs, encoder.encode_texts(texts, end_id), strict=True):
                 if held and (bucket != at or total >= BLOCK_IDS):
                     yield block()
                     held_ids, held, total, number = [], [], 0, (number + 1 if bucket == at else 0)
                 at = bucket
                 held_ids.append(-(1 << 63) if doc is None else doc)
-                held.append(encoder.encode(text, end_id))
+                held.append(ids)
                 total += len(held[-1])
         if held:
             yield block()
