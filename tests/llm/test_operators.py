@@ -463,6 +463,29 @@ def test_search_looks_at_every_character():
     assert found >= 0.9 * len(items)
 
 
+def test_walk_hashes_differ_where_keys_do():
+    held = np.concatenate((np.random.default_rng(5).integers(97, 101, 3000), np.zeros(34, np.int64))).astype(np.uint8)
+    pairs = decontaminate.paired(held)
+    for steps, walk in ((34, 0), (34, 1), (26, 1), (20, 3)):
+        starts, keys, _ = decontaminate.part_keys(pairs, np.arange(3000), steps, walk)
+        hashes = decontaminate.walk_hashes(held, 3000, steps, walk)[starts]
+        found = len(np.unique(keys))
+        assert 20 < found == len(np.unique(hashes)) == len(np.unique(np.stack((keys, hashes.astype(np.uint64))), axis=1).T)
+        short = decontaminate.walk_hashes(held, 3000, steps, walk, 16)[starts]
+        assert len(np.unique(np.stack((keys, short.astype(np.uint64))), axis=1).T) == found
+        for width, values in ((32, hashes), (16, short)):
+            known = decontaminate.WalkFilter(values[::7], width)
+            assert set(range(0, len(values), 7)) <= set(known.passing(values).tolist())
+
+
+def test_unedited_items_are_found_at_whole_characters():
+    text = np.array([1, 1 << 8, 1 << 16, 256, 1, 2], np.uint32)
+    assert decontaminate.unedited_at(text[3:5], text) == 3 and decontaminate.unedited_at(text[:1], text) == 0
+    # these bytes stand between two characters
+    assert decontaminate.unedited_at(np.array([1 << 24], np.uint32), text) == -1
+    assert decontaminate.unedited_at(np.array([256, 7], np.uint32), text) == -1
+
+
 def test_piece_edits_equal_dynamic_programming():
     draw = np.random.default_rng(5)
     held = draw.integers(0, 4, 400).astype(np.uint8)

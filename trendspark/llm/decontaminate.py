@@ -11,7 +11,8 @@ as one key, and an equal key gives an alignment of the item with the text around
 
 The length and the number of the walks follow from the target recall. A walk that reads ``c`` characters
 meets an equal key with the probability (1 - e)^c or more, ``e`` being the limit of edits, and an item is met if one of its
-walks is. Walks that overlap are edited together, so ``_OVERLAP`` of them count as one that is not. Each item takes
+walks is. All walks over a text are hashed together from their last step back, and keys are made of those
+whose hash an item has. Walks that overlap are edited together, so ``_OVERLAP`` of them count as one that is not. Each item takes
 the cheapest setting of ``SETTINGS`` that so reaches the target, or the last if none does.
 Its alignments are then bounded from below: pieces of 64 characters have their least edits in the text
 around counted by bit vectors, many pieces at once, and an alignment whose pieces have more edits together than the item may have
@@ -52,9 +53,10 @@ SAMPLES = 12
 MIN_READ = 0.4
 # so many characters are sampled within the steps named
 _EARLY = ((4, 7), (7, 13))
-# walks go on after so many sampled characters only if some item agrees
-_FILTER_AT = 7
-_BLOOM_BITS, _KEY_BITS = 18, 20
+# bits of the filters of walks and of keys
+_WALK_BITS, _KEY_BITS = 20, 20
+# walks of items up to which 16 bits of a walk's hash tell enough
+_FEW_WALKS = 4096
 # alignments within so many characters are one place
 _BAND = 16
 # characters of a piece: one machine word
@@ -62,7 +64,7 @@ _PIECE = 64
 # pieces whose bit vectors are held at once
 _ROWS = 2048
 # characters of joined texts whose keys are looked up at once; arrays of so many stay in a processor's cache
-_SEGMENT = 1 << 15
+_SEGMENT = 1 << 16
 # from here on scripts are taken to be written without blanks
 _UNSPACED = 0x0E00
 
@@ -123,6 +125,49 @@ def sampled_places(steps: int, walk: int) -> frozenset[int]:
     return frozenset(chosen)
 
 
+@cache
+def _single_steps(steps: int, walk: int, width: int) -> tuple[tuple[np.ndarray, tuple[tuple[int, np.unsignedinteger | None], ...]], ...]:
+    """Runs of ``width`` steps at most, last first: their random bits by symbol, the last on top, and each step with its factor if sampled."""
+    unsigned = np.dtype(f"u{width // 8}").type
+    bits, places = _bits(steps, walk), sampled_places(steps, walk)
+    cells = np.arange(steps, dtype=np.uint64) + np.uint64((997 * walk + steps) << 20)
+    factors = (mix(cells) >> np.uint64(64 - width)).astype(unsigned) | unsigned(1)
+    found = []
+    for end in range(steps, 0, -width):
+        run = range(end - 1, max(0, end - width) - 1, -1)
+        words = np.zeros(256, unsigned)
+        for back, step in enumerate(run):
+            words |= bits[step].astype(unsigned) << unsigned(width - 1 - back)
+        found.append((words, tuple((step, factors[step] if step in places else None) for step in run)))
+    return tuple(found)
+
+
+def walk_hashes(held: np.ndarray, size: int, steps: int, walk: int, width: int = 32) -> np.ndarray:
+    """``width`` bits of what the walk from each of the first ``size`` symbols samples; ``held`` goes on for ``steps`` symbols or more.
+
+    Walks are followed from their last step back, all at once: what a walk samples from a step on is what it samples
+    there, and what it samples from the next step on, here or at the next symbol.
+    """
+    n, unsigned, signed = size + steps, f"u{width // 8}", f"i{width // 8}"
+    held = held[:n]
+    wide, total = held.astype(unsigned), np.zeros(n + 1, unsigned)
+    other, moved = np.empty(n, unsigned), np.empty(n, signed)
+    for words, run in _single_steps(steps, walk, width):
+        coming = words[held].view(signed)
+        for step, factor in run:
+            # a walk has moved by as many symbols as steps at most
+            here = slice(size + step)
+            np.right_shift(coming[here], width - 1, out=moved[here])
+            np.bitwise_xor(total[1 : size + step + 1], total[here], out=other[here])
+            other[here] &= moved[here].view(unsigned)
+            total[here] ^= other[here]
+            if factor is not None:
+                np.multiply(wide[here], factor, out=other[here])
+                total[here] += other[here]
+            coming[here] <<= 1
+    return total[:size]
+
+
 @cache
 def _double_steps(steps: int, walk: int) -> tuple[tuple[int, np.ndarray | None, np.ndarray], ...]:
     """For each two steps: how many places are sampled, and by the pair of symbols what they write and how far they move."""
@@ -139,60 +184,76 @@ def _double_steps(steps: int, walk: int) -> tuple[tuple[int, np.ndarray | None,
     return tuple(found)
 
 
-def part_keys(
-    pairs: np.ndarray, starts: np.ndarray, steps: int, walk: int, early: np.ndarray | None = None, fill: bool = False
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``starts, keys, ends`` of the walks from ``starts`` over ``pairs`` of symbols, padded by ``steps`` or more.
-
-    ``early`` is a filter of key beginnings; walks that no item shares are left out, or set in the filter by ``fill``.
-    """
-    at, key, written = starts.copy(), np.full(len(starts), steps * 131 + walk, np.uint64), 0
+def part_keys(pairs: np.ndarray, starts: np.ndarray, steps: int, walk: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``starts, keys, ends`` of the walks from ``starts`` over ``pairs`` of symbols, padded by ``steps`` or more."""
+    at, key = starts.copy(), np.full(len(starts), steps * 131 + walk, np.uint64)
     for count, writes, moves in _double_steps(steps, walk):
         pair = pairs[at]
         if count:
             key *= np.uint64(0x9E3779B97F4A7C15)
             key += writes[pair]
-            written += count
         at += moves[pair]
-        if early is not None and count and written - count < _FILTER_AT <= written:
-            cells = ((key ^ (key >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - _BLOOM_BITS)).astype(np.int64)
-            if fill:
-                early[cells] = True
-            else:
-                alive = np.flatnonzero(early[cells])
-                starts, at, key = starts[alive], at[alive], key[alive]
     read = np.flatnonzero(at - starts >= MIN_READ * steps)
     return starts[read], mix(key[read]), at[read]
 
 
+class WalkFilter:
+    """Hashes of the walks of items: by their upper bits, and what passes by the lower ones."""
+
+    def __init__(self, hashes: np.ndarray, width: int):
+        self.shift, self.low = max(0, width - _WALK_BITS), (1 << min(width, _WALK_BITS)) - 1
+        self.upper, self.lower = np.zeros(self.low + 1, bool), np.zeros(self.low + 1, bool)
+        self.upper[hashes >> self.shift] = True
+        self.lower[hashes & self.low] = True
+
+    def passing(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of the hashes that may be among those of the items."""
+        found = np.flatnonzero(self.upper[hashes >> self.shift if self.shift else hashes])
+        return found[self.lower[hashes[found] & self.low]] if self.shift else found
+
+
 def piece_edits(held: np.ndarray, pieces: list[np.ndarray], begins: np.ndarray, columns: np.ndarray) -> np.ndarray:
     """The least edit distance of each piece (64 symbols at most) to any part of ``columns`` symbols of ``held`` from ``begins``."""
     rows, lengths = np.arange(len(pieces)), np.array([len(p) for p in pieces])
-    equal = np.zeros((len(pieces), 256), np.uint64)
+    # a piece ends at the top bit; the bits below its first symbol are equal to all
+    below = (_PIECE - lengths).astype(np.uint64)
+    up = ~np.uint64(0) << below
+    equal = np.repeat(~up, 256).reshape(-1, 256)
     padded = np.zeros((len(pieces), _PIECE), np.uint8)
     for row, piece in enumerate(pieces):
         padded[row, : len(piece)] = piece
     for j in range(int(lengths.max())):
         inside = rows[lengths > j]
-        equal[inside, padded[inside, j]] |= np.uint64(1 << j)
-    one, top = np.uint64(1), (lengths - 1).astype(np.uint64)
-    up, down = np.full(len(pieces), ~np.uint64(0)), np.zeros(len(pieces), np.uint64)
-    score, best = lengths.copy(), lengths.copy()
-    last = len(held) - 1
-    for j in range(int(columns.max())):
-        match = equal[rows, held[np.minimum(begins + j, last)]]
-        across = (((match & up) + up) ^ up) | match
-        rise = down | ~(across | up)
-        fall = up & across
-        score += ((rise >> top) & one).astype(np.int64)
-        score -= ((fall >> top) & one).astype(np.int64)
+        equal[inside, padded[inside, j]] |= np.uint64(1) << (below[inside] + np.uint64(j))
+    equal, first = equal.ravel(), rows * 256
+    width = int(columns.max())
+    texts = held[np.minimum(begins + np.arange(width)[:, None], len(held) - 1)]
+    one, end = np.uint64(1), np.uint64(_PIECE - 1)
+    down = np.zeros(len(pieces), np.uint64)
+    score, best = lengths.astype(np.uint64), lengths.astype(np.uint64)
+    across, rise = np.empty_like(up), np.empty_like(up)
+    for symbol in texts:
+        match = equal[first + symbol]
+        np.bitwise_and(match, up, out=across)
+        across += up
+        across ^= up
+        across |= match
+        np.bitwise_or(across, up, out=rise)
+        np.invert(rise, out=rise)
+        rise |= down
+        up &= across
+        score += rise >> end
+        score -= up >> end
         # columns behind the end of a row's own only lower its bound
         np.minimum(best, score, out=best)
-        rise = rise << one
-        across = match | down
-        up = (fall << one) | ~(across | rise)
-        down = rise & across
-    return best
+        rise <<= one
+        match |= down
+        np.bitwise_and(rise, match, out=down)
+        match |= rise
+        np.invert(match, out=match)
+        up <<= one
+        up |= match
+    return best.astype(np.int64)
 
 
 def edit_span(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -215,6 +276,15 @@ def edit_span(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return int(row[end]), int(begins[end]), end
 
 
+def unedited_at(item: np.ndarray, text: np.ndarray) -> int:
+    """Where ``item`` stands in ``text`` first, unedited; -1 if it does not."""
+    wanted, held, size = item.tobytes(), text.tobytes(), item.itemsize
+    at = held.find(wanted)
+    while at % size and at > 0:
+        at = held.find(wanted, at + 1)
+    return at // size
+
+
 def least_edits(item: np.ndarray, text: np.ndarray) -> int:
     """The least edit distance of ``item`` to any part of ``text``, by bit vectors over the item."""
     m = len(item)
@@ -283,7 +353,7 @@ class ItemIndex:
         self.tables = []
         for (steps, walk), chosen in taken.items():
             if chosen.any():
-                self._add_table(pairs, starts[chosen[owner]], owner[chosen[owner]], begins, ends, steps, walk)
+                self._add_table(held, pairs, starts[chosen[owner]], owner[chosen[owner]], begins, ends, steps, walk)
         exact: dict[str, list[int]] = {}
         for number, codes in enumerate(self.codes):
             if 0 < len(codes) < MIN_CHARS:
@@ -295,19 +365,21 @@ class ItemIndex:
             self.exact.make_automaton()
 
     def _add_table(
-        self, pairs: np.ndarray, starts: np.ndarray, owner: np.ndarray, begins: np.ndarray, ends: np.ndarray, steps: int, walk: int
+        self, held: np.ndarray, pairs: np.ndarray, starts: np.ndarray, owner: np.ndarray, begins: np.ndarray, ends: np.ndarray, steps: int, walk: int
     ) -> None:
         """The keys of the walks that end inside their item."""
         kept, keys, last = part_keys(pairs, starts, steps, walk)
         mine = owner[np.searchsorted(starts, kept)]
         inside = last < ends[mine]
         kept, keys, mine = kept[inside], keys[inside], mine[inside]
-        early, whole = np.zeros(1 << _BLOOM_BITS, bool), np.zeros(1 << _KEY_BITS, bool)
-        part_keys(pairs, kept, steps, walk, early, fill=True)
+        width = 16 if len(kept) <= _FEW_WALKS else 32
+        whole = np.zeros(1 << _KEY_BITS, bool)
+        hashes = walk_hashes(held, len(held) - steps, steps, walk, width)[kept]
+        walked = WalkFilter(hashes, width)
         whole[keys >> np.uint64(64 - _KEY_BITS)] = True
         order = np.argsort(keys, kind="stable")
         known, first = np.unique(keys[order], return_index=True)
-        self.tables.append((steps, walk, early, whole, known, np.append(first, len(keys)), mine[order], (kept - begins[mine])[order]))
+        self.tables.append((steps, walk, width, walked, whole, known, np.append(first, len(keys)), mine[order], (kept - begins[mine])[order]))
 
     def candidates(self, codes: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``item number, place`` where the item would begin in normalised ``codes``, by item and place.
@@ -317,15 +389,18 @@ class ItemIndex:
         pairs = paired(held)
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
         for begin in range(0, len(codes), _SEGMENT):
-            starts = np.arange(begin, min(len(codes), begin + _SEGMENT))
+            size = min(_SEGMENT, len(codes) - begin)
             for table in self.tables:
+                steps, walk, width, walked, *_ = table
+                # walks that may sample what one of an item does
+                starts = walked.passing(walk_hashes(held[begin:], size, steps, walk, width)) + begin
                 found.append(_bands(*self._matches(pairs, starts, table)))
         return _bands(*(np.concatenate(f) for f in zip(*found, strict=True)))
 
     def _matches(self, pairs: np.ndarray, starts: np.ndarray, table: tuple) -> tuple[np.ndarray, np.ndarray]:
         """``item, place`` of the items whose keys are equal in one repetition."""
-        steps, walk, early, whole, known, first, owners, offsets = table
-        starts, keys, _ = part_keys(pairs, starts, steps, walk, early)
+        steps, walk, _, _, whole, known, first, owners, offsets = table
+        starts, keys, _ = part_keys(pairs, starts, steps, walk)
         if not len(known):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         likely = np.flatnonzero(whole[keys >> np.uint64(64 - _KEY_BITS)])
@@ -402,6 +477,10 @@ def hits(texts: list[str], index: ItemIndex, max_edits: float) -> list[tuple[int
                 if b - a < len(item) - allowed or best.get((text, number), (1,))[0] == 0:
                     continue
                 around = codes[a:b]
+                start = unedited_at(item, around)
+                if start >= 0:
+                    keep(text, number, 0, a + start, a + start + len(item))
+                    continue
                 if least_edits(item, around) > allowed:
                     continue
                 edits, start, end = edit_span(item, around)
