@@ -7,12 +7,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from trendspark.llm import chat, decontaminate, fingerprint, language_id, licenses, line_dedup, near_dedup, packing, pii, token_store
-from trendspark.llm.common import join_counted
+from trendspark.llm.common import join_counted, map_arrow
 from trendspark.llm.components import connected_components
 from trendspark.llm.ordered import bucket_of
 from trendspark.llm.token_ids import Encoder
@@ -164,6 +165,25 @@ def test_pieces_that_come_again_are_learned_twice_at_most(monkeypatch):
     assert len(learned) == 2
 
 
+def test_other_tasks_give_back_the_encoders_of_their_worker(spark):
+    def held(batches):
+        import sys
+
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": [int("_trendspark_encoders" in sys.modules)]})
+
+    def fill(batches):
+        from trendspark.llm.token_ids import shared_encoder
+
+        shared_encoder(TOKENIZER)
+        yield from held(batches)
+
+    rows = spark.range(1).coalesce(1)
+    for _ in range(3):
+        assert map_arrow(rows, fill, "n long", encodes=True).first().n == 1
+        assert map_arrow(rows, held, "n long").first().n == 0
+
+
 def expected_ids(rows, end):
     tokenizer = Tokenizer.from_file(TOKENIZER)
     order = sorted(((i, t or "") for i, t in rows), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,16 +22,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+ENCODERS = "_trendspark_encoders"
+
+
+def map_arrow(
+    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, encodes: bool = False
+) -> DataFrame:
     """``mapInArrow`` with batches bounded by bytes, so that long texts do not add up.
 
-    The bound is a session setting, only ever lowered here.
+    The bound is a session setting, only ever lowered here. Python workers serve one stage after the other: a task that does
+    not encode tokens (``encodes``) gives back the encoder tables that its worker still holds.
     """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     bound = re.fullmatch(r"(\d+)b?", df.sparkSession.conf.get(key))
     if bound and int(bound[1]) > BATCH_BYTES:
         df.sparkSession.conf.set(key, str(BATCH_BYTES))
-    return df.mapInArrow(function, schema)
+    if encodes:
+        return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sys.modules.pop(ENCODERS, None)
+        yield from function(batches)
+
+    return df.mapInArrow(run, schema)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:

@@ -101,7 +101,7 @@ def cut_pieces(
             yield batch_of(out, list(zip(*found, strict=True)))
 
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
-    return map_arrow(texts, cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    return map_arrow(texts, cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long", encodes=True)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID, **columns) -> DataFrame:

@@ -22,6 +22,8 @@ from itertools import chain
 import numpy as np
 import regex
 
+from trendspark.llm.common import ENCODERS
+
 # pieces that a table remembers; a full one is kept as the older table, and its pieces that come back move on
 MAX_PIECES = 700_000
 # a piece longer than this is encoded but not remembered
@@ -198,7 +200,7 @@ class Encoder:
 
 def shared_encoder(path: str) -> Encoder:
     """The encoder of this Python worker: its table of seen pieces serves one task after the other."""
-    held = sys.modules.setdefault("_trendspark_encoders", types.ModuleType("_trendspark_encoders")).__dict__
+    held = sys.modules.setdefault(ENCODERS, types.ModuleType(ENCODERS)).__dict__
     if path not in held:
         held[path] = Encoder(path)
     return held[path]

@@ -153,7 +153,7 @@ def write_token_ids(
         if held:
             yield block()
 
-    map_arrow(ordered, encode, "bucket int, block long, n_docs long, n_ids long, data binary").write.parquet(path)
+    map_arrow(ordered, encode, "bucket int, block long, n_docs long, n_ids long, data binary", encodes=True).write.parquet(path)
 
 
 def read_token_ids(spark: SparkSession, path: str) -> DataFrame:
