@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -184,6 +185,32 @@ def test_other_tasks_give_back_the_encoders_of_their_worker(spark):
         assert map_arrow(rows, held, "n long").first().n == 0
 
 
+def test_tasks_give_back_the_memory_of_their_arrays():
+    class Table:
+        class sparkSession:  # noqa: N801
+            class conf:  # noqa: N801
+                get = staticmethod(lambda _: "1")
+
+        def mapInArrow(self, function, _schema):  # noqa: N802
+            return list(function(iter([])))
+
+    def resident():
+        return int(re.search(r"Anonymous: +(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) / 1024
+
+    kept, took = [], []
+
+    def fill(_batches):
+        # arrays of a text's size come from the heap; the one that stays is above all others
+        arrays = [np.ones(100_000, np.uint8) for _ in range(1_500)]
+        kept.append(arrays[-1])
+        took.append(resident())
+        yield None
+
+    for encodes in (False, True):
+        map_arrow(Table(), fill, "n long", encodes=encodes)
+        assert resident() < took[-1] - 100
+
+
 def expected_ids(rows, end):
     tokenizer = Tokenizer.from_file(TOKENIZER)
     order = sorted(((i, t or "") for i, t in rows), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import sys
 from collections.abc import Callable, Iterator
@@ -25,24 +26,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 ENCODERS = "_trendspark_encoders"
 
 
+def give_back() -> None:
+    """Returns memory that this process has freed to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def map_arrow(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, encodes: bool = False
 ) -> DataFrame:
     """``mapInArrow`` with batches bounded by bytes, so that long texts do not add up.
 
     The bound is a session setting, only ever lowered here. Python workers serve one stage after the other: a task that does
-    not encode tokens (``encodes``) gives back the encoder tables that its worker still holds.
+    not encode tokens (``encodes``) gives back the encoder tables that its worker still holds, and each task what
+    its arrays took, which the C library else keeps while later stages need memory of their own.
     """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     bound = re.fullmatch(r"(\d+)b?", df.sparkSession.conf.get(key))
     if bound and int(bound[1]) > BATCH_BYTES:
         df.sparkSession.conf.set(key, str(BATCH_BYTES))
-    if encodes:
-        return df.mapInArrow(function, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sys.modules.pop(ENCODERS, None)
+        if not encodes:
+            sys.modules.pop(ENCODERS, None)
         yield from function(batches)
+        give_back()
 
     return df.mapInArrow(run, schema)
 
