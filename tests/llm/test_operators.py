@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import sys
 import zlib
 from pathlib import Path
 
@@ -17,7 +18,7 @@ from trendspark.llm import chat, decontaminate, fingerprint, language_id, licens
 from trendspark.llm.common import join_counted, map_arrow
 from trendspark.llm.components import connected_components
 from trendspark.llm.ordered import bucket_of
-from trendspark.llm.token_ids import Encoder
+from trendspark.llm.token_ids import _RARE, Encoder
 from trendspark.staging import Scratch, new_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -166,6 +167,39 @@ def test_pieces_that_come_again_are_learned_twice_at_most(monkeypatch):
     assert len(learned) == 2
 
 
+def test_known_words_with_a_mark_and_pieces_of_the_older_table_are_not_learned(monkeypatch):
+    encoder, learned = Encoder(TOKENIZER), []
+    monkeypatch.setattr(Encoder, "_learn", lambda self, missing, learn=Encoder._learn: learned.extend(missing) or learn(self, missing))
+    for full in (False, True):
+        if full:
+            monkeypatch.setattr("trendspark.llm.token_ids.MAX_PIECES", 1)
+        for text in ("on sea and élan", "on sea, and. élan; sea?", "on and. élan"):
+            assert encoder.encode(text, 0)[:-1].tolist() == encoder.encode_whole(text).tolist()
+        assert not {"sea,", "and.", "élan;", "sea?"}.intersection(learned)
+        encoder.encode("on full table", 0)
+    assert sorted(learned) == ["  on", "and", "full", "sea", "table", "élan"]
+
+
+def test_latin_letters_go_to_the_model_and_others_to_the_whole_tokenizer(monkeypatch):
+    draw, split = random.Random(11), []
+    encode_units = Encoder._encode_units
+    monkeypatch.setattr(Encoder, "_encode_units", lambda self, units: split.extend(units) or encode_units(self, units))
+    latin, others = "abdehinorstAEOTéèüßñÿªµ", "λяжשؤ日本한ʰœĀ"
+    texts = [
+        " ".join("".join(draw.choices(draw.choice((latin, latin, latin + others)), k=draw.randint(1, 9))) for _ in range(draw.randint(1, 40)))
+        for _ in range(300)
+    ]
+    encoder = Encoder(TOKENIZER)
+    for text, ids in zip(texts, encoder.encode_texts(texts, 2), strict=True):
+        assert ids.tolist() == [*encoder.encode_whole(text).tolist(), 2], repr(text)
+    assert split and all(set(unit) & set(others) for unit in split)
+
+
+def test_white_space_that_is_no_seam_is_known_in_full():
+    spaces = {chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace()}
+    assert spaces == {" ", "\n", *_RARE} and all(re.match(r"\s", c) for c in spaces)
+
+
 def test_other_tasks_give_back_the_encoders_of_their_worker(spark):
     def held(batches):
         import sys

@@ -4,20 +4,22 @@ Byte-level BPE of this family splits a text before each single space between two
 characters that are not white space, and never merges across such a place. So the
 ids of a text are the ids of its pieces between these places, one after the other, and a
 piece that was seen before needs no second encoding. ``Encoder`` keeps the ids of seen
-pieces in a bounded table and asks the tokenizer for the others. ``encode_whole`` is
+pieces in a bounded table and asks the tokenizer for the others: its model, where a piece is a
+word of Latin letters, which leaves nothing to split. ``encode_whole`` is
 the plain call; tests hold the two against each other on arbitrary texts. A file of another
 family is recognised by its settings, and its texts are encoded whole.
 """
 
 from __future__ import annotations
 
+import codecs
 import json
 import os
 import re
 import sys
 import types
 from collections.abc import Iterator
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import regex
@@ -52,10 +54,52 @@ def _splits_at_spaces(settings: dict) -> bool:
     )
 
 
+def _is_latin(text: str) -> bool:
+    """Whether all characters are those of Latin-1."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+class _Pieces(dict[str, bytes]):
+    """The ids of pieces. One that it lacks is a hole, the same for all its places, whose ids are filled in later.
+
+    No holes are pieces of the older table, listed in ``moved``, and letters that either has with a mark behind them: they
+    are put together anew, and listed in ``marked``.
+    """
+
+    def __init__(self, marks: dict[str, bytes], older: dict[str, bytes]):
+        self.marks, self.older = marks, older
+        self.holes: dict[str, bytearray] = {}
+        self.moved: dict[str, bytes] = {}
+        self.marked: dict[str, bytes | bytearray] = {}
+
+    def __missing__(self, piece: str) -> bytes | bytearray:
+        ids = self.older.get(piece)
+        if ids:
+            self.moved[piece] = ids
+            return ids
+        mark = self.marks.get(piece[-1])
+        if mark:
+            stem = piece[:-1]
+            ids = self.get(stem)
+            if not ids:
+                ids = self.older.get(stem)
+                if ids:
+                    self.moved[stem] = ids
+            if ids and stem.isalpha():
+                self.marked[piece] = ids = ids + mark
+                return ids
+        return self.holes.setdefault(piece, bytearray())
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.by_pieces = _splits_at_spaces(json.loads(self.tokenizer.to_str()))
@@ -69,16 +113,20 @@ class Encoder:
         if self.by_pieces:
             (self.line_feed,) = self.encode_whole("\n").tolist()
             self.feed = np.uint32(self.line_feed).tobytes()
+            # by byte, the character that stands for it: its own or, where that does not print, the next one behind Latin-1
+            alphabet = sorted(ByteLevel.alphabet())
+            behind = iter([c for c in alphabet if ord(c) > 255])
+            self.bytewise = "".join(chr(b) if chr(b) in alphabet else next(behind) for b in range(256))
+            self.model = self.tokenizer.model
             if not letters_split:
                 self.marks = {m: self.encode_whole(m).tobytes() for m in _MARKS}
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known = _Pieces(self.marks, {})
         self.recent: set[str] = set()
 
     def encode_whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _encode_units(self, units: list[str]) -> dict[str, bytes]:
+    def _encode_units(self, units: list[str]) -> list[bytes]:
         """The ids of units of the byte-level split.
 
         Units with no line feed go to the tokenizer as one text with line feeds between
@@ -98,73 +146,95 @@ class Encoder:
         for unit in units:
             if unit not in found:
                 found[unit] = self.encode_whole(unit).tobytes()
-        return found
+        return list(map(found.__getitem__, units))
 
-    def _learn(self, missing: set[str]) -> dict[str, bytes]:
-        """The ids of pieces that the table lacks. Units are remembered, as pieces of their own, and what comes often."""
-        known, older, marks, special = self.known, self.older, self.marks, self.special
-        found: dict[str, bytes] = {}
-        remembered: dict[str, bytes] = {}
+    def _encode_letters(self, units: list[str]) -> list[bytes]:
+        """The ids of units of Latin letters, some behind a space, by the tokenizer's model: there is nothing left to split."""
+        text = codecs.charmap_decode("\n".join(units).encode(), "strict", self.bytewise)[0]
+        tokens = list(map(self.model.tokenize, text.split(self.bytewise[10])))
+        data = np.array([t.id for t in chain.from_iterable(tokens)], np.uint32).tobytes()
+        cuts = list(accumulate([4 * len(t) for t in tokens], initial=0))
+        return list(map(data.__getitem__, map(slice, cuts, cuts[1:])))
+
+    def _learn(self, holes: dict[str, bytearray]) -> None:
+        """Fills in the ids of pieces that the table lacks. Units are remembered, as pieces of their own, and what comes often."""
+        known, older, marks, special = self.known, self.known.older, self.marks, self.special
+        remembered, known.moved = known.moved, {}
+        # by piece; a unit is a piece without the space in front, or one that is marked as the first
+        letters: dict[str, bytearray] = {}
+        others: dict[str, bytearray] = {}
+        # what is put together, of parts that may be holes, too
+        several: list[tuple[str, bytearray, list[bytes | bytearray]]] = []
         # a piece behind a line feed is that and a first piece
-        lines = {p: "  " + p[1:] for p in missing if p[0] == "\n"}
-        split: dict[str, list[str]] = {}
-        plain: dict[str, str] = {}
-        marked: list[str] = []
-        if lines:
-            rests = set(lines.values())
-            found.update((p, known[p]) for p in rests if p in known)
-            missing = missing.difference(lines).union(rests).difference(found)
-        for piece in missing:
+        lines: list[tuple[str, bytearray, list[bytes | bytearray]]] = []
+        for piece in [p for p in holes if p[0] == "\n"]:
+            hole, rest = holes.pop(piece), "  " + piece[1:]
+            part = known.get(rest) if piece[1:] else b""
+            lines.append((piece, hole, [self.feed, holes.setdefault(rest, bytearray()) if part is None else part]))
+        for piece, hole in holes.items():
             ids = older.get(piece)
             if ids:
-                found[piece] = remembered[piece] = ids
+                remembered[piece] = ids
+                hole += ids
                 continue
             first = piece[:2] == "  "
             if marks:
+                if piece.isalpha():
+                    letters[piece] = hole
+                    continue
                 last = piece[-1]
                 stem = piece[:-1] if last in marks else piece
                 if (stem[2:] if first else stem).isalpha():
                     if last not in marks:
-                        plain[piece[2:] if first else " " + piece] = piece
+                        letters[piece] = hole
                         continue
-                    ids = known.get(stem) or older.get(stem)
-                    if ids:
-                        found[piece] = ids + marks[last]
-                    else:
-                        plain[stem[2:] if first else " " + stem] = stem
-                        marked.append(piece)
+                    part = known.get(stem) or older.get(stem) or holes.get(stem)
+                    if part is None:
+                        part = letters.setdefault(stem, bytearray())
+                    several.append((piece, hole, [part, marks[last]]))
                     continue
             full = piece[2:] if first else " " + piece
-            # a special token's text is one id: such a piece is not split
-            split[piece] = [full] if special and special(full) else _UNITS.findall(full)
-        # a unit is a piece without the space in front, or one that is marked as the first
-        units = dict(plain)
-        held = {}
-        for unit in set(chain.from_iterable(split.values())).difference(units):
-            piece = unit[1:] if unit[0] == " " and len(unit) > 1 and not unit[1].isspace() else "  " + unit
-            ids = known.get(piece) or older.get(piece)
-            if ids:
-                held[unit] = ids
+            if special and special(full):
+                # a special token's text is one id: such a piece is not split
+                hole += self.encode_whole(full).tobytes()
+                if len(full) <= MAX_REMEMBERED:
+                    remembered[piece] = bytes(hole)
+                continue
+            parts: list[bytes | bytearray] = []
+            for unit in _UNITS.findall(full):
+                key = unit[1:] if unit[0] == " " and len(unit) > 1 and not unit[1].isspace() else "  " + unit
+                if key == piece:
+                    others[piece] = hole
+                    break
+                part = known.get(key) or older.get(key) or holes.get(key)
+                if part is None:
+                    kind = letters if marks and (unit[1:] if unit[0] == " " else unit).isalpha() else others
+                    part = kind.setdefault(key, bytearray())
+                parts.append(part)
             else:
-                units[unit] = piece
-        fresh = self._encode_units(list(units))
-        held.update(fresh)
-        for unit, piece in plain.items():
-            found[piece] = fresh[unit]
-        for piece in marked:
-            found[piece] = found[piece[:-1]] + marks[piece[-1]]
-        for piece, parts in split.items():
-            found[piece] = held[parts[0]] if len(parts) == 1 else b"".join([held[u] for u in parts])
-        for piece, rest in lines.items():
-            found[piece] = self.feed + found[rest]
-        remembered.update((units[u], ids) for u, ids in fresh.items() if len(u) <= MAX_REMEMBERED)
+                several.append((piece, hole, parts))
+        # the tokenizer may know letters of other scripts by another version of Unicode
+        if not _is_latin("".join(letters)):
+            others.update((p, letters.pop(p)) for p in [p for p in letters if not _is_latin(p)])
+        for kind, encode in ((letters, self._encode_letters), (others, self._encode_units)):
+            if not kind:
+                continue
+            units = [p[2:] if p[:2] == "  " else " " + p for p in kind]
+            found = encode(units)
+            for hole, ids in zip(kind.values(), found, strict=True):
+                hole += ids
+            remembered.update((p, ids) for p, u, ids in zip(kind, units, found, strict=True) if len(u) <= MAX_REMEMBERED)
+        for _, hole, parts in chain(several, lines):
+            hole += b"".join(parts)
         # of pieces of several units those that were looked for the last time, too
-        remembered.update((p, found[p]) for p in self.recent.intersection(found) if len(p) <= MAX_REMEMBERED)
-        self.recent = found.keys() - remembered.keys()
+        made, known.marked = known.marked, {}
+        made.update((p, hole) for p, hole, _ in chain(several, lines) if len(p) <= MAX_REMEMBERED)
+        remembered.update((p, bytes(made[p])) for p in self.recent.intersection(made))
+        self.recent = made.keys() - remembered.keys()
         if len(known) + len(remembered) > MAX_PIECES:
-            self.older, self.known = known, {}
+            known.older = {}
+            self.known = _Pieces(marks, known)
         self.known.update(remembered)
-        return found
 
     def encode(self, text: str | None, end: int) -> np.ndarray:
         """The ids of the whole text and then ``end``, as unsigned 32-bit integers."""
@@ -180,20 +250,15 @@ class Encoder:
         special, last, start = self.special, np.uint32(end).tobytes(), 0
         while start < len(texts):
             held, size = [], 0
-            missing: set[str] = set()
+            look = self.known.__getitem__
             while start < len(texts) and size < GROUP_CHARS:
                 text = texts[start] or ""
-                pieces = split_pieces(text, self.by_lines and "\n" in text and not (special and special(text)))
-                ids = list(map(self.known.get, pieces))
-                gaps = [i for i, known in enumerate(ids) if known is None] if None in ids else []
-                wanted = [pieces[i] for i in gaps]
-                missing.update(wanted)
-                held.append((ids, gaps, wanted))
+                held.append(list(map(look, split_pieces(text, self.by_lines and "\n" in text and not (special and special(text))))))
                 size, start = size + len(text), start + 1
-            found = self._learn(missing) if missing else {}
-            for ids, gaps, wanted in held:
-                for i, piece in zip(gaps, wanted, strict=True):
-                    ids[i] = found[piece]
+            holes, self.known.holes = self.known.holes, {}
+            if holes or self.known.moved:
+                self._learn(holes)
+            for ids in held:
                 ids.append(last)
                 yield np.frombuffer(b"".join(ids), np.uint32)
 
@@ -206,8 +271,8 @@ def shared_encoder(path: str) -> Encoder:
     return held[path]
 
 
-# white space other than the space and the line feed
-_RARE = re.compile(r"[^\S \n]")
+# white space other than the space and the line feed; none is beyond U+3000
+_RARE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -220,7 +285,7 @@ def split_pieces(text: str, by_lines: bool = False) -> list[str]:
     of its own there. Such a piece starts with the line feed.
     """
     seams = "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " "
-    if seams or _RARE.search(text):
+    if seams or any(map(text.__contains__, _RARE)):
         words = _CUT.split(text)
     elif by_lines and "\n\n\n" not in text and text[:1] != "\n" and text[-1:] != "\n":
         words = text.replace("\n", " \n").split(" ")
